@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from . import line_dedup, neardup, secrets, sharding
+from . import debruijn, line_dedup, neardup, secrets, sharding
 
 QUERIES = {
     "op1_karmarkar_karp": sharding.op1_karmarkar_karp,
     "op5_coordinate_join": neardup.op5_coordinate_join,
     "op6_line_runs": line_dedup.op6_line_runs,
     "op8_trigram_secrets": secrets.op8_trigram_secrets,
+    "op10_debruijn": debruijn.op10_debruijn,
 }
 
 ORACLE_SQL = {
     "op5_coordinate_join": neardup.OP5_SQL,
     "op6_line_runs": line_dedup.OP6_SQL,
     "op8_trigram_secrets": secrets.OP8_SQL,
+    "op10_debruijn": debruijn.OP10_SQL,
 }
