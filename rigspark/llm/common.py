@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: ASCII white space, the only characters that separate words.
 SPACE = " \t\n\x0b\x0c\r"
@@ -54,3 +55,31 @@ def ascii_lower(text: Column) -> Column:
 def hash128(value: Column) -> Column:
     """A 128-bit identity of a value as a struct of two longs under different seeds."""
     return F.struct(F.xxhash64(value).alias("h1"), F.xxhash64(F.lit(17), value).alias("h2"))
+
+
+def gapless_rank(df: DataFrame, keys: list[str], order: list[str], rows: int = 20_000) -> DataFrame:
+    """``df`` with ``rank``, gapless from 0 in each group of ``keys``.
+
+    Ranks come in two levels: rows are dealt into buckets of about ``rows`` by a hash of
+    ``order``, ranked inside, and moved by the rows of the buckets before. So no task
+    holds a whole group, and only the counts of buckets meet in one.
+    """
+    total = df.agg(F.count(F.lit(1)).alias("__n"))
+    dealt = (
+        df.crossJoin(F.broadcast(total))  # one row
+        .withColumn("__bucket", F.pmod(F.xxhash64(*order), F.ceil(F.col("__n") / rows)))
+        .drop("__n")
+    )
+    inside = Window.partitionBy(*keys, "__bucket").orderBy(*order)
+    before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        dealt.groupBy(*keys, "__bucket")
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .select(*keys, "__bucket", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
+    )
+    return (
+        dealt.withColumn("__rank", F.row_number().over(inside))
+        .join(starts, [*keys, "__bucket"])
+        .withColumn("rank", (F.col("__start") + F.col("__rank") - 1).cast("long"))
+        .drop("__bucket", "__rank", "__start")
+    )

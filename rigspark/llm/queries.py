@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import debruijn, line_dedup, neardup, secrets, sharding
+from . import debruijn, line_dedup, neardup, packing, secrets, sharding
 
 QUERIES = {
     "op1_karmarkar_karp": sharding.op1_karmarkar_karp,
     "op5_coordinate_join": neardup.op5_coordinate_join,
     "op6_line_runs": line_dedup.op6_line_runs,
+    "op7_large_item_matching": packing.op7_large_item_matching,
     "op8_trigram_secrets": secrets.op8_trigram_secrets,
     "op10_debruijn": debruijn.op10_debruijn,
 }

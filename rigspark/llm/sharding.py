@@ -18,9 +18,8 @@ import heapq
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import whole_text
+from .common import gapless_rank, table, whole_text
 
 #: Bytes that a row costs besides its text.
 ROW_BYTES = 8
@@ -59,11 +58,10 @@ def difference(sizes: list[int], shards: int) -> list[int]:
     return shard
 
 
-def shard_documents(docs: DataFrame, shards: int = 24, grain: int = 200, slot_rows: int = 20_000) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 24, grain: int = 200) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot for every row; sizes of shards near equal.
 
-    Slots are ranked in two levels (a hash of doc_id, then the rank inside), so that no
-    task holds a whole shard.
+    Slots are ranked in two levels, so that no task holds a whole shard.
     """
     text = whole_text()
     rows = docs.select(
@@ -73,7 +71,7 @@ def shard_documents(docs: DataFrame, shards: int = 24, grain: int = 200, slot_ro
         F.xxhash64(text).alias("same"),
     )
     units = shards * grain
-    total = rows.agg(F.sum("size").alias("total"), F.count(F.lit(1)).alias("n"))
+    total = rows.agg(F.sum("size").alias("total"))
     groups = rows.groupBy("same").agg(F.sum("size").alias("bytes")).crossJoin(F.broadcast(total))
     heavy = F.col("bytes") * units > F.col("total")
     large = groups.filter(heavy).select("same", F.lit(True).alias("large"))
@@ -96,29 +94,13 @@ def shard_documents(docs: DataFrame, shards: int = 24, grain: int = 200, slot_ro
         .withColumn("large", F.coalesce("large", F.lit(False)))
         .withColumn("unit", unit)
         .join(F.broadcast(placed), ["large", "unit"])
-        .crossJoin(F.broadcast(total.select("n")))
-        .withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("n") / slot_rows)))
-        .select("doc_id", "size", "text_crc32", "shard", "bucket")
-    )
-    inside = Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size")
-    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        dealt.groupBy("shard", "bucket")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select("shard", "bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
-    )
-    return (
-        dealt.withColumn("rank", F.row_number().over(inside))
-        .join(starts, ["shard", "bucket"])
-        .select(
-            "doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("rank") - 1).cast("long").alias("slot")
-        )
+        .select("doc_id", "size", "text_crc32", "shard")
     )
+    ranked = gapless_rank(dealt, ["shard"], ["doc_id", "text_crc32", "size"])
+    return ranked.select("doc_id", "size", "text_crc32", "shard", F.col("rank").alias("slot"))
 
 
 def op1_karmarkar_karp(spark, sf_dir: str) -> DataFrame:
-    from .common import table
-
     return shard_documents(table(spark, sf_dir, "documents")).select(
         "doc_id",
         "size",
