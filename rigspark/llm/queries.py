@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import debruijn, line_dedup, neardup, packing, secrets, sharding
+from . import debruijn, decontaminate, langid, line_dedup, neardup, packing, secrets, sharding
 
 QUERIES = {
     "op1_karmarkar_karp": sharding.op1_karmarkar_karp,
+    "op4_rank_order": langid.op4_rank_order,
     "op5_coordinate_join": neardup.op5_coordinate_join,
     "op6_line_runs": line_dedup.op6_line_runs,
     "op7_large_item_matching": packing.op7_large_item_matching,
     "op8_trigram_secrets": secrets.op8_trigram_secrets,
+    "op9_pigeonhole": decontaminate.op9_pigeonhole,
     "op10_debruijn": debruijn.op10_debruijn,
 }
 
