@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import debruijn, decontaminate, langid, line_dedup, neardup, packing, secrets, sharding
+from . import debruijn, decontaminate, langid, line_dedup, neardup, packing, secrets, sharding, spotsigs, webtext
 
 QUERIES = {
     "op1_karmarkar_karp": sharding.op1_karmarkar_karp,
+    "op2_spotsigs": spotsigs.op2_spotsigs,
+    "op3_block_crf": webtext.op3_block_crf,
     "op4_rank_order": langid.op4_rank_order,
     "op5_coordinate_join": neardup.op5_coordinate_join,
     "op6_line_runs": line_dedup.op6_line_runs,

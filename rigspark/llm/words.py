@@ -16,6 +16,8 @@ _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_MULTIPLIER, -1, 2**64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_SIGNS = _SPACE.copy()
+_SIGNS[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -68,9 +70,12 @@ def text_blocks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int,
         first = last
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of each word, and the first word of each document (one more at the end)."""
-    inside = ~_SPACE[data]
+def split_words(data: np.ndarray, offsets: np.ndarray, signs: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of each word, and the first word of each document (one more at the end).
+
+    With ``signs``, ASCII punctuation separates words as white space does.
+    """
+    inside = ~(_SIGNS if signs else _SPACE)[data]
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
     ends = inside.copy()
