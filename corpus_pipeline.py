@@ -1,15 +1,66 @@
-"""The corpus pipeline (stages are added as their operators are built)."""
+"""From raw documents to packed training sequences, in five stages.
+
+Each stage takes what its predecessor kept and returns the columns of ``documents``; the
+last returns the packed pieces. No SQL expresses the first and the last stage, so the
+whole is tested against brute force instead.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rigspark.llm.decontaminate import contaminated
+from rigspark.llm.langid import UNKNOWN, identify, learn
+from rigspark.llm.line_dedup import dedup_lines
+from rigspark.llm.neardup import near_duplicates
+from rigspark.llm.packing import pack_documents
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognised language go: those without a letter."""
+    return identify(docs, learn(docs)).filter(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go; the documents stay with what is left of their text."""
+    left = dedup_lines(docs).withColumn("text", F.col("kept_text")).withColumn("n_chars", F.char_length("kept_text").cast("long"))
+    return left.select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates, the document of least doc_id stays."""
+    gone = near_duplicates(docs).filter(~F.col("kept")).select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go."""
+    leaks = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
+    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The remaining documents as token pieces placed in sequences."""
+    return pack_documents(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("packing", packing),
+]
 
-STAGES: list = []
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared folder and read again."""
+    from rigspark.llm.common import stage
+
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,9 +111,7 @@ def identify(docs: DataFrame, learned: list[tuple[str, list[int]]], ranks: int =
         order = np.argsort(codes)
         tables.append((codes[order], order))
 
-    def predict(texts):
-        import pandas as pd
-
+    def predict(texts: pd.Series) -> pd.DataFrame:
         out = []
         for text in texts:
             own = ranked(*ngrams(text), ranks) if text else ()
@@ -127,7 +126,7 @@ def identify(docs: DataFrame, learned: list[tuple[str, list[int]]], ranks: int =
             out.append((names[best], 1.0 - costs[best] / (ranks * len(own))))
         return pd.DataFrame(out, columns=["lang_pred", "score"])
 
-    predicted = F.pandas_udf(predict, "lang_pred string, score double", F.PandasUDFType.SCALAR)(F.col("text"))
+    predicted = F.pandas_udf(predict, "lang_pred string, score double")(F.col("text"))
     return (
         docs.withColumn("__language", predicted)
         .withColumn("lang_pred", F.col("__language.lang_pred"))
