@@ -6,8 +6,8 @@ rounds, so that only a small part of all windows is ever shuffled:
 
 1. Every window has a minimizer, the least hash among its short word runs; equal windows
    have equal minimizers. Minimizers that two different texts hold are kept.
-2. Windows with a kept minimizer become edges, known by two independent 64-bit hashes, and
-   meet by hash. An edge that starts in a smaller doc_id is a repeat in every other document
+2. Windows with a kept minimizer become edges, known by two independent hashes of 64 and
+   32 bits, and meet by hash. An edge that starts in a smaller doc_id is a repeat in every other document
    that holds it, at its source coordinates (doc_id, first word).
 
 Repeats at neighbouring coordinates compact into one path; paths of a document are joined
@@ -30,15 +30,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import table, whole_text
 from .words import hash_runs, hash_words, mix, split_words, text_blocks
 
 WINDOW = 13
-#: Words of a minimizer.
-RUN = 3
+#: Words of a minimizer: fewer would be shared by chance, more would be too many.
+RUN = 5
+LEAST_ID = -(2**63)
 
 
 def _window_minima(hashes: np.ndarray, window: int, run: int) -> np.ndarray:
@@ -62,7 +64,7 @@ def _first_of(*sorted_columns: np.ndarray) -> np.ndarray:
 
 
 def _minimizers(docs: DataFrame, window: int, run: int) -> DataFrame:
-    """(deal, minimizer, text_hash, decided): what each text holds; decided where another text of the batch has it."""
+    """(minimizer, text_hash, decided): what each text holds; decided where two other texts of the batch have it."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,12 +91,9 @@ def _minimizers(docs: DataFrame, window: int, run: int) -> DataFrame:
             heads = np.flatnonzero(_first_of(m))
             rank = np.arange(len(m)) - np.repeat(heads, np.diff(np.append(heads, len(m))))
             decided = rank >= 2  # the first two tell the others of their hash
-            deal = np.where(decided, mix(m.view(np.uint64) ^ t.view(np.uint64)).view(np.int64), m)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(deal), pa.array(m), pa.array(t), pa.array(decided)], names=["deal", "minimizer", "text_hash", "decided"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(m), pa.array(t), pa.array(decided)], names=["minimizer", "text_hash", "decided"])
 
-    return docs.select("text_hash", "text").mapInArrow(rows, "deal long, minimizer long, text_hash long, decided boolean")
+    return docs.select("text_hash", "text").mapInArrow(rows, "minimizer long, text_hash long, decided boolean")
 
 
 def _shared_minimizers(docs: DataFrame, window: int, run: int) -> DataFrame:
@@ -121,7 +120,8 @@ def _shared_minimizers(docs: DataFrame, window: int, run: int) -> DataFrame:
         if tied:
             yield out(m, t)
 
-    dealt = _minimizers(docs, window, run).repartition("deal").sortWithinPartitions("minimizer", "text_hash")
+    meet = F.when(F.col("decided"), F.col("text_hash")).otherwise(F.col("minimizer"))
+    dealt = _minimizers(docs, window, run).repartition(meet).sortWithinPartitions("minimizer", "text_hash")
     return dealt.mapInArrow(shared, "text_hash long, minimizer long")
 
 
@@ -154,7 +154,7 @@ def _edges(texts: DataFrame, window: int, run: int) -> DataFrame:
                     continue
                 low = _window_minima(words, window, run).view(np.int64)
                 edge = hash_runs(words, window).view(np.int64)
-                check = hash_runs(mix(words ^ np.uint64(0xA5A5A5A5F0F0F0F0)), window).view(np.int64)
+                check = hash_runs(mix(words ^ np.uint64(0xA5A5A5A5F0F0F0F0)), window).astype(np.uint32).view(np.int32)
                 for i in range(last - first):
                     a, b = place[i], place[i + 1] - window + 1
                     if b > a:
@@ -175,7 +175,7 @@ def _edges(texts: DataFrame, window: int, run: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate((edge[own], mix((paths[0] + paths[2]).view(np.uint64)).view(np.int64)))),
-                    pa.array(np.concatenate((check[own], np.zeros(n, np.int64)))),
+                    pa.array(np.concatenate((check[own], np.zeros(n, np.int32)))),
                     pa.array(np.concatenate((doc[own], paths[0]))),
                     pa.array(np.concatenate((tag[own], paths[1])).astype(np.int32)),
                     pa.array(np.concatenate((at[own], paths[2])).astype(np.int32)),
@@ -184,7 +184,7 @@ def _edges(texts: DataFrame, window: int, run: int) -> DataFrame:
                 names=["edge", "check", "doc_id", "tag", "first", "last"],
             )
 
-    return texts.select("doc_id", "tag", "text", "minimizers").mapInArrow(rows, "edge long, check long, " + _COVER)
+    return texts.select("doc_id", "tag", "text", "minimizers").mapInArrow(rows, "edge long, check int, " + _COVER)
 
 
 def _repeats(edges: DataFrame, window: int) -> DataFrame:
@@ -225,20 +225,26 @@ def _without(words: list[bytes], paths: list[tuple[int, int]]) -> list[bytes]:
     return kept + words[at:]
 
 
+def _tag(text_hash: Column) -> Column:
+    """Tells texts under one doc_id apart."""
+    return F.coalesce(F.pmod(text_hash, F.lit(30_011)).cast("int"), F.lit(0))
+
+
 def drop_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text (words joined by one space) for every row of ``docs``."""
     text = whole_text()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.pmod(F.xxhash64("text"), F.lit(30_011)).cast("int").alias("tag"), "text"
+    # without nulls in its keys the table is shuffled once for both joins
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("doc_id"), text.alias("text")).select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), _tag(F.xxhash64("text")).alias("tag"), "text"
     )
-    named = rows.filter("doc_id is not null")
+    named = rows.filter(F.col("doc_id") != LEAST_ID)
     classes = named.groupBy("text_hash", F.xxhash64(F.lit(17), "text").alias("second")).agg(F.min("doc_id").alias("least"))
     minimizers = (
         _shared_minimizers(named, window, run)
         .groupBy("text_hash")
         .agg(F.collect_list("minimizer").alias("minimizers"))  # as long as one text
         .join(classes, "text_hash")
-        .select(F.col("least").alias("doc_id"), F.pmod("text_hash", F.lit(30_011)).cast("int").alias("tag"), "minimizers")
+        .select(F.col("least").alias("doc_id"), _tag(F.col("text_hash")).alias("tag"), "minimizers")
     )
     texts = rows.select("doc_id", "tag", "text")
     paths = _repeats(_edges(texts.join(minimizers, ["doc_id", "tag"]), window, run), window)
@@ -264,7 +270,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> DataF
                 gone.append(len(words) - len(left))
                 kept.append(b" ".join(left).decode())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
+                [pc.if_else(pc.equal(batch.column("doc_id"), LEAST_ID), None, batch.column("doc_id")), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
                 names=["doc_id", "n_words", "n_removed", "kept_text"],
             )
 
