@@ -30,11 +30,10 @@ from .common import gapless_rank, stage, table, whole_text
 CAPACITY = 1024
 END = 2
 
-#: Chunks that a worker remembers the ids of.
-REMEMBERED = 400_000
+#: Chunks that a worker remembers the ids of, about 200 bytes each.
+REMEMBERED = 1_000_000
 #: A letter run and the ASCII signs behind it are separate units of the vocabulary's own splitting rule.
 _WORD_AND_SIGNS = re.compile(r"([^\W\d_]+)([.,;:!?|$%&#*()-]+)")
-_ODD_SPACE = re.compile(r" (?:\s|$)")
 _BEFORE_WORD = re.compile(r" (?=\S)")
 
 
@@ -42,8 +41,9 @@ class ChunkEncoder:
     """Ids of texts by a byte-level tokenizer, remembered by chunk.
 
     The tokenizer never joins a space that stands before a visible character to what is
-    left of it, so a text may be cut there and its chunks encoded alone. Texts that
-    hold a special token are encoded as a whole.
+    left of it, nor a single line break between two visible characters to either side, so
+    a text may be cut there and its chunks encoded alone. Texts that hold a special token
+    are encoded as a whole, and texts with other white space are cut at such spaces only.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -52,34 +52,46 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.special = [str(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.line_break = self._encode(["\n"])[0]
+        self.spaced: dict[str, bytes] = {}  # chunks behind a space
+        self.bare: dict[str, bytes] = {}  # chunks at the start of a line
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: set[str]) -> None:
-        cut = {c: m.groups() for c in chunks if (m := _WORD_AND_SIGNS.fullmatch(c))}
-        new = list({w for w, _ in cut.values()} - self.known.keys() | (chunks - cut.keys()))
-        self.known.update(zip(new, self._encode([" " + c for c in new]), strict=True))
+    def _learn(self, chunks: set[str], known: dict[str, bytes], before: str) -> None:
+        missing = chunks - known.keys()
+        if len(known) + len(missing) > REMEMBERED:
+            known.clear()
+            missing = chunks
+        cut = {c: m.groups() for c in missing if (m := _WORD_AND_SIGNS.fullmatch(c))}
+        new = list({w for w, _ in cut.values()} - known.keys() | (missing - cut.keys()))
+        known.update(zip(new, self._encode([before + c for c in new]), strict=True))
         signs = list({s for _, s in cut.values()})
         of_signs = dict(zip(signs, self._encode(signs), strict=True))
         for chunk, (word, sign) in cut.items():
-            self.known[chunk] = self.known[word] + of_signs[sign]
+            known[chunk] = known[word] + of_signs[sign]
+
+    def _lines(self, text: str) -> list[list[str]]:
+        if any(s in text for s in self.special):
+            return [[text]]
+        words, breaks = text.split(), text.count(" ") + text.count("\n")
+        if len(words) == breaks + 1 and sum(map(len, words)) + breaks == len(text):  # single spaces and line breaks alone
+            return [line.split(" ") for line in text.split("\n")]
+        return [_BEFORE_WORD.split(text)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
-        parts = [
-            [] if i in whole else (_BEFORE_WORD.split(t) if _ODD_SPACE.search(t) else t.split(" ")) for i, t in enumerate(texts)
-        ]
-        missing = set().union(*(p[1:] for p in parts)) - self.known.keys()
-        if len(self.known) + len(missing) > REMEMBERED:
-            self.known.clear()
-            missing = set().union(*(p[1:] for p in parts))
-        self._learn(missing)
-        heads = self._encode([t if i in whole else p[0] for i, (t, p) in enumerate(zip(texts, parts, strict=True))])
-        known = self.known.__getitem__
-        return [head + b"".join(map(known, p[1:])) for head, p in zip(heads, parts, strict=True)]
+        cut = [self._lines(t) for t in texts]
+        heads, rest = set(), set()
+        for lines in cut:
+            for chunks in lines:
+                heads.add(chunks[0])
+                rest.update(chunks[1:])
+        self._learn(heads, self.bare, "")
+        self._learn(rest, self.spaced, " ")
+        bare, spaced = self.bare, self.spaced.__getitem__
+        return [self.line_break.join([bare[c[0]] + b"".join(map(spaced, c[1:])) for c in lines]) for lines in cut]
 
 
 _encoders: dict[int, ChunkEncoder] = {}
