@@ -6,17 +6,19 @@ coordinate. Documents with equal sets form a class first, and only the class's l
 goes on. A pair that agrees in ``matches`` coordinates must collide in one of the first
 ``coordinates - matches + 1``, so only this prefix is posted under (coordinate, value).
 
+Beside them, two bits of each of ``minima`` minima estimate the similarity of a pair
+inside a join, so that hopeless pairs never become rows.
+
 1. Each posting list ties its members to its least member, which is linear in the
-   list. Pairs whose signatures agree in ``matches`` coordinates and ``equal`` single minima
-   are confirmed on the full shingle sets: first each document's best pair, then the others
-   whose ends are still apart.
+   list. Pairs that agree in ``equal`` minima or more are confirmed on the full shingle
+   sets: first each document's best pair, then the others whose ends are still apart.
 2. Lists whose members all lie in one component by then are skipped. In the rest, only
-   pairs across components are met, each in the first coordinate that it shares, and
-   confirmed as well.
+   pairs across components are met, each in the first coordinate that it shares, with
+   the same estimate as a condition of the join, and confirmed as well.
 
 So no link between components goes unseen, and a group of near copies never emits all its
 pairs. At similarity 0.75 two of 32 coordinates of three minima agree but for a chance of
-6e-7, and 45 of 96 minima (72 expected, deviation 4.2) but for one of 1e-9.
+6e-7, and two bits of 368 of 512 minima (416 expected, deviation 8.8) but for one of 3e-8.
 
 Cases: null, empty and blank texts have no shingles and are linked with nothing; a text
 of fewer words than a shingle is one shingle; rows that share a doc_id are one document;
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -43,11 +45,12 @@ SIMILARITY = 75  # hundredths
 COORDINATES = 32
 FOLDED = 3
 MATCHES = 2
-EQUAL = 45
+MINIMA = 512
+EQUAL = 368
 
 _random = np.random.default_rng(20_240_229)
-_TIMES = _random.integers(0, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PLUS = _random.integers(0, 2**63, 4096, dtype=np.uint64)
+_TIMES = _random.integers(0, 2**31, 4096, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_PLUS = _random.integers(0, 2**32, 4096, dtype=np.uint32)
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -66,15 +69,22 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
                 yield runs[:0]
 
 
-def minima(shingles: np.ndarray, coordinates: int) -> np.ndarray:
-    """The signature: the least value of each of ``coordinates`` hash functions over the set."""
-    out = np.full(coordinates, 2**32 - 1, np.uint32)
-    for i in range(0, len(shingles), 2048):
-        part = shingles[i : i + 2048, None] * _TIMES[:coordinates] + _PLUS[:coordinates]
-        np.minimum(out, (part >> np.uint64(32)).min(axis=0).astype(np.uint32), out=out)
+def minima(shingles: np.ndarray, number: int) -> np.ndarray:
+    """The least value of each of ``number`` hash functions over the set."""
+    out, high = np.full(number, 2**32 - 1, np.uint32), (shingles >> np.uint64(32)).astype(np.uint32)
+    for i in range(0, len(high), 1024):
+        part = high[i : i + 1024, None] * _TIMES[:number]
+        part += _PLUS[:number]
+        np.minimum(out, part.min(axis=0), out=out)
     return out
 
 
+def two_bits(sig: np.ndarray) -> np.ndarray:
+    """Two bits of each minimum, 32 minima to a long."""
+    codes = mix(sig.astype(np.uint64)).astype(np.uint8) & 3
+    return np.packbits((codes[:, None] >> np.array([1, 0], np.uint8)) & 1).view(np.int64)
+
+
 def folded_coordinates(sig: np.ndarray, folded: int) -> np.ndarray:
     """One 32-bit value of each ``folded`` minima."""
     out = np.zeros(len(sig) // folded, np.uint64)
@@ -83,8 +93,8 @@ def folded_coordinates(sig: np.ndarray, folded: int) -> np.ndarray:
     return (out >> np.uint64(32)).astype(np.uint32)
 
 
-def signatures(docs: DataFrame, words: int, coordinates: int, folded: int, prefix: int) -> DataFrame:
-    """doc_id, n_shingles, (h1, h2) of the whole set, the prefix of the signature and one byte of each minimum."""
+def signatures(docs: DataFrame, words: int, coordinates: int, folded: int, number: int, prefix: int) -> DataFrame:
+    """doc_id, n_shingles, (h1, h2) of the whole set, the prefix of the signature and two bits of each minimum."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,11 +102,11 @@ def signatures(docs: DataFrame, words: int, coordinates: int, folded: int, prefi
             for s in shingle_sets(batch.column("text"), words):
                 n.append(len(s))
                 if len(s):
-                    sig = minima(s, coordinates * folded)
+                    sig = minima(s, number)
                     h1.append(int((s.sum() + np.uint64(len(s))).view(np.int64)))
                     h2.append(int(mix(s ^ np.uint64(0xD6E8FEB86659FD93)).sum().view(np.int64)))
-                    head.append(folded_coordinates(sig, folded)[:prefix].view(np.int32))
-                    brief.append(mix(sig.astype(np.uint64)).astype(np.uint8).tobytes())
+                    head.append(folded_coordinates(sig[: coordinates * folded], folded)[:prefix].view(np.int32))
+                    brief.append(two_bits(sig))
                 else:
                     h1.append(None), h2.append(None), head.append(None), brief.append(None)
             yield pa.RecordBatch.from_arrays(
@@ -106,35 +116,31 @@ def signatures(docs: DataFrame, words: int, coordinates: int, folded: int, prefi
                     pa.array(h1, pa.int64()),
                     pa.array(h2, pa.int64()),
                     pa.array(head, pa.list_(pa.int32())),
-                    pa.array(brief, pa.binary()),
+                    pa.array(brief, pa.list_(pa.int64())),
                 ],
                 names=["doc_id", "n_shingles", "h1", "h2", "head", "brief"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(
-        rows, "doc_id long, n_shingles long, h1 long, h2 long, head array<int>, brief binary"
+        rows, "doc_id long, n_shingles long, h1 long, h2 long, head array<int>, brief array<long>"
     )
 
 
-def _agreeing(pairs: DataFrame, briefs: DataFrame, folded: int, matches: int, least: int) -> DataFrame:
-    """Pairs (a, b) whose signatures agree in ``matches`` coordinates and ``least`` minima, with the number of minima."""
+def _agreement(x: Column, y: Column, number: int) -> Column:
+    """In how many minima the two bits agree."""
+    wrong = F.lit(0)
+    for i in range(number // 32):
+        d = F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))
+        wrong = wrong + F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return F.lit(number) - wrong
 
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("x", "y"))
-                same = x == y
-                equal = same.sum(axis=1)
-                whole = np.logical_and.reduce([same[:, i::folded] for i in range(folded)]).sum(axis=1)
-                keep = np.flatnonzero((equal >= least) & (whole >= matches))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("a").take(pa.array(keep)), batch.column("b").take(pa.array(keep)), pa.array(equal[keep].astype(np.int32))],
-                    names=["a", "b", "equal"],
-                )
 
+def _agreeing(pairs: DataFrame, briefs: DataFrame, number: int, least: int) -> DataFrame:
+    """Pairs (a, b, equal) that agree in ``least`` minima or more."""
     left = briefs.select(F.col("doc_id").alias("a"), F.col("brief").alias("x"))
     right = briefs.select(F.col("doc_id").alias("b"), F.col("brief").alias("y"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(agree, "a long, b long, equal int")
+    equal = _agreement(F.col("x"), F.col("y"), number)
+    return pairs.join(left, "a").join(right, "b").select("a", "b", equal.alias("equal")).filter(F.col("equal") >= least)
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, similarity: int) -> DataFrame:
@@ -162,11 +168,12 @@ def near_duplicates(
     coordinates: int = COORDINATES,
     folded: int = FOLDED,
     matches: int = MATCHES,
+    number: int = MINIMA,
     equal: int = EQUAL,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
     prefix = coordinates - matches + 1
-    rows = stage(signatures(docs, words, coordinates, folded, prefix), "signatures")
+    rows = stage(signatures(docs, words, coordinates, folded, number, prefix), "signatures")
     filled = rows.filter("n_shingles > 0 and doc_id is not null")
     classes = filled.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
     reps = stage(
@@ -182,7 +189,7 @@ def near_duplicates(
     lists = posted.groupBy("post").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("most")).filter("b < most")
     shared = stage(posted.join(lists.select("post", "b"), "post"), "shared-lists")
     collided = shared.filter("doc_id <> b").select(F.col("doc_id").alias("a"), "b").distinct()
-    stars = stage(_agreeing(collided, briefs, folded, matches, equal), "stars")
+    stars = stage(_agreeing(collided, briefs, number, equal), "stars")
 
     # texts of whatever may have to be confirmed: members of shared lists
     members = shared.select("doc_id").distinct()
@@ -201,16 +208,15 @@ def near_duplicates(
         "post", "doc_id", F.coalesce("component", "doc_id").alias("component")
     )
     mixed = labelled.groupBy("post").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    open_lists = labelled.join(mixed.select("post"), "post").join(reps.select("doc_id", "head"), "doc_id")
-    a = open_lists.select("post", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("head").alias("ha"))
-    b = open_lists.select("post", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("head").alias("hb"))
-    place = F.shiftright("post", 32) + F.when(F.shiftright("post", 31).bitwiseAND(1) == 1, 1).otherwise(0)
-    agreed = F.array_position(F.zip_with("ha", "hb", lambda x, y: x == y), True) - 1
-    across = a.join(b, (a["post"] == b["post"]) & (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb"))).drop(b["post"])
-    across = across.filter(agreed == place).select("a", "b")
-    seen = stars.select("a", "b")
-    rest = _agreeing(across.join(seen, ["a", "b"], "left_anti"), briefs, folded, matches, equal)
-    last = stage(_confirmed(stage(rest, "across"), texts, words, similarity), "links")
+    open_lists = labelled.join(mixed.select("post"), "post").join(reps.select("doc_id", "head", "brief"), "doc_id")
+    side = lambda n: open_lists.select("post", *(F.col(c).alias(f"{n}_{c}") for c in ("doc_id", "component", "head", "brief")))
+    place = F.shiftright("post", 32) + F.shiftrightunsigned("post", 31).bitwiseAND(1)
+    agreed = F.array_position(F.zip_with("a_head", "b_head", lambda x, y: x == y), True) - 1
+    alike = _agreement(F.col("a_brief"), F.col("b_brief"), number) >= equal
+    across = side("a").join(side("b"), "post").filter((F.col("a_doc_id") > F.col("b_doc_id")) & (F.col("a_component") != F.col("b_component")) & alike & (agreed == place))
+    across = stage(across.select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")), "across")
+    rest = across.join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    last = stage(_confirmed(rest, texts, words, similarity), "links")
     joined = components(links.union(last))
 
     named = classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
