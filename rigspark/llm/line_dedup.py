@@ -55,7 +55,7 @@ def _union(runs: list[DataFrame]) -> DataFrame:
 
 
 def repeated_lines(keys: DataFrame, batches: int, min_docs: int, fanout: int = 2) -> DataFrame:
-    """(h1, h2, keeper) of every key that at least ``min_docs`` documents hold."""
+    """(h1, h2, n, keeper) of every key that at least ``min_docs`` documents hold."""
     levels: list[list[DataFrame]] = [[]]
     for b in range(batches):
         own = (
@@ -77,13 +77,29 @@ def repeated_lines(keys: DataFrame, batches: int, min_docs: int, fanout: int = 2
             levels[i + 1].append(_sorted_run(_merged(levels[i]), f"lines-l{i + 1}-{b}"))
             levels[i] = []
             i += 1
-    return _merged([r for level in levels for r in level]).filter(F.col("n") >= min_docs).drop("n")
+    return _merged([r for level in levels for r in level]).filter(F.col("n") >= min_docs)
 
 
 def _merged(runs: list[DataFrame]) -> DataFrame:
     return _union(runs).groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.max("keeper").alias("keeper"))
 
 
+def _holders(keys: DataFrame, flagged: DataFrame, most_hot: int = 10_000) -> DataFrame:
+    """(place, h1, h2) of each document that loses a key.
+
+    A key that more than one in ``most_hot`` of all rows has is hot; there are fewer than ``most_hot`` of them, so
+    they are broadcast and their rows never meet in one task. The others are joined by hash.
+    """
+    total = keys.agg(F.count(F.lit(1)).alias("total"))
+    marked = stage(flagged.crossJoin(F.broadcast(total)).select("h1", "h2", "keeper", (F.col("n") * most_hot > F.col("total")).alias("hot")), "repeated-lines")
+    hot = marked.filter("hot").select("h1", "h2", F.col("keeper").alias("hot_keeper"))
+    rows = keys.select("h1", "h2", "place").join(F.broadcast(hot), ["h1", "h2"], "left")
+    of_hot = rows.filter("place < hot_keeper").select("place", "h1", "h2")
+    rest = rows.filter("hot_keeper is null").select("place", "h1", "h2")
+    of_rest = rest.join(marked.filter("not hot").select("h1", "h2", "keeper"), ["h1", "h2"]).filter("place < keeper").select("place", "h1", "h2")
+    return of_hot.unionByName(of_rest)
+
+
 def dedup_lines(
     docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = 4, fanout: int = 2
 ) -> DataFrame:
@@ -94,13 +110,7 @@ def dedup_lines(
     """
     keys = stage(_batched(docs, batches, min_chars), "line-keys", ["batch"])
     flagged = repeated_lines(keys, batches, min_docs, fanout)
-    drops = (
-        keys.select("h1", "h2", "place")
-        .join(flagged, ["h1", "h2"])
-        .filter(F.col("place") < F.col("keeper"))
-        .groupBy("place")
-        .agg(F.collect_set(F.struct("h1", "h2")).alias("__drop"))
-    )
+    drops = _holders(keys, flagged).groupBy("place").agg(F.collect_set(F.struct("h1", "h2")).alias("__drop"))
     lines = F.split(whole_text(), "\n", -1)
     pairs = F.transform(lines, lambda x: F.struct(x.alias("line"), line_key(x).alias("key")))
     stays = F.filter(
