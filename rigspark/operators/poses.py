@@ -167,10 +167,10 @@ def refine_poses(observations: DataFrame, cameras: DataFrame, points: DataFrame,
         return a, b, res, np.linalg.inv(v), np.einsum("nki,nk->i", b, res)
 
     for _ in range(rounds):
-        lam = damp
+        lam = damp  # each round is run before it changes
         joined = weighted.join(pts, keys).join(F.broadcast(rig), ["capture_id", "camera_label"])  # tens of rows a capture
 
-        def eliminate(pdf: pd.DataFrame, lam=lam) -> pd.DataFrame:
+        def eliminate(pdf: pd.DataFrame) -> pd.DataFrame:
             a, b, res, vi, g = blocks(pdf, lam)
             w = np.einsum("nki,nkj->nij", a, b)
             out, names = [], pdf["camera_label"].tolist()
@@ -196,7 +196,7 @@ def refine_poses(observations: DataFrame, cameras: DataFrame, points: DataFrame,
             break
         last = cost
 
-        def solve(pdf: pd.DataFrame, lam=lam) -> pd.DataFrame:
+        def solve(pdf: pd.DataFrame) -> pd.DataFrame:
             names = sorted(set(pdf["cam_a"]))
             at = {c: i for i, c in enumerate(names)}
             m, s = np.zeros((6 * len(names), 6 * len(names))), np.zeros(6 * len(names))
@@ -211,7 +211,7 @@ def refine_poses(observations: DataFrame, cameras: DataFrame, points: DataFrame,
 
         steps = cut(summed.groupBy("capture_id").applyInPandas(solve, "capture_id long, camera_label string, step array<double>"))
 
-        def move_points(pdf: pd.DataFrame, lam=lam) -> pd.DataFrame:
+        def move_points(pdf: pd.DataFrame) -> pd.DataFrame:
             a, b, res, vi, g = blocks(pdf, lam)
             w = np.einsum("nki,nkj->nij", a, b)
             back = np.einsum("nij,ni->j", w, np.stack(pdf["step"].to_numpy()))
@@ -249,43 +249,52 @@ def quat_from_matrix(m: np.ndarray) -> np.ndarray:
     return q * np.where(q[:, :1] < 0, -1.0, 1.0)
 
 
-def slice_4d_covariance(splats4d: DataFrame, boost: float = 1.0) -> DataFrame:
-    """velocity, t_sigma, rotation and log scales of raw 4D splats, by conditioning on time.
+def _product_matrix(q: np.ndarray, side: int) -> np.ndarray:
+    """4x4 matrices of quaternion products (w first): by q from the left (side 1), by its conjugate from the right (side -1)."""
+    w, v = q[:, 0], q[:, 1:]
+    out = np.zeros((len(q), 4, 4))
+    out[:, range(4), range(4)] = w[:, None]
+    out[:, 1:, 0] = side * v
+    out[:, 0, 1:] = -side * v
+    for i, j, k in ((0, 1, 2), (1, 2, 0), (2, 0, 1)):
+        out[:, 1 + j, 1 + k] -= v[:, i]
+        out[:, 1 + k, 1 + j] += v[:, i]
+    return out
 
-    ``log_scale`` (3), ``log_scale_t``, ``rot_l`` and ``rot_r`` (4, w first) give the covariance L L^T of the
-    rotor; its time row gives velocity and duration, the Schur complement the shape.
-    """
 
-    def left(q):
-        w, x, y, z = q.T
-        return np.stack((w, -x, -y, -z, x, w, -z, y, y, z, w, -x, z, -y, x, w), axis=1).reshape(-1, 4, 4)
+def view_stretch(cameras: DataFrame, kx: float, ky: float) -> np.ndarray:
+    """3x3 stretch by kx and ky along the mean camera's axes; one summed rotation comes to the driver."""
+    sums = cameras.agg(*(F.avg(F.col("c2w")[4 * i + j]) for i in range(3) for j in range(3))).first()
+    u, _, vt = np.linalg.svd(np.array([float(x) for x in sums]).reshape(3, 3))
+    return (u @ vt) @ np.diag([kx, ky, 1.0]) @ (u @ vt).T
 
-    def right(q):
-        w, x, y, z = q.T
-        return np.stack((w, -x, -y, -z, x, w, z, -y, y, -z, w, x, z, y, -x, w), axis=1).reshape(-1, 4, 4)
+
+def slice_4d_covariance(splats4d: DataFrame, boost: float = 1.0, stretch: np.ndarray | None = None) -> DataFrame:
+    """velocity, t_sigma, rotation and log scales of raw 4D splats, by conditioning on time.
+
+    ``log_scale`` (3), ``log_scale_t``, ``rot_l`` and ``rot_r`` (4, w first) give the covariance of the rotor
+    (its axes in reverse order, time last); its time row gives velocity and duration, the Schur complement the shape.
+    """
 
     def sliced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if not len(pdf):
                 continue
-            unit = lambda c: (lambda q: q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12))(np.stack(pdf[c].to_numpy()).astype(float))
-            scale = np.exp(np.column_stack((np.stack(pdf["log_scale"].to_numpy()).astype(float), pdf["log_scale_t"])))
-            m = (left(unit("rot_l")) @ right(unit("rot_r")))[:, ::-1, ::-1].copy() * scale[:, None, :]
-            cov = m @ m.transpose(0, 2, 1)
+            raw = {c: np.stack(pdf[c].to_numpy()).astype(float) for c in ("rot_l", "rot_r", "log_scale")}
+            unit = {c: raw[c] / np.maximum(np.linalg.norm(raw[c], axis=1, keepdims=True), 1e-12) for c in ("rot_l", "rot_r")}
+            rotor = _product_matrix(unit["rot_l"], 1) @ _product_matrix(unit["rot_r"], -1)
+            axes = rotor[:, ::-1, ::-1] * np.exp(np.column_stack((raw["log_scale"], pdf["log_scale_t"])))[:, None, :]
+            cov = axes @ axes.transpose(0, 2, 1)
             tt = np.maximum(cov[:, 3, 3], 1e-12)
             velocity = cov[:, :3, 3] / tt[:, None]
-            shape = cov[:, :3, :3] - cov[:, :3, 3:] * cov[:, 3:, :3] / tt[:, None, None]
+            shape = cov[:, :3, :3] - velocity[:, :, None] * cov[:, None, :3, 3]
+            if stretch is not None:
+                shape = stretch @ shape @ stretch.T
             values, vectors = np.linalg.eigh(shape)
-            vectors[np.linalg.det(vectors) < 0, :, 0] *= -1
-            q, logs = quat_from_matrix(vectors), 0.5 * np.log(np.maximum(values * boost, 1e-18))
+            vectors[:, :, 2] *= np.where(np.linalg.det(vectors) < 0, -1.0, 1.0)[:, None]
             out = pdf[["clip_id", "splat_id"]].copy()
-            for i, a in enumerate("xyz"):
-                out[f"v{a}"] = velocity[:, i]
-            out["t_sigma"] = np.sqrt(tt)
-            for i in range(4):
-                out[f"rot_{i}"] = q[:, i]
-            for i in range(3):
-                out[f"scale_{i}"] = logs[:, i]
+            made = (velocity, np.sqrt(tt)[:, None], quat_from_matrix(vectors), 0.5 * np.log(np.maximum(values, 1e-18)) + np.log(max(boost, 1e-6)))
+            out[names] = np.concatenate(made, axis=1)
             yield out
 
     names = ["vx", "vy", "vz", "t_sigma", *(f"rot_{i}" for i in range(4)), *(f"scale_{i}" for i in range(3))]
