@@ -97,3 +97,27 @@ def scaled_intrinsics(k: float, rounded: bool) -> list[Column]:
     """fl, cx, cy divided by ``k``; width and height floor-divided, or rounded for scoring."""
     size = (lambda c: F.rint(F.col(c) / k).cast("int")) if rounded else (lambda c: F.floor(F.col(c) / k).cast("int"))
     return [*((F.col(c) / k).alias(c) for c in ("fl_x", "fl_y", "cx", "cy")), size("w").alias("w"), size("h").alias("h")]
+
+
+def distorted(x: Column, y: Column, model: str, k: list[Column]) -> tuple[Column, Column]:
+    """Normalised coordinates as a lens of the model shows them: ``pinhole``, ``polynomial`` (k1, k2, p1, p2) or ``fisheye`` (k1..k4)."""
+    r2 = x * x + y * y
+    if model == "pinhole":
+        return x, y
+    if model == "polynomial":
+        radial = 1.0 + k[0] * r2 + k[1] * r2 * r2
+        return x * radial + 2.0 * k[2] * x * y + k[3] * (r2 + 2.0 * x * x), y * radial + k[2] * (r2 + 2.0 * y * y) + 2.0 * k[3] * x * y
+    if model == "fisheye":
+        r = F.sqrt(r2)
+        a = F.atan(r)
+        a2 = a * a
+        turned = a * (1.0 + a2 * (k[0] + a2 * (k[1] + a2 * (k[2] + a2 * k[3]))))
+        scale = F.when(r > 1e-12, turned / F.greatest(r, F.lit(1e-12))).otherwise(1.0)
+        return x * scale, y * scale
+    raise ValueError(f"unknown lens model {model}")
+
+
+def undistort_map(px: Column, py: Column, target: dict[str, Column], native: dict[str, Column], model: str, k: list[Column]) -> tuple[Column, Column]:
+    """The native pixel that each pixel of an undistorted image shows; both cameras by fl_x, fl_y, cx, cy."""
+    u, v = distorted((px - target["cx"]) / target["fl_x"], (py - target["cy"]) / target["fl_y"], model, k)
+    return native["fl_x"] * u + native["cx"], native["fl_y"] * v + native["cy"]

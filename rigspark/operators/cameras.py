@@ -232,3 +232,12 @@ def reconcile_calibration(calibrations: DataFrame, media: DataFrame) -> DataFram
     sx, sy = F.when(status == "scaled", rx).otherwise(1.0), F.when(status == "scaled", ry).otherwise(1.0)
     scaled = F.transform("k", lambda v, i: v * F.when(i < 3, sx).when(i < 6, sy).otherwise(1.0))
     return calibrations.join(media, calibrations["camera_id"] == media["camera"]).withColumn("status", status).withColumn("k", scaled)
+
+
+def time_rescale(views: DataFrame, durations: DataFrame) -> DataFrame:
+    """Times stretched to their clip's duration, unless they fit it within 0.8 and 1.25. ``durations``: capture_id, duration."""
+    longest = views.groupBy("capture_id").agg(F.max("time").alias("__longest")).join(durations, "capture_id")
+    ratio = F.col("duration") / F.col("__longest")
+    factor = F.when((F.col("__longest") > 0) & ~((ratio > 0.8) & (ratio < 1.25)), ratio).otherwise(1.0)
+    scaled = views.join(F.broadcast(longest), "capture_id")  # one row a capture
+    return scaled.withColumn("time", F.col("time") * factor).drop("__longest", "duration")

@@ -133,6 +133,18 @@ def vq_train(df: DataFrame, column: str, key: str, k: int, rounds: int = 8, samp
     return centroids
 
 
+def build_palette(spark, clip_id: int, centroids: np.ndarray, k: int = 256) -> tuple[DataFrame, DataFrame]:
+    """A palette of vectors as bytes: its own codebook over all values, and each entry's texels (entry n in row n / 64, column n % 64 times its length)."""
+    n, width = centroids.shape
+    rows = [(clip_id, e, j, float(centroids[e, j])) for e in range(n) for j in range(width)]  # a palette, never a corpus
+    values = spark.createDataFrame(rows, "clip_id long, entry int, coefficient int, v double")
+    book = kmeans_1d(values.groupBy("clip_id", F.col("v").alias("value")).agg(F.count(F.lit(1)).alias("n")), k)
+    placed = assign_codebook(values, "v", book, "idx").select(
+        "clip_id", "entry", (F.col("entry") / 64).cast("int").alias("row"), ((F.col("entry") % 64) * width + F.col("coefficient")).alias("column"), "idx"
+    )
+    return book, placed
+
+
 def quantise(ordered: DataFrame, ranges: DataFrame, codebooks: DataFrame | None = None) -> DataFrame:
     """Byte planes of ordered splats: split positions and motion, packed quaternions, alpha, and codebook indices."""
     out = ordered.join(F.broadcast(_wide(ranges)), "clip_id")  # one row a clip

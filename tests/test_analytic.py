@@ -15,6 +15,7 @@ from rigspark.functions import encoding as E
 from rigspark.functions.text import camera_label, last_change, seconds, trailing_id
 from rigspark.operators import cameras, compare, components, dataset, evaluate, poses, quantize, splats, sync, temporal, validate
 from rigspark.operators.poses import quat_from_matrix
+from rigspark.plans import jobs
 from rigspark.sources import tables
 from rigspark.sources.ply import parse_header, ply_headers, read_clips, read_splat_ply, read_static_splats
 
@@ -352,3 +353,42 @@ def test_dataset_parts(spark):
     b = a.withColumn("r", F.lit(0))
     mse = evaluate.image_mse(a, b, ["v"]).select(evaluate.psnr(F.col("mse"), 255.0).alias("p")).first().p
     assert mse == pytest.approx(-10 * math.log10(255**2 / 6 / 255**2))
+
+
+def test_lens_models(spark):
+    from rigspark.functions.geometry import distorted, undistort_map
+
+    k = [F.lit(0.1), F.lit(0.01), F.lit(0.001), F.lit(0.002)]
+    df = spark.createDataFrame([(0.3, -0.2), (0.0, 0.0)], "x double, y double")
+    rows = df.select(*distorted(F.col("x"), F.col("y"), "polynomial", k), *distorted(F.col("x"), F.col("y"), "fisheye", k)).collect()
+    r2 = 0.13
+    assert rows[0][0] == pytest.approx(0.3 * (1 + 0.1 * r2 + 0.01 * r2 * r2) + 2 * 0.001 * -0.06 + 0.002 * (r2 + 0.18))
+    a = math.atan(math.sqrt(r2))
+    assert rows[0][2] == pytest.approx(0.3 * a * (1 + 0.1 * a**2 + 0.01 * a**4 + 0.001 * a**6 + 0.002 * a**8) / math.sqrt(r2))
+    assert tuple(rows[1]) == (0, 0, 0, 0)
+    cam = {"fl_x": F.lit(10.0), "fl_y": F.lit(10.0), "cx": F.lit(5.0), "cy": F.lit(4.0)}
+    assert tuple(df.select(*undistort_map(F.lit(7.0), F.lit(3.0), cam, cam, "pinhole", k)).first()) == pytest.approx((7, 3))
+
+
+def test_jobs(spark):
+    truth, rig = cloud(12), ring(4)
+    done = jobs.refine_job(rig_frame(spark, ring(4, 0.005)), observed(spark, rig, truth))
+    assert done["poses"].count() == 4 and done["points"].count() == 12
+    s = random_splats(spark)
+    same = jobs.compare_job(s, s, quantize.axis_ranges(s), 0.0, 2.0, 0.25, {"x": (1e-6, "split16"), "t_sigma": (None, "codebook")})
+    assert all(same[n].count() == 0 for n in ("counts", "groups", "members"))
+    assert {r.verdict for r in same["fields"].collect()} == {"pass", "advisory"}
+    frames = s.withColumn("frame", (F.col("splat_id") % 4).cast("int")).drop("t_center", "t_sigma", "vx", "vy", "vz")
+    assert jobs.flipbook_job(frames, 10.0, 100, 4)["planes"].groupBy("clip_id").count().filter("count = 50").count() == 2
+
+
+def test_network_bakes_colours(spark):
+    from rigspark.operators.appearance import TwoLayers, bake_appearance, contracted, frequencies
+
+    assert np.allclose(np.linalg.norm(contracted(np.array([[1e9, 0, 0], [0.5, 0, 0]])), axis=1), [1, 0.25])
+    x = np.array([[0.25, 0.5]])
+    assert np.allclose(np.sort(frequencies(x, 3, True)), np.sort(frequencies(x, 3, False)))
+    rng = np.random.default_rng(0)
+    df = random_splats(spark, 10).withColumn("app", F.array(F.lit(0.1), F.lit(0.2), F.lit(0.3)))
+    out = bake_appearance(df, TwoLayers(rng.normal(size=(8, 40)), rng.normal(size=(3, 8))))
+    assert out.count() == 10 and out.filter("isnan(f_dc_0)").count() == 0
