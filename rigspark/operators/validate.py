@@ -84,7 +84,7 @@ def validate_dataset(views: DataFrame, points: DataFrame) -> DataFrame:
     return nulls.distinct().unionByName(empty).unionByName(few)
 
 
-def validate_result(clips: DataFrame, name: str = "sogst") -> DataFrame:
+def validate_result(clips: DataFrame, name: str) -> DataFrame:
     return _violations(clips, ["clip_id"], ("format", ~F.coalesce(F.col("format") == name, F.lit(False))), ("empty", F.coalesce("splat_count", F.lit(0)) < 1))
 
 
