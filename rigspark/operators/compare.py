@@ -146,7 +146,7 @@ def sh_layout_ratio(pairs: DataFrame, bar: float = 0.25) -> DataFrame:
     """Mean error of ``f_rest`` over the deviation of side a; a wrong layout is far above the bar."""
     both = F.arrays_zip(F.col("a_f_rest").alias("a"), F.col("b_f_rest").alias("b"))
     flat = pairs.select("clip_id", F.explode(both).alias("r"))
-    ratio = F.avg(F.abs(F.col("r.0") - F.col("r.1"))) / F.stddev_pop("r.0")
+    ratio = F.avg(F.abs(F.col("r.a") - F.col("r.b"))) / F.stddev_pop("r.a")
     return flat.groupBy("clip_id").agg(ratio.alias("ratio")).withColumn("verdict", F.when(F.col("ratio") <= bar, "pass").otherwise("fail"))
 
 

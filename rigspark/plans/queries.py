@@ -187,7 +187,7 @@ def _(spark, d):
 
 
 _GRP = "CASE WHEN 2e0 * 3.8e0 * t_sigma > 3e0 * 1e-1 THEN -1 ELSE CAST(least(greatest(trunc((t_center - 0e0) / 1e-1), 0), 109) AS INT) END"
-_SEGMENTS = f"""SELECT clip_id, seg_idx, first, first + n AS last, round(coalesce(low, nominal), 6) AS t0, round(coalesce(high, nominal + 1e-1), 6) AS t1 FROM (
+_SEGMENTS = f"""SELECT clip_id, CAST(seg_idx AS INT) AS seg_idx, first, first + n AS last, round(coalesce(low, nominal), 6) AS t0, round(coalesce(high, nominal + 1e-1), 6) AS t1 FROM (
   SELECT k.clip_id, k.g AS seg_idx, coalesce(n, 0) AS n, low, high, 0e0 + k.g * 1e-1 AS nominal,
     CAST(coalesce(sum(coalesce(n, 0)) OVER (PARTITION BY k.clip_id ORDER BY k.g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first
   FROM (SELECT clip_id, unnest(range(-1, 110)) AS g FROM (SELECT DISTINCT clip_id FROM splats)) k
@@ -660,6 +660,117 @@ def _(spark, d):
     return evaluate.gate_baseline(own, golden).select("camera", "status")
 
 
+@query("flipbook_splats", "SELECT frame, count(*) AS n, round(frame / 3e1, 6) AS t_center, round(5e-1 / 3e1, 6) AS t_sigma FROM splats WHERE 1e0 / (1e0 + exp(-opacity)) >= 1e0 / 255e0 GROUP BY frame", splats=X.SPLATS)
+def _(spark, d):
+    made = S.flipbook_to_splats(S.filter_visible(X.splats(spark, d)), 30.0)
+    return made.groupBy("frame", F.round("t_center", 6).alias("t_center"), F.round("t_sigma", 6).alias("t_sigma")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "crop_box",
+    """SELECT camera_label, CAST(trunc(greatest(0e0, least(min(u) - 5e0, 96e0))) AS INT) AS x0, CAST(trunc(greatest(0e0, least(min(v) - 5e0, 64e0))) AS INT) AS y0,
+    CAST(trunc(greatest(0e0, least(max(u) + 5e0, 96e0))) AS INT) AS x1, CAST(trunc(greatest(0e0, least(max(v) + 5e0, 64e0))) AS INT) AS y1 FROM obs WHERE score >= 5e-1 GROUP BY camera_label""",
+    obs=X.OBSERVATIONS,
+)
+def _(spark, d):
+    seen = X.derive(spark, d, X.OBSERVATIONS).filter("score >= 0.5D")
+    return dataset.crop_box(seen.withColumns({"w": F.lit(96), "h": F.lit(64)}), 5.0)
+
+
+@query(
+    "search_box",
+    "SELECT capture_id, " + ", ".join(f"round(m{a} - r, 6) AS min_{a}, round(m{a} + r, 6) AS max_{a}" for a in "xyz") + """ FROM (SELECT *, greatest(4e0, hx - mx, mx - lx, hy - my, my - ly, hz - mz, mz - lz) AS r FROM
+    (SELECT capture_id, avg(6e1 * s) AS mx, min(6e1 * s) AS lx, max(6e1 * s) AS hx, 0e0 AS my, 0e0 AS ly, 0e0 AS hy, avg(-(6e1 * c)) AS mz, min(-(6e1 * c)) AS lz, max(-(6e1 * c)) AS hz FROM rig GROUP BY capture_id))""",
+    rig=X.RIG,
+)
+def _(spark, d):
+    return dataset.search_box(X.cameras(spark, d)).select("capture_id", *(F.round(f"{n}_{a}", 6).alias(f"{n}_{a}") for a in "xyz" for n in ("min", "max")))
+
+
+@query(
+    "mask_components_two",
+    "SELECT camera_label, CAST(2 AS BIGINT) AS components_total, CAST(1 AS BIGINT) AS components_kept FROM runs GROUP BY camera_label",
+    runs=X.RUNS,
+)
+def _(spark, d):
+    runs = X.derive(spark, d, X.RUNS).filter("y <> 30")
+    hits = runs.filter("y = 10").select("camera_label", F.col("x0").alias("px"), F.col("y").alias("py"))
+    return components.component_hits(components.mask_components(runs, ["camera_label"]), hits, ["camera_label"])[1]
+
+
+@query(
+    "temporal_weight_error",
+    "SELECT clip_id, round(avg(CASE WHEN splat_id % 4 = 0 THEN 1e0 ELSE 0e0 END), 6) AS over_share FROM splats GROUP BY clip_id",
+    splats=X.SPLATS,
+)
+def _(spark, d):
+    a = X.splats(spark, d)
+    b = a.withColumn("t_sigma", F.col("t_sigma") * F.when(F.col("splat_id") % 4 == 0, 1.5).otherwise(1.001))
+    return compare.temporal_weight_error(_joined(a, b, ["t_center", "t_sigma"]), T0, T1).withColumn("over_share", F.round("over_share", 6))
+
+
+@query("rotation_error", "SELECT clip_id, round(max(CASE WHEN splat_id % 2 = 0 THEN 0e0 ELSE 0e0 END), 3) AS max_degrees FROM splats GROUP BY clip_id", splats=X.SPLATS)
+def _(spark, d):
+    a = X.splats(spark, d)
+    names = [f"rot_{i}" for i in range(4)]
+    b = a.withColumns({c: F.col(c) * F.when(F.col("splat_id") % 2 == 0, -2.0).otherwise(3.0) for c in names})
+    return compare.rotation_error(_joined(a, b, names)).withColumn("max_degrees", F.round("max_degrees", 3) + 0.0)
+
+
+@query(
+    "sh_layout_ratio",
+    """SELECT clip_id, round(avg(abs(a - b)) / stddev_pop(a), 6) AS ratio FROM (SELECT vec_id % 3 AS clip_id, unnest(CAST(embedding[1:45] AS DOUBLE[])) AS a,
+    unnest(list_reverse(CAST(embedding[1:45] AS DOUBLE[]))) AS b FROM embeddings) GROUP BY clip_id""",
+)
+def _(spark, d):
+    v = spark.read.parquet(f"{d}/embeddings.parquet").select((F.col("vec_id") % 3).alias("clip_id"), F.slice("embedding", 1, 45).cast("array<double>").alias("a_f_rest"))
+    return compare.sh_layout_ratio(v.withColumn("b_f_rest", F.reverse("a_f_rest"))).select("clip_id", F.round("ratio", 6).alias("ratio"))
+
+
+@query("group_differences", "SELECT clip_id, CAST(0 AS INT) AS first_difference FROM splats GROUP BY clip_id", splats=X.SPLATS)
+def _(spark, d):
+    table = _segments(spark, d)
+    return compare.group_differences(table, table.withColumn("last", F.col("last") + (F.col("seg_idx") >= 0).cast("long")))
+
+
+@query("stem_collisions", "SELECT capture_id, stem, count(*) AS n FROM (SELECT capture_id, left(camera, 15) AS stem FROM offs) GROUP BY capture_id, stem HAVING count(*) > 1", offs=X.OFFSETS)
+def _(spark, d):
+    files = X.derive(spark, d, X.OFFSETS).withColumn("camera", F.concat(F.lit("takes/"), F.substring("camera", 1, 15), F.lit(".mp4")))
+    return sync.stem_collisions(files)
+
+
+@query(
+    "sample_instants",
+    """SELECT capture_id, camera, k, CAST(least(greatest(round_even(low + k * (high - 1 - low) / 4e0, 0) - shift, 0), nb_frames - 1) AS INT) AS frame FROM (SELECT *, max(shift) OVER (PARTITION BY capture_id) AS low,
+    min(nb_frames + shift) OVER (PARTITION BY capture_id) AS high FROM (SELECT capture_id, camera, CAST(200 + length(camera) AS INT) AS nb_frames, coalesce(frame_offset, 0) AS shift FROM offs)) CROSS JOIN (SELECT CAST(range AS INT) AS k FROM range(0, 5))""",
+    offs=X.OFFSETS,
+)
+def _(spark, d):
+    offsets = X.derive(spark, d, X.OFFSETS)
+    media = offsets.select("capture_id", "camera", (F.length("camera") + 200).alias("nb_frames"))
+    return sync.sample_instants(media, offsets.select("capture_id", "camera", F.col("frame_offset").alias("shift")), 5)
+
+
+@query(
+    "reachable_cameras",
+    "SELECT 'cam_' || CAST(n_nationkey AS STRING) AS camera FROM nation WHERE n_nationkey % 3 = 0",
+)
+def _(spark, d):
+    label = lambda c: F.concat(F.lit("cam_"), c.cast("string"))
+    n = spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey")
+    pairs = n.select(F.lit(0).alias("capture_id"), label(F.col("n_nationkey")).alias("cam_a"), label(F.col("n_nationkey") + 3).alias("cam_b"), F.lit(True).alias("confident")).filter("n_nationkey < 22")
+    return sync.reachable(pairs, n.filter("n_nationkey = 0").select(F.lit(0).alias("capture_id"), label(F.col("n_nationkey")).alias("camera"))).select("camera")
+
+
+@query(
+    "latest_metric",
+    "SELECT o_orderpriority AS metric, arg_max(o_totalprice, (o_orderdate, o_totalprice)) AS value FROM orders GROUP BY o_orderpriority",
+)
+def _(spark, d):
+    history = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderpriority").alias("metric"), F.col("o_orderdate").alias("ts"), F.col("o_totalprice").alias("value"))
+    return evaluate.latest(history)
+
+
 # results that SQL cannot give: rows only here, analytic tests beside
 
 
