@@ -289,8 +289,19 @@ def labelled_pages(htmls: list[str], copies: int = 3) -> list[tuple[list[np.ndar
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Model:
-    """The model of at most ``sample`` pages, which are all that the driver reads."""
-    rows = pages.select("html", F.xxhash64("page_id").alias("k")).filter("html is not null").orderBy("k", "html").limit(sample).collect()
+    """The model of at most ``sample`` pages, which are all that the driver reads.
+
+    A share of all pages that holds about twice as many is drawn by hash first, so that no task sends more than its part.
+    """
+    drawn, parts = F.xxhash64("page_id"), 1 << 40
+    share = min(1.0, 2.0 * sample / max(pages.count(), 1))
+    rows = (
+        pages.select("html", drawn.alias("k"))
+        .filter(F.col("html").isNotNull() & (F.pmod("k", F.lit(parts)) < int(share * parts)))
+        .orderBy("k", "html")
+        .limit(sample)
+        .collect()
+    )
     return train(labelled_pages([r["html"] for r in rows]))
 
 
