@@ -5,6 +5,8 @@ Every operator works for many clips at once: ``clip_id`` groups, ``splat_id`` id
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,6 +15,14 @@ from ..functions.geometry import colour, position_at, sigmoid
 
 SIZES = ("scale_0", "scale_1", "scale_2")
 
+#: The largest size that each real spherical harmonic of degree 1 to 3 takes on the sphere.
+SH_BOUNDS = [
+    *[math.sqrt(3 / (4 * math.pi))] * 3,
+    *[math.sqrt(15 / (16 * math.pi)), math.sqrt(15 / (16 * math.pi)), math.sqrt(5 / (4 * math.pi)), math.sqrt(15 / (16 * math.pi)), math.sqrt(15 / (16 * math.pi))],
+    *[math.sqrt(35 / (32 * math.pi)), math.sqrt(35 / (36 * math.pi)), math.sqrt(28 / (22.5 * math.pi)), math.sqrt(7 / (4 * math.pi))],
+    *[math.sqrt(28 / (22.5 * math.pi)), math.sqrt(35 / (36 * math.pi)), math.sqrt(35 / (32 * math.pi))],
+]
+
 
 def _largest() -> Column:
     return F.greatest(*(F.exp(c) for c in SIZES))
@@ -101,7 +111,7 @@ def reanchor(splats: DataFrame, t: Column | float) -> DataFrame:
     return splats.withColumns(moved | speed | {"t_center": new_time})
 
 
-def clamp_sh(splats: DataFrame, y_max: list[float], limit: float = 1.5) -> DataFrame:
+def clamp_sh(splats: DataFrame, y_max: list[float] = SH_BOUNDS, limit: float = 1.5) -> DataFrame:
     """Scales ``f_rest`` (channel-major, 15 a channel) so that no view leaves the limit; 0 or less disables."""
     if limit <= 0:
         return splats

@@ -392,3 +392,12 @@ def test_network_bakes_colours(spark):
     df = random_splats(spark, 10).withColumn("app", F.array(F.lit(0.1), F.lit(0.2), F.lit(0.3)))
     out = bake_appearance(df, TwoLayers(rng.normal(size=(8, 40)), rng.normal(size=(3, 8))))
     assert out.count() == 10 and out.filter("isnan(f_dc_0)").count() == 0
+
+
+def test_harmonic_bounds():
+    i = np.arange(20_000) + 0.5
+    z, a = 1 - i / 10_000, math.pi * (1 + 5**0.5) * i
+    x, y = np.sqrt(1 - z * z) * np.cos(a), np.sqrt(1 - z * z) * np.sin(a)
+    third = [math.sqrt(35 / (32 * math.pi)) * y * (3 * x * x - y * y), math.sqrt(105 / (4 * math.pi)) * x * y * z, math.sqrt(21 / (32 * math.pi)) * y * (5 * z * z - 1), math.sqrt(7 / (16 * math.pi)) * z * (5 * z * z - 3)]
+    got = [np.abs(math.sqrt(15 / (4 * math.pi)) * x * y).max(), np.abs(math.sqrt(5 / (16 * math.pi)) * (3 * z * z - 1)).max(), *(np.abs(v).max() for v in third)]
+    assert np.allclose(got, [splats.SH_BOUNDS[k] for k in (3, 5, 8, 9, 10, 11)], atol=1e-3)
