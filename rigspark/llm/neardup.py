@@ -12,13 +12,16 @@ inside a join, so that hopeless pairs never become rows.
 1. Each posting list ties its members to its least member, which is linear in the
    list. Pairs that agree in ``equal`` minima or more are confirmed on the full shingle
    sets: first each document's best pair, then the others whose ends are still apart.
-2. Lists whose members all lie in one component by then are skipped. In the rest, only
-   pairs across components are met, each in the first coordinate that it shares, with
-   the same estimate as a condition of the join, and confirmed as well.
+2. Lists whose members all lie in one component by then are skipped. The rest are tied
+   once more, each to a member drawn by hash, and then only pairs across components are
+   met, each in the first coordinate that it shares. There the estimate, and a finer one
+   from ``fine`` minima that documents of open lists get, are conditions of the join, and
+   what passes is confirmed as well.
 
 So no link between components goes unseen, and a group of near copies never emits all its
 pairs. At similarity 0.75 two of 32 coordinates of three minima agree but for a chance of
-6e-7, and two bits of 368 of 512 minima (416 expected, deviation 8.8) but for one of 3e-8.
+6e-7, two bits of 368 of 512 minima (416 expected, deviation 8.8) but for one of 3e-8, and
+those of 1576 of 2048 (1664 expected, deviation 17.7) but for one of 4e-7.
 
 Cases: null, empty and blank texts have no shingles and are linked with nothing; a text
 of fewer words than a shingle is one shingle; rows that share a doc_id are one document;
@@ -47,6 +50,8 @@ FOLDED = 3
 MATCHES = 2
 MINIMA = 512
 EQUAL = 368
+FINE = 2048
+FINE_EQUAL = 1576
 
 _random = np.random.default_rng(20_240_229)
 _TIMES = _random.integers(0, 2**31, 4096, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -143,6 +148,36 @@ def _agreeing(pairs: DataFrame, briefs: DataFrame, number: int, least: int) -> D
     return pairs.join(left, "a").join(right, "b").select("a", "b", equal.alias("equal")).filter(F.col("equal") >= least)
 
 
+def _fine_agreement(x: Column, y: Column, number: int) -> Column:
+    """The same over long arrays, which would make too long an expression."""
+
+    def wrong(a: Column, b: Column) -> Column:
+        d = a.bitwiseXOR(b)
+        return F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+
+    return F.lit(number) - F.aggregate(F.zip_with(x, y, wrong), F.lit(0), lambda a, b: a + b)
+
+
+def _fine_bits(texts: DataFrame, words: int, number: int) -> DataFrame:
+    """(doc_id, fine): two bits of each of ``number`` minima."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [two_bits(minima(s, number)) for s in shingle_sets(batch.column("text"), words)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits, pa.list_(pa.int64()))], names=["doc_id", "fine"])
+
+    return texts.select("doc_id", "text").mapInArrow(rows, "doc_id long, fine array<long>")
+
+
+def _open_lists(shared: DataFrame, joined: DataFrame) -> DataFrame:
+    """(post, doc_id, component) of the lists whose members lie in several components."""
+    labelled = shared.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "post", "doc_id", F.coalesce("component", "doc_id").alias("component")
+    )
+    mixed = labelled.groupBy("post").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    return labelled.join(mixed.select("post"), "post")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, similarity: int) -> DataFrame:
     """Pairs (a, b) whose full shingle sets are similar enough."""
 
@@ -170,6 +205,8 @@ def near_duplicates(
     matches: int = MATCHES,
     number: int = MINIMA,
     equal: int = EQUAL,
+    fine: int = FINE,
+    fine_equal: int = FINE_EQUAL,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
     prefix = coordinates - matches + 1
@@ -203,19 +240,24 @@ def near_duplicates(
     links = links.union(more)
     joined = stage(components(links), "components")
 
-    # 2. pairs across components, in the lists that still hold several
-    labelled = shared.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "post", "doc_id", F.coalesce("component", "doc_id").alias("component")
-    )
-    mixed = labelled.groupBy("post").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    open_lists = labelled.join(mixed.select("post"), "post").join(reps.select("doc_id", "head", "brief"), "doc_id")
-    side = lambda n: open_lists.select("post", *(F.col(c).alias(f"{n}_{c}") for c in ("doc_id", "component", "head", "brief")))
+    # 2. lists that still hold several components: another centre, then the pairs across
+    opened = stage(_open_lists(shared, joined), "open-lists")
+    drawn = opened.groupBy("post").agg(F.min(F.struct(F.xxhash64("doc_id", "post").alias("k"), "doc_id", "component")).alias("c"))
+    ends = opened.join(drawn, "post").filter(F.col("component") != F.col("c.component"))
+    tied = ends.select(F.greatest("doc_id", "c.doc_id").alias("a"), F.least("doc_id", "c.doc_id").alias("b")).distinct()
+    turned = stage(_agreeing(tied.join(stars.select("a", "b"), ["a", "b"], "left_anti"), briefs, number, equal), "stars")
+    links = links.union(stage(_confirmed(turned, texts, words, similarity), "links"))
+    joined = stage(components(links), "components")
+    opened = stage(_open_lists(shared, joined), "open-lists")
+    finer = stage(_fine_bits(texts.join(opened.select("doc_id").distinct(), "doc_id", "left_semi"), words, fine), "fine")
+    open_lists = opened.join(reps.join(finer, "doc_id").select("doc_id", "head", "brief", "fine"), "doc_id")
+    side = lambda n: open_lists.select("post", *(F.col(c).alias(f"{n}_{c}") for c in ("doc_id", "component", "head", "brief", "fine")))
     place = F.shiftright("post", 32) + F.shiftrightunsigned("post", 31).bitwiseAND(1)
     agreed = F.array_position(F.zip_with("a_head", "b_head", lambda x, y: x == y), True) - 1
-    alike = _agreement(F.col("a_brief"), F.col("b_brief"), number) >= equal
+    alike = (_agreement(F.col("a_brief"), F.col("b_brief"), number) >= equal) & (_fine_agreement(F.col("a_fine"), F.col("b_fine"), fine) >= fine_equal)
     across = side("a").join(side("b"), "post").filter((F.col("a_doc_id") > F.col("b_doc_id")) & (F.col("a_component") != F.col("b_component")) & alike & (agreed == place))
     across = stage(across.select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")), "across")
-    rest = across.join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    rest = across.join(stars.union(turned).select("a", "b"), ["a", "b"], "left_anti")
     last = stage(_confirmed(rest, texts, words, similarity), "links")
     joined = components(links.union(last))
 
