@@ -54,13 +54,21 @@ def projected(x: str = "x", y: str = "y", z: str = "z") -> tuple[str, str, str]:
     return f"(8e1 * ((c * {x} + 0e0 * {y}) + s * {z} + tx) / {depth} + 4.8e1)", f"(8e1 * ({y} + 0e0) / {depth} + 3.2e1)", depth
 
 
-_U, _V, _ = projected()
+_U, _V, _D = projected()
 OBSERVATIONS = f"""
 SELECT capture_id, tem, kp_idx, camera_label, {_U} + ((kp_idx * 7 + n_nationkey * 3) % 5 - 2)
          + CASE WHEN (kp_idx + n_nationkey) % 50 = 0 THEN 3e2 ELSE 0e0 END AS u,
        {_V} + ((kp_idx * 3 + n_nationkey) % 5 - 2) / 2e0 AS v, (kp_idx % 10) / 1e1 + 5e-2 AS score
 FROM ({POINTS}) AS p JOIN (SELECT n_nationkey, camera_label, c, s, tx, tz FROM ({RIG}) AS r) AS rig ON (kp_idx + n_nationkey) % 3 = 0"""
 
+#: Every point in every camera that sees it: before the camera, and inside its image.
+SIGHTINGS = f"""
+SELECT capture_id, tem, kp_idx, camera_label, {_U} + ((kp_idx * 7 + n_nationkey * 3) % 5 - 2)
+         + CASE WHEN (kp_idx + n_nationkey) % 50 = 0 THEN 3e2 ELSE 0e0 END AS u,
+       {_V} + ((kp_idx * 3 + n_nationkey) % 5 - 2) / 2e0 AS v, (kp_idx % 10) / 1e1 + 5e-2 AS score
+FROM ({POINTS}) AS p JOIN (SELECT n_nationkey, camera_label, c, s, tx, tz FROM ({RIG}) AS r) AS rig
+  ON {_D} > 1e-6 AND {_U} >= 0 AND {_U} < 96 AND {_V} >= 0 AND {_V} < 64"""
+
 ENVELOPES = """
 SELECT CAST(0 AS BIGINT) AS capture_id, event_type AS camera, CAST(@HOUR@ AS INT) AS i, CAST(count(*) AS DOUBLE) AS value
 FROM events GROUP BY event_type, @HOUR@"""

@@ -433,18 +433,42 @@ def _(spark, d):
     return p.groupBy("tem", "camera_label").agg(F.count(F.lit(1)).alias("n"), F.sum(C.truncated_pixel(F.col("u"))).alias("sum_px"))
 
 
-def _votes(spark, d) -> DataFrame:
-    return C.mask_votes(X.splats(spark, d), X.cameras(spark, d, X.FEW), X.derive(spark, d, X.RUNS))
+#: The queries named ``..._rig`` have the same SQL over all cameras, or over all observations.
+_RIG_VOTE_TABLES = _VOTE_TABLES | {"few": X.RIG}
 
 
-@query("splat_mask_votes", "SELECT clip_id, tested, outside, count(*) AS n FROM votes GROUP BY clip_id, tested, outside", **_VOTE_TABLES)
+def _votes(spark, d, rig: str) -> DataFrame:
+    return C.mask_votes(X.splats(spark, d), X.cameras(spark, d, rig), X.derive(spark, d, X.RUNS))
+
+
+_COUNT_VOTES = "SELECT clip_id, tested, outside, count(*) AS n FROM votes GROUP BY clip_id, tested, outside"
+
+
+def _count_votes(votes: DataFrame) -> DataFrame:
+    return votes.groupBy("clip_id", "tested", "outside").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("splat_mask_votes", _COUNT_VOTES, **_VOTE_TABLES)
 def _(spark, d):
-    return _votes(spark, d).groupBy("clip_id", "tested", "outside").agg(F.count(F.lit(1)).alias("n"))
+    return _count_votes(_votes(spark, d, X.FEW))
 
 
-@query("mask_filter", f"{_DIGEST} votes WHERE outside / tested >= 5e-1 GROUP BY clip_id", **_VOTE_TABLES)
+@query("splat_mask_votes_rig", _COUNT_VOTES, **_RIG_VOTE_TABLES)
 def _(spark, d):
-    return _digest(C.vote_fraction(_votes(spark, d)))
+    return _count_votes(_votes(spark, d, X.RIG))
+
+
+_DROP_VOTES = f"{_DIGEST} votes WHERE outside / tested >= 5e-1 GROUP BY clip_id"
+
+
+@query("mask_filter", _DROP_VOTES, **_VOTE_TABLES)
+def _(spark, d):
+    return _digest(C.vote_fraction(_votes(spark, d, X.FEW)))
+
+
+@query("mask_filter_rig", _DROP_VOTES, **_RIG_VOTE_TABLES)
+def _(spark, d):
+    return _digest(C.vote_fraction(_votes(spark, d, X.RIG)))
 
 
 _LIFE = [0.5 + k for k in range(10)]
@@ -454,27 +478,44 @@ _MOVED = f"SELECT clip_id, splat_id, frame_idx, x + vx * (t - t_center) AS x, y
 _LIFE_PIXELS = f"SELECT clip_id, splat_id, frame_idx, camera_label, CAST(trunc(u) AS INT) AS px, CAST(trunc(v) AS INT) AS py FROM (SELECT clip_id, splat_id, frame_idx, camera_label, {_U} AS u, {_V} AS v, {_D} AS dz FROM moved CROSS JOIN few) WHERE dz > 5e-2 AND u >= 0 AND v >= 0 AND trunc(u) < 96 AND trunc(v) < 64"
 
 
-@query(
-    "lifetime_votes",
-    """SELECT clip_id, tested, outside, count(*) AS n FROM (SELECT p.clip_id, p.splat_id, count(*) AS tested, count(*) FILTER (r.y IS NULL) AS outside FROM pixels p
-    LEFT JOIN runs r ON r.camera_label = p.camera_label AND r.y = p.py AND p.px BETWEEN r.x0 + p.frame_idx AND r.x1 GROUP BY p.clip_id, p.splat_id) GROUP BY clip_id, tested, outside""",
-    splats=X.SPLATS, few=X.FEW, runs=X.RUNS, moved=_MOVED, pixels=_LIFE_PIXELS,
-)
-def _(spark, d):
+_COUNT_LIFE = """SELECT clip_id, tested, outside, count(*) AS n FROM (SELECT p.clip_id, p.splat_id, count(*) AS tested, count(*) FILTER (r.y IS NULL) AS outside FROM pixels p
+    LEFT JOIN runs r ON r.camera_label = p.camera_label AND r.y = p.py AND p.px BETWEEN r.x0 + p.frame_idx AND r.x1 GROUP BY p.clip_id, p.splat_id) GROUP BY clip_id, tested, outside"""
+_LIFE_TABLES = {"splats": X.SPLATS, "few": X.FEW, "runs": X.RUNS, "moved": _MOVED, "pixels": _LIFE_PIXELS}
+
+
+def _life_votes(spark, d, rig: str) -> DataFrame:
     timed = X.derive(spark, d, X.RUNS).withColumn("frame_idx", F.explode(F.sequence(F.lit(0), F.lit(9)))).withColumn("x0", F.col("x0") + F.col("frame_idx"))
-    votes = C.lifetime_votes(X.splats(spark, d), X.cameras(spark, d, X.FEW), timed, _LIFE)
-    return votes.groupBy("clip_id", "tested", "outside").agg(F.count(F.lit(1)).alias("n"))
+    return _count_votes(C.lifetime_votes(X.splats(spark, d), X.cameras(spark, d, rig), timed, _LIFE))
 
 
-@query(
-    "hull_votes",
-    f"""SELECT tem, votes, count(*) AS n FROM (SELECT p.tem, p.kp_idx, count(r.y) AS votes FROM (SELECT tem, kp_idx, camera_label, CAST(trunc({_U}) AS INT) AS px, CAST(trunc({_V}) AS INT) AS py FROM points CROSS JOIN (SELECT camera_label, c, s, tx, tz FROM few) AS f
-    WHERE {_D} > 5e-2 AND {_U} >= 0 AND {_V} >= 0 AND trunc({_U}) < 96 AND trunc({_V}) < 64) p LEFT JOIN runs r ON r.camera_label = p.camera_label AND r.y = p.py AND p.px BETWEEN r.x0 AND r.x1 GROUP BY p.tem, p.kp_idx) WHERE votes >= 5 GROUP BY tem, votes""",
-    points=X.POINTS, few=X.FEW, runs=X.RUNS,
-)
+@query("lifetime_votes", _COUNT_LIFE, **_LIFE_TABLES)
+def _(spark, d):
+    return _life_votes(spark, d, X.FEW)
+
+
+@query("lifetime_votes_rig", _COUNT_LIFE, **(_LIFE_TABLES | {"few": X.RIG}))
 def _(spark, d):
+    return _life_votes(spark, d, X.RIG)
+
+
+_COUNT_HULL = f"""SELECT tem, votes, count(*) AS n FROM (SELECT p.tem, p.kp_idx, count(r.y) AS votes FROM (SELECT tem, kp_idx, camera_label, CAST(trunc({_U}) AS INT) AS px, CAST(trunc({_V}) AS INT) AS py FROM points CROSS JOIN (SELECT camera_label, c, s, tx, tz FROM few) AS f
+    WHERE {_D} > 5e-2 AND {_U} >= 0 AND {_V} >= 0 AND trunc({_U}) < 96 AND trunc({_V}) < 64) p LEFT JOIN runs r ON r.camera_label = p.camera_label AND r.y = p.py AND p.px BETWEEN r.x0 AND r.x1 GROUP BY p.tem, p.kp_idx) WHERE votes >= 5 GROUP BY tem, votes"""
+_HULL_TABLES = {"points": X.POINTS, "few": X.FEW, "runs": X.RUNS}
+
+
+def _hull_votes(spark, d, rig: str) -> DataFrame:
     points = X.derive(spark, d, X.POINTS).withColumn("point_id", F.col("kp_idx"))
-    return C.hull_votes(points, X.cameras(spark, d, X.FEW), X.derive(spark, d, X.RUNS), 5).groupBy("tem", "votes").agg(F.count(F.lit(1)).alias("n"))
+    return C.hull_votes(points, X.cameras(spark, d, rig), X.derive(spark, d, X.RUNS), 5).groupBy("tem", "votes").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("hull_votes", _COUNT_HULL, **_HULL_TABLES)
+def _(spark, d):
+    return _hull_votes(spark, d, X.FEW)
+
+
+@query("hull_votes_rig", _COUNT_HULL, **(_HULL_TABLES | {"few": X.RIG}))
+def _(spark, d):
+    return _hull_votes(spark, d, X.RIG)
 
 
 @query("mask_coverage", "SELECT camera_label, round(sum(x1 - x0 + 1) / (96e0 * 64e0), 6) AS coverage FROM runs GROUP BY camera_label", runs=X.RUNS)
@@ -483,45 +524,72 @@ def _(spark, d):
     return C.mask_coverage(X.derive(spark, d, X.RUNS), images).withColumn("coverage", F.round("coverage", 6))
 
 
-@query(
-    "keypoint_coverage",
-    """SELECT g.camera_label, round(coalesce(avg(CASE WHEN o.camera_label IS NULL THEN NULL WHEN r.y IS NULL THEN 0e0 ELSE 1e0 END), 0e0), 6) AS coverage FROM rig g LEFT JOIN
+_COVERED = """SELECT g.camera_label, round(coalesce(avg(CASE WHEN o.camera_label IS NULL THEN NULL WHEN r.y IS NULL THEN 0e0 ELSE 1e0 END), 0e0), 6) AS coverage FROM rig g LEFT JOIN
     (SELECT camera_label, CAST(least(greatest(round_even(u, 0), 0), 95) AS INT) AS px, CAST(least(greatest(round_even(v, 0), 0), 63) AS INT) AS py FROM obs) o ON o.camera_label = g.camera_label
-    LEFT JOIN runs r ON r.camera_label = o.camera_label AND r.y = o.py AND o.px BETWEEN r.x0 AND r.x1 GROUP BY g.camera_label""",
-    obs=X.OBSERVATIONS, runs=X.RUNS, rig=X.RIG,
-)
-def _(spark, d):
+    LEFT JOIN runs r ON r.camera_label = o.camera_label AND r.y = o.py AND o.px BETWEEN r.x0 AND r.x1 GROUP BY g.camera_label"""
+
+
+def _keypoint_coverage(spark, d, seen: str) -> DataFrame:
     images = X.cameras(spark, d).select("camera_label", "w", "h")
-    return C.keypoint_coverage(X.derive(spark, d, X.OBSERVATIONS), X.derive(spark, d, X.RUNS), images).withColumn("coverage", F.round("coverage", 6))
+    return C.keypoint_coverage(X.derive(spark, d, seen), X.derive(spark, d, X.RUNS), images).withColumn("coverage", F.round("coverage", 6))
+
+
+@query("keypoint_coverage", _COVERED, obs=X.OBSERVATIONS, runs=X.RUNS, rig=X.RIG)
+def _(spark, d):
+    return _keypoint_coverage(spark, d, X.OBSERVATIONS)
+
+
+@query("keypoint_coverage_rig", _COVERED, obs=X.SIGHTINGS, runs=X.RUNS, rig=X.RIG)
+def _(spark, d):
+    return _keypoint_coverage(spark, d, X.SIGHTINGS)
 
 
 _ERRORS = f"SELECT *, sqrt((u - pu) * (u - pu) + (v - pv) * (v - pv)) AS error FROM (SELECT o.*, {_U} AS pu, {_V} AS pv, {_D} AS dz FROM obs o JOIN (SELECT tem AS pt, kp_idx AS pk, x, y, z FROM points) ON pt = o.tem AND pk = o.kp_idx JOIN (SELECT camera_label AS cl, c, s, tx, tz FROM rig) ON cl = o.camera_label) WHERE dz > 1e-6"
 _ERROR_TABLES = {"points": X.POINTS, "rig": X.RIG, "obs": X.OBSERVATIONS, "errors": _ERRORS}
 
 
-def _observed(spark, d):
-    return X.derive(spark, d, X.OBSERVATIONS), X.derive(spark, d, X.POINTS), X.cameras(spark, d)
+_RIG_ERROR_TABLES = _ERROR_TABLES | {"obs": X.SIGHTINGS}
 
 
-@query(
-    "residual_report",
-    "SELECT capture_id, camera_label, round(quantile_cont(error, 0.5), 5) AS median, round(avg(error), 5) AS mean, round(quantile_cont(error, 0.9), 5) AS p90, count(*) AS n FROM errors GROUP BY GROUPING SETS ((capture_id, camera_label), (capture_id))",
-    **_ERROR_TABLES,
-)
+def _observed(spark, d, seen: str):
+    return X.derive(spark, d, seen), X.derive(spark, d, X.POINTS), X.cameras(spark, d)
+
+
+_REPORTED = "SELECT capture_id, camera_label, round(quantile_cont(error, 0.5), 5) AS median, round(avg(error), 5) AS mean, round(quantile_cont(error, 0.9), 5) AS p90, count(*) AS n FROM errors GROUP BY GROUPING SETS ((capture_id, camera_label), (capture_id))"
+
+
+def _residual_report(spark, d, seen: str) -> DataFrame:
+    return C.residual_report(*_observed(spark, d, seen)).withColumns({c: F.round(c, 5) for c in ("median", "mean", "p90")})
+
+
+@query("residual_report", _REPORTED, **_ERROR_TABLES)
 def _(spark, d):
-    return C.residual_report(*_observed(spark, d)).withColumns({c: F.round(c, 5) for c in ("median", "mean", "p90")})
+    return _residual_report(spark, d, X.OBSERVATIONS)
 
 
-@query(
-    "drop_outliers",
-    "SELECT camera_label, count(*) AS n, CAST(sum(kp_idx) AS BIGINT) AS sum_kp FROM (SELECT *, count(*) OVER (PARTITION BY tem, kp_idx) AS views FROM errors WHERE error <= 200) WHERE views >= 8 GROUP BY camera_label",
-    **_ERROR_TABLES,
-)
+@query("residual_report_rig", _REPORTED, **_RIG_ERROR_TABLES)
 def _(spark, d):
-    kept = C.drop_outliers(*_observed(spark, d), min_views=8)
+    return _residual_report(spark, d, X.SIGHTINGS)
+
+
+_WITHOUT_OUTLIERS = "SELECT camera_label, count(*) AS n, CAST(sum(kp_idx) AS BIGINT) AS sum_kp FROM (SELECT *, count(*) OVER (PARTITION BY tem, kp_idx) AS views FROM errors WHERE error <= 200) WHERE views >= 8 GROUP BY camera_label"
+
+
+def _drop_outliers(spark, d, seen: str) -> DataFrame:
+    kept = C.drop_outliers(*_observed(spark, d, seen), min_views=8)
     return kept.groupBy("camera_label").agg(F.count(F.lit(1)).alias("n"), F.sum("kp_idx").alias("sum_kp"))
 
 
+@query("drop_outliers", _WITHOUT_OUTLIERS, **_ERROR_TABLES)
+def _(spark, d):
+    return _drop_outliers(spark, d, X.OBSERVATIONS)
+
+
+@query("drop_outliers_rig", _WITHOUT_OUTLIERS, **_RIG_ERROR_TABLES)
+def _(spark, d):
+    return _drop_outliers(spark, d, X.SIGHTINGS)
+
+
 @query("camera_pairs", "SELECT a.capture_id, a.camera_label AS cam_a, b.camera_label AS cam_b FROM rig a JOIN rig b ON a.camera_label < b.camera_label", rig=X.RIG)
 def _(spark, d):
     return C.camera_pairs(X.cameras(spark, d))
@@ -666,15 +734,23 @@ def _(spark, d):
     return made.groupBy("frame", F.round("t_center", 6).alias("t_center"), F.round("t_sigma", 6).alias("t_sigma")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(
-    "crop_box",
-    """SELECT camera_label, CAST(trunc(greatest(0e0, least(min(u) - 5e0, 96e0))) AS INT) AS x0, CAST(trunc(greatest(0e0, least(min(v) - 5e0, 64e0))) AS INT) AS y0,
-    CAST(trunc(greatest(0e0, least(max(u) + 5e0, 96e0))) AS INT) AS x1, CAST(trunc(greatest(0e0, least(max(v) + 5e0, 64e0))) AS INT) AS y1 FROM obs WHERE score >= 5e-1 GROUP BY camera_label""",
-    obs=X.OBSERVATIONS,
-)
+_CROPPED = """SELECT camera_label, CAST(trunc(greatest(0e0, least(min(u) - 5e0, 96e0))) AS INT) AS x0, CAST(trunc(greatest(0e0, least(min(v) - 5e0, 64e0))) AS INT) AS y0,
+    CAST(trunc(greatest(0e0, least(max(u) + 5e0, 96e0))) AS INT) AS x1, CAST(trunc(greatest(0e0, least(max(v) + 5e0, 64e0))) AS INT) AS y1 FROM obs WHERE score >= 5e-1 GROUP BY camera_label"""
+
+
+def _crop_box(spark, d, seen: str) -> DataFrame:
+    sure = X.derive(spark, d, seen).filter("score >= 0.5D")
+    return dataset.crop_box(sure.withColumns({"w": F.lit(96), "h": F.lit(64)}), 5.0)
+
+
+@query("crop_box", _CROPPED, obs=X.OBSERVATIONS)
+def _(spark, d):
+    return _crop_box(spark, d, X.OBSERVATIONS)
+
+
+@query("crop_box_rig", _CROPPED, obs=X.SIGHTINGS)
 def _(spark, d):
-    seen = X.derive(spark, d, X.OBSERVATIONS).filter("score >= 0.5D")
-    return dataset.crop_box(seen.withColumns({"w": F.lit(96), "h": F.lit(64)}), 5.0)
+    return _crop_box(spark, d, X.SIGHTINGS)
 
 
 @query(
@@ -776,7 +852,7 @@ def _(spark, d):
 
 @query("triangulate")
 def _(spark, d):
-    observations, _, cams = _observed(spark, d)
+    observations, _, cams = _observed(spark, d, X.SIGHTINGS)
     return poses.triangulate(observations, cams, 0.5, 3)
 
 
