@@ -111,3 +111,39 @@ def test_page_edges(spark, model):
     assert max(len(r.text) for r in rows) == 549_999
     assert extract(df.filter("false"), model).count() == 0 and main_text(fit(df.filter("false")), "<p>a") in ("", "a")
     assert labelled_pages(["<p>no article</p>"]) == []
+
+
+def unmarked(spark, n, seed=3):
+    """Pages of other layouts that hold no article or main, as (html, text of their article)."""
+    rng, out, given = np.random.default_rng(seed), [], [blocks(r.html) for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
+    while len(out) < n:
+        page = given[len(out) % len(given)]
+        made = rewritten([b.text for b in page if "article" in b.tags], [b.text for b in page if "nav" in b.tags], rng)
+        if "<article" not in made and "<main" not in made:
+            out.append((made.replace(" data-main", ""), [b.main for b in blocks(made)]))
+    return out
+
+
+def test_no_marked_page(spark):
+    pages = unmarked(spark, 40)
+    df = spark.createDataFrame([(i, "u", h) for i, (h, _) in enumerate(pages)], "page_id long, url string, html string")
+    model = fit(df)
+    labels = [(y, m) for h, main in pages for y, m in zip(viterbi(model, features(blocks(h))), main, strict=True)]
+    assert sum(y == m for y, m in labels) > 0.85 * len(labels)
+    assert all(r.text for r in extract(df, model).collect())
+    # tags without text of their own, or with asides alone, mark nothing
+    empty = spark.createDataFrame([(1, "<main></main><p>x"), (2, "<article><nav>menu</nav></article><p>y"), (3, "<!-- <article> --><p>z")], "page_id long, html string")
+    assert (fit(empty).weights == webtext.prior().weights).all()
+
+
+def test_rare_marked_pages(spark):
+    marked = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").limit(5).collect()]
+    others = [h for h, _ in unmarked(spark, 60)] + ["<p>about <article></article> and <main></main>"] * 400
+    df = spark.createDataFrame(list(enumerate(others + marked)), "page_id long, html string")
+    learned = []
+    for sample in (2, 4, 300):
+        learned.append(fit(df, sample))
+        assert np.abs(learned[-1].weights).sum() > 0 and not (learned[-1].weights == webtext.prior().weights).all()
+    keyed = df.filter(F.col("page_id") >= len(others)).orderBy(F.pmod(F.xxhash64("page_id"), F.lit(1 << 40))).collect()
+    for model, n in zip(learned, (2, 4, 5), strict=True):
+        assert (model.weights == webtext.train(labelled_pages([r.html for r in keyed[:n]])).weights).all()
