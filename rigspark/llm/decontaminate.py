@@ -10,7 +10,8 @@ Words are runs outside ASCII white space, with A-Z lower-cased. Items go to the
 blocks of ``block_items``, the bound of each broadcast; more items take more passes.
 
 Cases: null, empty and blank texts or items match nothing; items shorter than
-``least_words`` words are left out; texts of any length are searched whole; repeated rows
+``least_words`` words are allowed no error, and a caller may leave their pairs out by
+``n_words``; texts of any length are searched whole; repeated rows
 give the pairs of their doc_id once; empty tables give no rows; extra columns are ignored.
 """
 
@@ -79,9 +80,9 @@ def _index(items: list[tuple[int, str]], window: int, words_per_error: int, leas
             continue
         starts, ends, _ = split_words(data, np.array([0, len(data)]))
         words = hash_words(data, starts, ends, lower=True)
-        if len(words) < least_words:
+        if not len(words):
             continue
-        for a, n, budget in item_units(len(words), window, words_per_error):
+        for a, n, budget in item_units(len(words), window, words_per_error) if len(words) >= least_words else [(0, len(words), 0)]:
             own = words[a : a + n]
             units.append((item_id, [int(x) for x in own], budget))
             for at, length in pieces(n, budget):
@@ -134,6 +135,8 @@ def _search(docs: DataFrame, index) -> DataFrame:
                             continue
                         for number, inside in where[int(runs[hit])]:
                             item, unit, budget = units[number]
+                            if not budget and (ids[first + doc], item) in took:  # an exact unit is its item's only one
+                                continue
                             a = max(int(place[doc]), int(hit) - inside - budget)
                             b = min(int(place[doc + 1]), int(hit) - inside + len(unit) + budget)
                             if (number, a, b) in tried:

@@ -54,6 +54,20 @@ def test_edited_and_partial_leaks(spark):
     assert contaminated(df.filter("false"), items).count() == 0 and contaminated(df, items.filter("false")).count() == 0
 
 
+def test_short_items(spark):
+    items = [(1, "Forty two"), (2, "yes"), (3, "what is the capital of France?"), (4, " "), (5, "a b c d e f g h")]
+    texts = {1: "the answer is FORTY\n two , yes or no", 2: "forty-two", 3: "forty and two", 4: "yesterday eyes", 5: "yes", 6: "so what is the capital of France? yes yes", 7: "what is the capital in France?",
+             8: "forty", 9: "two", 10: "x " * 999 + "forty two " * 999, 11: "a b c d X f g h", 12: None, 13: ""}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    df = df.union(df.filter("doc_id = 5")).union(df.filter("doc_id = 5").withColumn("doc_id", F.lit(None).cast("long")))
+    words = lambda t: f" {' '.join((t or '').lower().split())} "
+    want = {(d, i, 0, len(q.split())) for d, t in texts.items() for i, q in items[:3] if words(q) in words(t)}
+    assert len(want) == 6
+    for block in (1, 100):
+        got = [tuple(r) for r in contaminated(df, spark.createDataFrame(items, "item_id long, text string"), block_items=block).select("doc_id", "item_id", "distance", "n_words").collect()]
+        assert sorted(got, key=str) == sorted(want | {(None, 2, 0, 1), (11, 5, 1, 8)}, key=str)
+
+
 def test_ngrams():
     codes, counts = ngrams("Ab ab")
     assert sorted(counts) == sorted([2, 2] + [2, 2, 2] + [2, 2])
