@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -115,18 +116,24 @@ def assign_centroids(df: DataFrame, column: str, centroids: np.ndarray, into: st
 
 
 def vq_train(df: DataFrame, column: str, key: str, k: int, rounds: int = 8, sample: int = 262_144) -> np.ndarray:
-    """Centroids of at most ``sample`` vectors, drawn by a hash of ``key``; rounds run in Spark, k rows come to the driver."""
+    """Centroids of at most ``sample`` vectors, drawn by a hash of ``key``; rounds run in Spark, k rows come to the driver.
+
+    Each round moves centroids without vectors onto others of the sample.
+    """
     total = df.count()
     share = min(1.0, sample / max(total, 1))
     drawn = df.filter(F.pmod(F.xxhash64(key), F.lit(1_000_003)) < F.lit(share * 1_000_003)).select(key, column)
     first = drawn.orderBy(F.xxhash64(F.lit(5), F.col(key)), key).limit(k).collect()
     centroids = np.array([r[column] for r in first], np.float64)
-    for _ in range(rounds):
+    for n in range(rounds):
         dims = assign_centroids(drawn, column, centroids, "label").select("label", F.posexplode(column).alias("d", "v"))
-        sums = dims.groupBy("label", "d").agg(F.avg("v").alias("m"))
+        sums = dims.groupBy("label", "d").agg(F.avg("v").alias("m")).toArrow()
         moved = centroids.copy()
-        for r in sums.collect():
-            moved[r["label"], r["d"]] = r["m"]
+        moved[sums["label"].to_numpy(), sums["d"].to_numpy()] = sums["m"].to_numpy()
+        empty = np.setdiff1d(np.arange(len(centroids)), sums["label"].to_numpy())
+        if len(empty):
+            other = drawn.orderBy(F.xxhash64(F.lit(6 + n), F.col(key)), key).limit(len(empty)).collect()
+            moved[empty[: len(other)]] = [r[column] for r in other]
         if np.array_equal(moved, centroids):
             break
         centroids = moved
@@ -136,8 +143,9 @@ def vq_train(df: DataFrame, column: str, key: str, k: int, rounds: int = 8, samp
 def build_palette(spark, clip_id: int, centroids: np.ndarray, k: int = 256) -> tuple[DataFrame, DataFrame]:
     """A palette of vectors as bytes: its own codebook over all values, and each entry's texels (entry n in row n / 64, column n % 64 times its length)."""
     n, width = centroids.shape
-    rows = [(clip_id, e, j, float(centroids[e, j])) for e in range(n) for j in range(width)]  # a palette, never a corpus
-    values = spark.createDataFrame(rows, "clip_id long, entry int, coefficient int, v double")
+    entry, coefficient = np.divmod(np.arange(n * width, dtype=np.int32), np.int32(width))  # a palette, never a corpus
+    columns = {"clip_id": np.full(n * width, clip_id, np.int64), "entry": entry, "coefficient": coefficient, "v": np.asarray(centroids, np.float64).ravel()}
+    values = spark.createDataFrame(pa.table(columns))
     book = kmeans_1d(values.groupBy("clip_id", F.col("v").alias("value")).agg(F.count(F.lit(1)).alias("n")), k)
     placed = assign_codebook(values, "v", book, "idx").select(
         "clip_id", "entry", (F.col("entry") / 64).cast("int").alias("row"), ((F.col("entry") % 64) * width + F.col("coefficient")).alias("column"), "idx"
@@ -145,6 +153,24 @@ def build_palette(spark, clip_id: int, centroids: np.ndarray, k: int = 256) -> t
     return book, placed
 
 
+def with_palette(splats: DataFrame, entries: int = 65_536, k: int = 256) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Splats with ``sh_label``, their entry in a palette of ``f_rest`` trained for each clip; the codebooks; and the palettes.
+
+    Splats without ``f_rest`` have the null label.
+    """
+    own = splats.filter("f_rest is not null")
+    labelled = splats.filter("f_rest is null").withColumn("sh_label", F.lit(None).cast("int"))
+    books = splats.sparkSession.createDataFrame([], "clip_id long, idx int, value double")
+    palettes = splats.sparkSession.createDataFrame([], "clip_id long, entry int, row int, column int, idx short")
+    for (clip,) in own.select("clip_id").distinct().orderBy("clip_id").collect():  # clips, never splats
+        part = own.filter(F.col("clip_id") == clip)
+        centroids = vq_train(part, "f_rest", "splat_id", entries)
+        book, palette = build_palette(splats.sparkSession, clip, centroids, k)
+        labelled = labelled.unionByName(assign_centroids(part, "f_rest", centroids, "sh_label"))
+        books, palettes = books.unionByName(book), palettes.unionByName(palette)
+    return labelled, books, palettes
+
+
 def quantise(ordered: DataFrame, ranges: DataFrame, codebooks: DataFrame | None = None) -> DataFrame:
     """Byte planes of ordered splats: split positions and motion, packed quaternions, alpha, and codebook indices."""
     out = ordered.join(F.broadcast(_wide(ranges)), "clip_id")  # one row a clip
@@ -163,12 +189,13 @@ def quantise(ordered: DataFrame, ranges: DataFrame, codebooks: DataFrame | None
         for c in cols:
             out = assign_codebook(out, c, book, f"{c}_i")
             names.append(f"{c}_i")
+    names += ["sh_label"] if "sh_label" in ordered.columns else []
     keys = [c for c in ("clip_id", "grp", "file_idx", "splat_id") if c in ordered.columns]
     return out.select(*keys, *names)
 
 
-def dequantise(q: DataFrame, ranges: DataFrame, codebooks: DataFrame | None = None) -> DataFrame:
-    """Splat columns of byte planes."""
+def dequantise(q: DataFrame, ranges: DataFrame, codebooks: DataFrame | None = None, palette: DataFrame | None = None) -> DataFrame:
+    """Splat columns of byte planes; ``f_rest`` too where there is a palette."""
     out = q.join(F.broadcast(_wide(ranges)), "clip_id")  # one row a clip
     columns = {}
     for g, axes in GROUPS.items():
@@ -186,14 +213,23 @@ def dequantise(q: DataFrame, ranges: DataFrame, codebooks: DataFrame | None = No
         out = out.join(F.broadcast(own), "clip_id", "left")  # 256 entries a clip
         out = out.withColumns({c: F.element_at("__book", F.col(f"{c}_i").cast("int")) for c in cols}).drop("__book")
         names += cols
+    if codebooks is not None and palette is not None:
+        book = F.broadcast(codebooks.filter(F.col("attr") == "sh").select("clip_id", "idx", "value"))  # 256 entries a clip
+        vector = F.array_sort(F.collect_list(F.struct("column", "value")))["value"].alias("f_rest")  # the values of one entry
+        entries = palette.join(book, ["clip_id", "idx"]).groupBy("clip_id", F.col("entry").alias("sh_label")).agg(vector)
+        out = out.join(entries, ["clip_id", "sh_label"], "left")
+        names.append("f_rest")
     keys = [c for c in ("clip_id", "grp", "file_idx", "splat_id") if c in q.columns]
     return out.select(*keys, *names)
 
 
-def pack(splats: DataFrame, time_min: float, time_max: float, duration: float, k: int = 256) -> dict[str, DataFrame]:
-    """Planes, ranges, codebooks, segments and counts of splats."""
+def pack(splats: DataFrame, time_min: float, time_max: float, duration: float, k: int = 256, entries: int = 65_536) -> dict[str, DataFrame]:
+    """Planes, ranges, codebooks, segments and counts of splats; with ``f_rest``, also its palette of at most ``entries``."""
     from . import temporal
 
+    shared = {}
+    if "f_rest" in splats.columns:
+        splats, sh_books, shared["palette"] = with_palette(splats, entries, k)
     ordered = temporal.order_splats(splats, time_min, time_max, duration)
     ranges = axis_ranges(splats)
     books = None
@@ -203,7 +239,9 @@ def pack(splats: DataFrame, time_min: float, time_max: float, duration: float, k
             book = book.withColumn("value", F.exp("value"))
         book = book.select("clip_id", F.lit(attr).alias("attr"), "idx", "value")
         books = book if books is None else books.union(book)
-    return {
+    if shared:
+        books = books.union(sh_books.select("clip_id", F.lit("sh").alias("attr"), "idx", "value"))
+    return shared | {
         "planes": quantise(ordered, ranges, books),
         "ranges": ranges,
         "codebooks": books,

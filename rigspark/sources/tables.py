@@ -100,15 +100,18 @@ def write_splats(ordered: DataFrame, path: str) -> None:
 
 
 def write_quantized(packed: dict[str, DataFrame], path: str) -> None:
-    """Planes by clip and group; ranges, codebooks, segments and clips beside them."""
+    """Planes by clip and group; ranges, codebooks, segments, clips and palettes of harmonics beside them."""
     write_splats(packed["planes"], f"{path}/planes")
-    for name in ("ranges", "codebooks", "segments", "clips"):
+    for name in ("ranges", "codebooks", "segments", "clips", "palette"):
         if packed.get(name) is not None:
             packed[name].write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def read_quantized(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{path}/{name}") for name in ("planes", "ranges", "codebooks", "segments", "clips")}
+    out = {name: spark.read.parquet(f"{path}/{name}") for name in ("planes", "ranges", "codebooks", "segments", "clips")}
+    if not out["codebooks"].filter("attr = 'sh'").isEmpty():
+        out["palette"] = spark.read.parquet(f"{path}/palette")
+    return out
 
 
 def write_sfm_text(cameras: DataFrame, points: DataFrame, path: str) -> None:
