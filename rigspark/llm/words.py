@@ -52,8 +52,8 @@ def powers(base: int, n: int) -> np.ndarray:
     return _cache[base][:n]
 
 
-def text_blocks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row, bytes, offsets) of blocks of about BLOCK_BYTES; a null text is empty."""
+def text_blocks(column: pa.Array | pa.ChunkedArray, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row, bytes, offsets) of blocks of about ``size`` bytes; a null text is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
@@ -64,7 +64,7 @@ def text_blocks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int,
     data = np.frombuffer(buffers[2], dtype=np.uint8) if buffers[2] is not None and buffers[2].size else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + BLOCK_BYTES, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
         last = min(last, len(column))
         yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
