@@ -12,17 +12,23 @@ other layouts, with its own paragraphs as article, sidebar, notice, form and com
 Training reads the first ``sample`` pages that mark main text, in the order of a hash of
 page_id. Where no page does, the weights are the fixed ones of ``prior``.
 
+Every text of a page is in some block but for those of scripts and styles; the page's title
+is a block that the model rejects. Elements inside a line of text, such as formulas and
+scripts, do not cut it.
+
 Cases: a null or empty page, or one without text, has the empty text; broken and unclosed
-markup is read as far as it goes; pages of any length are read whole; repeated rows give
-equal rows; an empty table gives no rows; extra columns are ignored.
+markup and left out ends of ``head`` and ``body`` are read as browsers do; pages of any
+length and depth are read whole, in time linear in both; repeated rows give equal rows; an
+empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from html import escape
 from html.parser import HTMLParser
 
@@ -33,10 +39,12 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-#: How HTML lays out its elements.
+#: How HTML lays out its elements. Every other element is inline, as browsers have it.
+BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li listing main menu nav ol optgroup option p pre search section select summary table tbody td textarea tfoot th thead title tr ul xmp".split())
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template title head iframe object svg math canvas audio video".split())
+SILENT = frozenset(["script", "style"])
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 CLOSES = {"p": frozenset({"p"}), "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}), "tr": frozenset({"tr", "td", "th"}), "td": frozenset({"td", "th"}), "th": frozenset({"td", "th"}), "option": frozenset({"option"})}
 SCOPES = frozenset("ul ol dl table div section article main body td th blockquote".split())
 
@@ -49,80 +57,123 @@ MAIN_TAGS = frozenset({"article", "main"})
 
 SAMPLE = 300
 BUCKETS = 1 << 13
+#: Innermost ancestors whose class, id and role words are features.
+NEAR = 32
 _WORDS = re.compile(r"[a-z]+")
 
 
 @dataclass
 class Block:
     text: str
-    tags: tuple[str, ...]
-    names: frozenset[str]
+    tags: frozenset[str]  # of all open elements that HTML names
+    path: tuple[str, ...]  # the innermost three
+    names: frozenset[str]  # class, id and role words of the innermost NEAR
     linked: int
     main: bool
-    tags_of_run: set[str] = field(default_factory=set)
+    aside: bool  # under any element that names itself so
+    tags_of_run: frozenset[str] = frozenset()
+
+
+@dataclass
+class _Element:
+    tag: str
+    words: frozenset[str]
+    main: bool
+    block: bool
 
 
 class _Blocks(HTMLParser):
-    """Collects the leaf blocks of a page. ``data-main`` marks labelled training pages and is no feature."""
+    """Collects the leaf blocks of a page. ``data-main`` marks labelled training pages and is no feature.
+
+    What a block is told of its ancestors comes from running counts and from the innermost
+    elements, so the work is linear in the page however many elements it leaves open.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, frozenset[str], bool]] = []
+        self.open: list[_Element] = []
+        self.at: dict[str, list[int]] = defaultdict(list)  # places of the open elements by tag
+        self.block_at: list[int] = []  # of the open block elements
+        self.known: frozenset[str] | None = frozenset()  # open tags that HTML names, made anew when they change
+        self.marked = self.named_aside = 0
         self.blocks: list[Block] = []
         self.run: list[str] = []
         self.linked = 0
         self.inner: set[str] = set()
-        self.silent = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.run).split())
         if text:
-            names = frozenset().union(*(n for _, n, _ in self.open)) if self.open else frozenset()
-            self.blocks.append(Block(text, tuple(t for t, _, _ in self.open), names, self.linked, any(m for *_, m in self.open), self.inner))
+            if self.known is None:
+                self.known = frozenset(t for t in BLOCK | INLINE if self.at.get(t))
+            near = frozenset().union(*(e.words for e in self.open[-NEAR:]))
+            self.blocks.append(
+                Block(text, self.known, tuple(e.tag for e in self.open[-3:]), near, self.linked, self.marked > 0, self.named_aside > 0, frozenset(self.inner))
+            )
         self.run, self.linked, self.inner = [], 0, set()
 
     def _drop(self, at: int) -> None:
-        self.silent -= sum(t in SILENT for t, _, _ in self.open[at:])
-        del self.open[at:]
+        """Close the element at ``at`` and all inside it."""
+        while len(self.open) > at:
+            e = self.open.pop()
+            self.at[e.tag].pop()
+            if e.block:
+                self.block_at.pop()
+            if not self.at[e.tag]:
+                self.known = None
+            self.marked -= e.main
+            self.named_aside -= bool(e.words & ASIDE_WORDS)
+
+    def _last(self, tags) -> int:
+        """The place of the innermost open element of ``tags``, -1 if there is none."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
 
     def handle_starttag(self, tag, attrs):
+        block = tag in BLOCK
         if tag == "br":
             self.run.append(" ")
-        if tag in INLINE:
+        if block:
+            self.flush()
+        elif tag in INLINE:
             self.inner.add(tag)
-        else:
+        if tag not in IN_HEAD and self.at.get("head"):  # its end may be left out
             self.flush()
-        if tag in VOID:
+            self._drop(self.at["head"][-1])
+        if tag in VOID or (tag in ("html", "head", "body") and (self.at.get(tag) or self.at.get("body"))):
             return
-        closes = CLOSES.get(tag) or (CLOSES["p"] if tag not in INLINE else ())
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] in closes:
-                self._drop(at)
-                break
-            if self.open[at][0] in SCOPES:
-                break
-        if tag == "body":
-            self._drop(0)
+        if block:
+            closes = self._last(CLOSES.get(tag, CLOSES["p"]))
+            if closes >= 0 and closes >= self._last(SCOPES):
+                self._drop(closes)
+        elif tag == "a" and self._last(["a"]) > (self.block_at[-1] if self.block_at else -1):
+            self._drop(self.at["a"][-1])  # links do not nest
         values = dict(attrs)
         words = frozenset(w for k in ("class", "id", "role") for w in _WORDS.findall((values.get(k) or "").lower()))
-        self.open.append((tag, words, "data-main" in values))
-        self.silent += tag in SILENT
+        if not self.at.get(tag):
+            self.known = None
+        self.at[tag].append(len(self.open))
+        if block:
+            self.block_at.append(len(self.open))
+        self.open.append(_Element(tag, words, "data-main" in values, block))
+        self.marked += "data-main" in values
+        self.named_aside += bool(words & ASIDE_WORDS)
 
     def handle_endtag(self, tag):
-        if tag not in INLINE:
+        last = self._last([tag])
+        around_block = last >= 0 and bool(self.block_at) and last < self.block_at[-1]
+        if tag in BLOCK or (around_block and tag not in INLINE):
             self.flush()
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                self._drop(at)
-                return
-            if tag in INLINE and self.open[at][0] not in INLINE:
-                return
+        if last >= 0 and not (around_block and tag in INLINE):
+            self._drop(last)
 
     def handle_data(self, data):
-        if not self.silent:
-            self.run.append(data)
-            if any(t == "a" for t, _, _ in self.open[-3:]):
-                self.linked += len(data)
+        if self.open and self.open[-1].tag in SILENT:
+            return
+        if self.open and self.open[-1].tag == "head" and data.strip():
+            self._drop(len(self.open) - 1)
+        self.run.append(data)
+        if self.at.get("a") and self.at["a"][-1] >= len(self.open) - 3:
+            self.linked += len(data)
 
 
 def blocks(html: str) -> list[Block]:
@@ -144,15 +195,15 @@ def features(page: list[Block]) -> list[np.ndarray]:
         n = max(len(b.text), 1)
         words = b.text.count(" ") + 1
         stops = sum(b.text.count(c) for c in ".!?")
-        own = b.tags[-1] if b.tags else ""
+        own = b.path[-1] if b.path else ""
         found = ["bias", f"own={own}", f"words={_size(words)}", f"link={int(4 * min(b.linked / n, 1))}", f"stops={_size(stops)}"]
-        found += [f"under={t}" for t in set(b.tags)]
-        found += [f"path={'/'.join(b.tags[-3:])}"]
+        found += [f"under={t}" for t in b.tags]
+        found += [f"path={'/'.join(b.path)}"]
         found += [f"name={w}" for w in b.names]
         found += [f"holds={t}" for t in b.tags_of_run]
         found += [f"first={b.text[0] if not b.text[0].isalnum() else ''}", f"ends={b.text[-1] in '.!?'}", f"upper={b.text.isupper()}"]
         found += [f"place={min(i, 3)}", f"left={min(len(page) - 1 - i, 3)}"]
-        found += [f"aside={bool(b.names & ASIDE_WORDS)}", f"asidetag={bool(ASIDE_TAGS & set(b.tags))}", f"maintag={bool(MAIN_TAGS & set(b.tags))}"]
+        found += [f"aside={b.aside}", f"asidetag={bool(ASIDE_TAGS & b.tags)}", f"maintag={bool(MAIN_TAGS & b.tags)}"]
         out.append(np.unique([zlib.crc32(x.encode()) % BUCKETS for x in found]))
     return out
 
@@ -226,9 +277,9 @@ def train(pages: list[tuple[list[np.ndarray], list[int]]], rounds: int = 8, rate
 
 def own_labels(page: list[Block]) -> list[int] | None:
     """1 for blocks of an element that the page marks as its article, less its asides; None if it marks none."""
-    if not any(MAIN_TAGS & set(b.tags) for b in page):
+    if not any(MAIN_TAGS & b.tags for b in page):
         return None
-    return [int(bool(MAIN_TAGS & set(b.tags)) and not (ASIDE_TAGS & set(b.tags)) and not (b.names & ASIDE_WORDS)) for b in page]
+    return [int(bool(MAIN_TAGS & b.tags) and not (ASIDE_TAGS & b.tags) and not b.aside) for b in page]
 
 
 #: Names for the wrapper of an article in rewritten pages, as (tag, class).
@@ -269,7 +320,8 @@ def rewritten(article: list[str], short: list[str], rng) -> str:
         inner += _part(["share", "advert", "related", "comments"][int(rng.integers(0, 4))], short, article, rng)
     made = [_part(p, short, article, rng) for p in parts]
     after = [_part("comments", short, article, rng)] * (rng.random() < 0.6) + made[cut:] + [_part("footer", short, article, rng)]
-    return f'<html><body>{"".join(made[:cut])}<{tag} class="{name}">{inner}</{tag}>{"".join(after)}</body></html>'
+    head = f"<head><title>{escape(article[0])}</title></head>" if rng.random() < 0.7 else ""
+    return f'<html>{head}<body>{"".join(made[:cut])}<{tag} class="{name}">{inner}</{tag}>{"".join(after)}</body></html>'
 
 
 def labelled_pages(htmls: list[str], copies: int = 3) -> list[tuple[list[np.ndarray], list[int]]]:
@@ -291,7 +343,7 @@ def labelled_pages(htmls: list[str], copies: int = 3) -> list[tuple[list[np.ndar
 
 #: What the label of main text gains by a feature, where no page tells.
 PRIOR = {
-    "bias": -0.5, "maintag=True": 2.0, "aside=True": -4.0, "asidetag=True": -4.0, "own=h1": 3.0, "own=h2": 2.5, "own=p": 2.5,
+    "bias": -0.5, "maintag=True": 2.0, "aside=True": -4.0, "asidetag=True": -4.0, "own=title": -9.0, "own=h1": 3.0, "own=h2": 2.5, "own=p": 2.5,
     "link=2": -1.0, "link=3": -2.0, "link=4": -3.0, "stops=0": -0.5, "stops=1": 0.5, "stops=2": 0.5, "stops=3": 1.0,
     "words=1": -1.5, "words=2": -1.0, "words=3": -0.5, "words=4": 0.5, "words=5": 1.0, "words=6": 1.5, "words=7": 2.0, "words=8": 2.0, "words=9": 2.0,
 }

@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -113,6 +114,33 @@ def test_page_edges(spark, model):
     assert labelled_pages(["<p>no article</p>"]) == []
 
 
+def test_no_text_is_lost():
+    texts = lambda h: [b.text for b in blocks(h)]
+    assert texts("<html><head><title>T</title><p>Hello world.</p>") == ["T", "Hello world."]
+    assert texts("<head><meta charset=x><title>T</title>bare <b>text</b><p>more") == ["T", "bare text", "more"]
+    assert texts("<html><head><title>T</title></head><article><p>a<body class=x><p>b</article>") == ["T", "a", "b"]
+    assert texts("<p>x<script>var a='<p>';</script>y<style>p{}</style>z</p>") == ["xyz"]
+    assert texts("<p>mass <math><mi>m</mi><mo>=</mo><mn>1</mn></math> kg</p>") == ["mass m=1 kg"]
+    assert texts("<p>a<svg><text>b</text></svg></p><object><p>c</object><noscript>d</noscript><template><p>e</template><x-y>f</x-y>") == ["ab", "c", "d", "e", "f"]
+    assert texts("<p>a</body></html>late") == ["a", "late"]
+    assert all("article" in b.tags for b in blocks("<article><ul><li>a<li>b</ul><p>c<p>d</b></i><div>e</div>f"))
+
+
+def test_open_tags_cost_linear_time():
+    for page in (
+        "<div>x " * 100_000,
+        "<a href=y>x " * 100_000,
+        "<b>x " * 50_000 + "</i>y " * 50_000,
+        "".join(f"<div class='c{chr(97 + i % 26)} k{chr(97 + i // 26 % 26)}x'>x" for i in range(50_000)),
+        "<div>" * 50_000 + "<p>x</p><li>y" * 20_000,
+        "".join(f"<t{i}>x" for i in range(50_000)),
+    ):
+        began = time.process_time()
+        page_blocks = blocks(page)
+        assert "".join(b.text for b in page_blocks).replace(" ", "").count("x") == page.count(">x")
+        assert time.process_time() - began < 20
+
+
 def unmarked(spark, n, seed=3):
     """Pages of other layouts that hold no article or main, as (html, text of their article)."""
     rng, out, given = np.random.default_rng(seed), [], [blocks(r.html) for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
