@@ -64,11 +64,11 @@ def cell1024(v: Column, low: Column, high: Column) -> Column:
 
 
 def smallest_three(q: list[Column]) -> Column:
-    """(b0, b1, b2, mode): the largest of four components is left out and made positive."""
+    """(b0, b1, b2, mode): the largest of four components (w first) is left out and made positive; of equal ones x goes before y, z and w."""
     norm = F.greatest(F.sqrt(sum((c * c for c in q), F.lit(0.0))), F.lit(1e-12))
     q = [c / norm for c in q]
-    sizes = F.array(*(F.abs(c) for c in q))
-    largest = F.array_position(sizes, F.array_max(sizes)).cast("int") - 1
+    sizes = F.array(*(F.abs(q[i]) for i in (1, 2, 3, 0)))
+    largest = (F.array_position(sizes, F.array_max(sizes)) % 4).cast("int")
     values = F.array(*q)
     sign = F.when(F.get(values, largest) < 0, -1.0).otherwise(1.0)
     byte = lambda c: F.rint((c * sign * math.sqrt(2.0) / 2.0 + 0.5) * 255.0)

@@ -12,25 +12,30 @@ from pyspark.sql import DataFrame
 
 @dataclass
 class TwoLayers:
-    """Weights of a two-layer perceptron. Without biases its input is padded to the first layer's width; ``slope`` is that of negative units."""
+    """Weights of a two-layer perceptron, in one of two layouts.
+
+    With biases, negative units leak by 0.1. Without, the weights are padded (columns of the first layer, rows of the
+    second); what is beyond the given inputs and outputs is ignored, and negative units leak by 0.01.
+    """
 
     first: np.ndarray
     second: np.ndarray
     first_bias: np.ndarray | None = None
     second_bias: np.ndarray | None = None
-    slope: float = 0.01
+    outputs: int = 3
+    leak: float | None = None
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
-        x = np.pad(x, ((0, 0), (0, self.first.shape[1] - x.shape[1])), constant_values=1.0)
-        h = x @ self.first.T + (0 if self.first_bias is None else self.first_bias)
-        h = np.where(h > 0, h, self.slope * h)
-        return h @ self.second.T + (0 if self.second_bias is None else self.second_bias)
+        leak = self.leak if self.leak is not None else 0.01 if self.first_bias is None else 0.1
+        h = x @ self.first[:, : x.shape[1]].T + (0 if self.first_bias is None else self.first_bias)
+        h = np.where(h > 0, h, leak * h)
+        return h @ self.second[: self.outputs].T + (0 if self.second_bias is None else self.second_bias[: self.outputs])
 
 
 def contracted(x: np.ndarray) -> np.ndarray:
-    """Unbounded scenes drawn into a ball of radius two, which is then scaled to one."""
-    n = np.linalg.norm(x, axis=1, keepdims=True)
-    return np.where(n <= 1, x, (2 - 1 / np.maximum(n, 1e-12)) * x / np.maximum(n, 1e-12)) / 2
+    """Unbounded scenes drawn into a ball of radius two, which is then laid into the unit cube."""
+    n = np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    return np.where(n <= 1, x, (2 - 1 / n) * x / n) / 4 + 0.5
 
 
 def frequencies(x: np.ndarray, bands: int, interleaved: bool) -> np.ndarray:
@@ -40,7 +45,7 @@ def frequencies(x: np.ndarray, bands: int, interleaved: bool) -> np.ndarray:
     return (pairs if interleaved else pairs.transpose(0, 2, 3, 1)).reshape(len(x), -1)
 
 
-def bake_appearance(splats: DataFrame, network: TwoLayers, bands: int = 4, interleaved: bool = True, features: int = 3) -> DataFrame:
+def bake_appearance(splats: DataFrame, network: TwoLayers, bands: int = 16, interleaved: bool = True, features: int = 3) -> DataFrame:
     """``f_dc_*`` of each splat from its contracted position, centre time and static features (``app``), by one network."""
     shared = splats.sparkSession.sparkContext.broadcast(network)  # a fixed number of weights
 

@@ -12,6 +12,9 @@ from ..functions.text import camera_label, file_stem, trailing_id
 RIG = ("fl_x", "fl_y", "cx", "cy", "w", "h", *(f"r{i}{j}" for i in range(3) for j in range(3)), "tx", "ty", "tz")
 
 
+RIG_GIVEN = ("fl_x", "fl_y", "cx", "cy", "w", "h", "c2w")
+
+
 def _rig(cameras: DataFrame, *keys: str) -> DataFrame:
     """The columns that projection needs, one short row a camera."""
     return with_world_to_camera(cameras).select(*keys, *RIG)
@@ -51,6 +54,41 @@ def project_points(points: DataFrame, cameras: DataFrame, min_depth: float = 1e-
     return points.join(rig, "capture_id").select(*points.columns, "camera_label", u.alias("u"), v.alias("v"), depth.alias("depth"))
 
 
+def _masked_rig(cameras: DataFrame, runs: DataFrame, *extra: str) -> DataFrame:
+    """The cameras that have a mask, each with its image lines: ``lines[y]`` holds the disjoint runs of line y.
+
+    One row a camera (and a frame, with ``extra``), as long as a mask's runs; Spark broadcasts it where its
+    measured size allows, and else deals splats and masks by capture, so no pixel of a splat is ever shuffled.
+    """
+    keys = ["capture_id", "camera_label", *extra]
+    on_line = runs.groupBy(*keys, "y").agg(F.collect_list(F.struct("x0", "x1")).alias("line"))
+    rig = cameras.select("capture_id", "camera_label", *RIG_GIVEN).join(on_line.select(*keys).distinct(), ["capture_id", "camera_label"])
+    every = rig.select(*keys, F.explode(F.sequence(F.lit(0), F.col("h") - 1)).alias("y")).join(on_line, [*keys, "y"], "left")
+    none = F.array().cast("array<struct<x0:int,x1:int>>")
+    lines = every.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("y", F.coalesce("line", none).alias("line")))).alias("s"))
+    return _rig(rig, *keys).join(lines.select(*keys, F.col("s.line").alias("lines")), keys)
+
+
+def _on_mask() -> Column:
+    """Whether (px, py) lies on a run of its camera's mask."""
+    return F.exists(F.get("lines", F.col("py")), lambda r: (F.col("px") >= r["x0"]) & (F.col("px") <= r["x1"]))
+
+
+def _seen(rows: DataFrame, rig: DataFrame, keys: list[str], on: list[str], min_depth: float) -> DataFrame:
+    """keys and ``fg`` of each row in each masked camera of its capture that has it in its image."""
+    u, v, _ = project(F.col("x"), F.col("y"), F.col("z"), min_depth)
+    return (
+        rows.join(rig, on)
+        .select(*keys, truncated_pixel(u).alias("px"), truncated_pixel(v).alias("py"), "w", "h", u.alias("u"), v.alias("v"), "lines")
+        .filter("u >= 0 and v >= 0 and px < w and py < h")
+        .select(*keys, _on_mask().alias("fg"))
+    )
+
+
+def _votes(seen: DataFrame, keys: list[str]) -> DataFrame:
+    return seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("tested"), F.sum((~F.col("fg")).cast("long")).alias("outside"))
+
+
 def _inside_runs(rows: DataFrame, runs: DataFrame, keys: list[str]) -> DataFrame:
     """``fg``: whether (px, py) lies on a foreground run of its camera's mask. Runs of a line are disjoint."""
     m = runs.select(*keys, F.col("y").alias("py"), "x0", "x1")
@@ -61,30 +99,30 @@ def _inside_runs(rows: DataFrame, runs: DataFrame, keys: list[str]) -> DataFrame
 
 
 def mask_votes(splats: DataFrame, cameras: DataFrame, runs: DataFrame, min_alpha: float = 0.1, min_depth: float = 0.01) -> DataFrame:
-    """clip_id, splat_id, tested, outside: how many masks see a splat, and how many of them see it outside.
+    """capture_id, clip_id, splat_id, tested, outside: how many masks of its capture see a splat, and how many of them see it outside.
 
-    Only ids and pixels leave the scan; votes are summed by splat right behind the lookup.
+    Cameras without a mask do not vote. Votes are summed by splat right behind the lookup.
     """
-    alive = splats.filter(sigmoid(F.col("opacity")) > min_alpha).select("clip_id", "splat_id", "x", "y", "z")
-    u, v, _ = project(F.col("x"), F.col("y"), F.col("z"), min_depth)
-    seen = (
-        alive.crossJoin(F.broadcast(_rig(cameras, "camera_label")))  # a rig's cameras
-        .select("clip_id", "splat_id", "camera_label", truncated_pixel(u).alias("px"), truncated_pixel(v).alias("py"), "w", "h", u.alias("u"), v.alias("v"))
-        .filter("u >= 0 and v >= 0 and px < w and py < h")
-        .select("clip_id", "splat_id", "camera_label", "px", "py")
-    )
-    return _inside_runs(seen, runs, ["camera_label"]).groupBy("clip_id", "splat_id").agg(
-        F.count(F.lit(1)).alias("tested"), F.sum((~F.col("fg")).cast("long")).alias("outside")
-    )
+    keys = ["capture_id", "clip_id", "splat_id"]
+    alive = splats.filter((sigmoid(F.col("opacity")) > min_alpha) & _finite("x", "y", "z")).select(*keys, "x", "y", "z")
+    return _votes(_seen(alive, _masked_rig(cameras, runs), keys, ["capture_id"], min_depth), keys)
 
 
-def vote_fraction(votes: DataFrame, limit: float = 0.5) -> DataFrame:
-    """Rows to drop: the share of masks that see them outside reaches the limit. Unseen rows are kept."""
-    return votes.withColumn("fraction", F.col("outside") / F.col("tested")).filter(F.col("fraction") >= limit)
+def _finite(*columns: str) -> Column:
+    good = F.lit(True)
+    for c in columns:
+        good = good & F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+    return good
+
+
+def vote_fraction(votes: DataFrame, limit: float = 0.5, strict: bool = False) -> DataFrame:
+    """Rows to drop: the share of masks that see them outside reaches the limit, or with ``strict`` goes beyond it. Unseen rows are kept."""
+    share = F.col("outside") / F.col("tested")
+    return votes.withColumn("fraction", share).filter(share > limit if strict else share >= limit)
 
 
 def lifetime_votes(splats: DataFrame, views: DataFrame, runs: DataFrame, times: list[float], min_alpha: float = 0.02, min_depth: float = 0.05) -> DataFrame:
-    """Votes over the times at which a splat is live. ``views`` holds cameras, ``runs`` masks by (camera_label, frame_idx).
+    """Votes over the times at which a splat is live. ``views`` holds cameras, ``runs`` masks by (capture_id, camera_label, frame_idx).
 
     Times outside the support that ``min_alpha`` leaves are cut by an interval bound before rows are multiplied.
     """
@@ -94,51 +132,47 @@ def lifetime_votes(splats: DataFrame, views: DataFrame, runs: DataFrame, times:
         F.array(*(F.struct(F.lit(i).alias("frame_idx"), F.lit(float(t)).alias("t")) for i, t in enumerate(times))),
         lambda s: F.abs(s["t"] - F.col("t_center")) <= F.col("reach") + 1e-9,
     )
+    keys = ["capture_id", "clip_id", "splat_id"]
     live = (
         splats.filter(peak > min_alpha)
         .withColumn("reach", reach)
-        .select("clip_id", "splat_id", "x", "y", "z", "vx", "vy", "vz", "t_center", "t_sigma", "opacity", F.explode(near).alias("s"))
+        .select(*keys, "x", "y", "z", "vx", "vy", "vz", "t_center", "t_sigma", "opacity", F.explode(near).alias("s"))
         .withColumn("t", F.col("s.t"))
         .filter(alpha_at(F.col("t"), 1e-9) > min_alpha)
     )
     moved = {a: F.col(a) + F.col(f"v{a}") * (F.col("t") - F.col("t_center")) for a in "xyz"}
-    at = live.select("clip_id", "splat_id", F.col("s.frame_idx").alias("frame_idx"), *(e.alias(a) for a, e in moved.items()))
-    u, v, _ = project(F.col("x"), F.col("y"), F.col("z"), min_depth)
-    seen = (
-        at.crossJoin(F.broadcast(_rig(views, "camera_label")))  # a rig's cameras
-        .select("clip_id", "splat_id", "frame_idx", "camera_label", truncated_pixel(u).alias("px"), truncated_pixel(v).alias("py"), "w", "h", u.alias("u"), v.alias("v"))
-        .filter("u >= 0 and v >= 0 and px < w and py < h")
-        .select("clip_id", "splat_id", "frame_idx", "camera_label", "px", "py")
-    )
-    return _inside_runs(seen, runs, ["camera_label", "frame_idx"]).groupBy("clip_id", "splat_id").agg(
-        F.count(F.lit(1)).alias("tested"), F.sum((~F.col("fg")).cast("long")).alias("outside")
-    )
+    at = live.select(*keys, F.col("s.frame_idx").alias("frame_idx"), *(e.alias(a) for a, e in moved.items()))
+    return _votes(_seen(at, _masked_rig(views, runs, "frame_idx"), keys, ["capture_id", "frame_idx"], min_depth), keys)
 
 
-def hull_votes(points: DataFrame, cameras: DataFrame, runs: DataFrame, min_views: int, min_depth: float = 0.05) -> DataFrame:
-    """Candidate points that at least ``min_views`` masks see inside, with their votes."""
-    u, v, _ = project(F.col("x"), F.col("y"), F.col("z"), min_depth)
-    seen = (
-        points.crossJoin(F.broadcast(_rig(cameras, "camera_label")))  # a rig's cameras
-        .select("point_id", "camera_label", truncated_pixel(u).alias("px"), truncated_pixel(v).alias("py"), "w", "h", u.alias("u"), v.alias("v"))
-        .filter("u >= 0 and v >= 0 and px < w and py < h")
-    )
-    votes = _inside_runs(seen, runs, ["camera_label"]).groupBy("point_id").agg(F.sum(F.col("fg").cast("long")).alias("votes"))
-    return points.join(votes.filter(F.col("votes") >= min_views), "point_id")
+def drop_by_lifetime(splats: DataFrame, views: DataFrame, runs: DataFrame, times: list[float], limit: float = 0.5) -> DataFrame:
+    """Splats without those that more than ``limit`` of their votes see outside."""
+    gone = vote_fraction(lifetime_votes(splats, views, runs, times), limit, strict=True)
+    return splats.join(gone, ["capture_id", "clip_id", "splat_id"], "left_anti")
+
+
+def hull_votes(points: DataFrame, cameras: DataFrame, runs: DataFrame, min_views: int, min_depth: float = 0.05, by: tuple[str, ...] = ()) -> DataFrame:
+    """Candidate points (capture_id, point_id and ``by``, such as frame_idx) that at least ``min_views`` masks of their capture see inside, with their votes."""
+    keys = ["capture_id", *by, "point_id"]
+    seen = _seen(points.select(*keys, "x", "y", "z"), _masked_rig(cameras, runs, *by), keys, ["capture_id", *by], min_depth)
+    votes = seen.groupBy(*keys).agg(F.sum(F.col("fg").cast("long")).alias("votes"))
+    return points.join(votes.filter(F.col("votes") >= min_views), keys)
 
 
 def mask_coverage(runs: DataFrame, images: DataFrame) -> DataFrame:
-    """Share of foreground pixels; ``images`` has camera_label, w and h, also where a mask is empty."""
-    area = runs.groupBy("camera_label").agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("area"))
-    return images.join(area, "camera_label", "left").select("camera_label", (F.coalesce("area", F.lit(0)) / (F.col("w") * F.col("h"))).alias("coverage"))
+    """Share of foreground pixels by capture and camera; ``images`` has their w and h, also where a mask is empty."""
+    keys = ["capture_id", "camera_label"]
+    area = runs.groupBy(*keys).agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("area"))
+    return images.join(area, keys, "left").select(*keys, (F.coalesce("area", F.lit(0)) / (F.col("w") * F.col("h"))).alias("coverage"))
 
 
 def keypoint_coverage(keypoints: DataFrame, runs: DataFrame, images: DataFrame) -> DataFrame:
-    """Share of a camera's keypoints on the foreground; none gives 0."""
-    px = keypoints.join(F.broadcast(images), "camera_label")  # a rig's cameras
+    """Share of a camera's keypoints on the foreground, by capture and camera; none gives 0."""
+    keys = ["capture_id", "camera_label"]
+    px = keypoints.select(*keys, "u", "v").join(images.select(*keys, "w", "h"), keys)
     px = px.withColumn("px", rounded_pixel(F.col("u"), F.col("w"))).withColumn("py", rounded_pixel(F.col("v"), F.col("h")))
-    share = _inside_runs(px, runs, ["camera_label"]).groupBy("camera_label").agg(F.avg(F.col("fg").cast("double")).alias("share"))
-    return images.select("camera_label").join(share, "camera_label", "left").select("camera_label", F.coalesce("share", F.lit(0.0)).alias("coverage"))
+    share = _inside_runs(px, runs, keys).groupBy(*keys).agg(F.avg(F.col("fg").cast("double")).alias("share"))
+    return images.select(*keys).join(share, keys, "left").select(*keys, F.coalesce("share", F.lit(0.0)).alias("coverage"))
 
 
 def residuals(observations: DataFrame, points: DataFrame, cameras: DataFrame) -> DataFrame:
@@ -209,9 +243,9 @@ def holdout_split(views: DataFrame, test: list[str], holdout: list[str]) -> Data
 
 
 def with_intrinsics(cameras: DataFrame, calibrations: DataFrame, fallback: dict[str, float]) -> DataFrame:
-    """Calibrated intrinsics where there are any, else the fallback's."""
-    own = calibrations.select("camera_label", *(F.col(c).alias(f"__{c}") for c in fallback))
-    joined = cameras.join(own, "camera_label", "left")
+    """Calibrated intrinsics of the same capture and camera where there are any, else the fallback's."""
+    own = calibrations.select("capture_id", "camera_label", *(F.col(c).alias(f"__{c}") for c in fallback))
+    joined = cameras.join(own, ["capture_id", "camera_label"], "left")
     return joined.withColumns({c: F.coalesce(f"__{c}", F.lit(float(v))) for c, v in fallback.items()}).drop(*(f"__{c}" for c in fallback))
 
 

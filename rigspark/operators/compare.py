@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions.encoding import log_transform
 from ..functions.geometry import quaternion_angle_deg, sigmoid
+from .rank import levelled_rank
 
 KEYS = ("x", "y", "z", "vx", "vy", "vz")
 
@@ -28,9 +29,8 @@ def integer_keys(splats: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def canonical_rank(splats: DataFrame) -> DataFrame:
-    """``rank`` in the canonical order of a group."""
-    w = Window.partitionBy("clip_id", "grp").orderBy(*(f"k_{c}" for c in KEYS), "splat_id")
-    return splats.withColumn("rank", F.row_number().over(w))
+    """``rank`` in the canonical order of a group; its upper bits of the first key deal it into 256 parts."""
+    return levelled_rank(splats, ["clip_id", "grp"], F.shiftright("k_x", 8), [*(f"k_{c}" for c in KEYS), "splat_id"], "rank")
 
 
 def ambiguous(splats: DataFrame) -> DataFrame:
@@ -55,18 +55,27 @@ def _apart() -> Column:
 
 
 def membership(pairs: DataFrame) -> DataFrame:
-    """Groups with pairs whose keys differ by more than one step, and how many."""
-    return pairs.filter(_apart() > 1).groupBy("clip_id", "grp").agg(F.count(F.lit(1)).alias("offenders"))
+    """Groups with pairs whose keys differ by more than one step, and how many. Pairs that were ``repaired`` do not count."""
+    kept = pairs.filter(~F.col("repaired")) if "repaired" in pairs.columns else pairs
+    return kept.filter(_apart() > 1).groupBy("clip_id", "grp").agg(F.count(F.lit(1)).alias("offenders"))
 
 
 def repair_pairs(pairs: DataFrame, limit: float = 0.002) -> DataFrame:
-    """Pairs whose keys disagree, paired anew by nearest position inside their group, in row order.
+    """Pairs whose keys disagree, however little, paired anew by nearest position inside their group, in row order; ``repaired`` marks them.
 
-    Clips with more than ``limit`` of such pairs are left as they are, and so is a lone row.
+    Clips with more than ``limit`` of such pairs (but at least one is always allowed) are left as they are, and so is
+    the only such row of a group.
     """
-    marked = pairs.withColumn("__off", _apart() > 1)
-    share = marked.groupBy("clip_id").agg(F.avg(F.col("__off").cast("double")).alias("__share"))
-    marked = marked.join(F.broadcast(share), "clip_id").withColumn("__fix", F.col("__off") & (F.col("__share") <= limit)).drop("__share", "__off")
+    marked = pairs.withColumn("__off", _apart() > 0)
+    of_clip = marked.groupBy("clip_id").agg(F.sum(F.col("__off").cast("long")).alias("__wrong"), F.count(F.lit(1)).alias("__all"))
+    of_group = marked.groupBy("clip_id", "grp").agg(F.sum(F.col("__off").cast("long")).alias("__near"))
+    few = F.col("__wrong") <= F.greatest(F.lit(1), F.floor(F.col("__all") * limit))
+    marked = (
+        marked.join(F.broadcast(of_clip), "clip_id")  # one row a clip
+        .join(of_group, ["clip_id", "grp"])
+        .withColumn("repaired", F.col("__off") & few & (F.col("__near") > 1))
+        .drop("__off", "__wrong", "__all", "__near")
+    )
     right = [c for c in pairs.columns if c.startswith("b_")]
 
     def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -80,9 +89,9 @@ def repair_pairs(pairs: DataFrame, limit: float = 0.002) -> DataFrame:
         pdf[right] = pdf[right].iloc[taken].to_numpy()
         return pdf
 
-    fixed = marked.filter("__fix").drop("__fix")
-    again = fixed.groupBy("clip_id", "grp").applyInPandas(nearest, fixed.schema)  # 0.2 % of a group at most
-    return marked.filter(~F.col("__fix")).drop("__fix").unionByName(again)
+    fixed = marked.filter("repaired")
+    again = fixed.groupBy("clip_id", "grp").applyInPandas(nearest, fixed.schema)  # 0.2 % of a clip at most
+    return marked.filter(~F.col("repaired")).unionByName(again)
 
 
 def error_table(pairs: DataFrame, fields: list[str]) -> DataFrame:
@@ -119,27 +128,101 @@ def judge(pairs: DataFrame, tolerances: dict[str, tuple[float | None, str]]) ->
 
 
 def split16_tolerance(value: Column, mn: Column, mx: Column) -> Column:
-    """What a split value may be off by, at its own size."""
-    step = F.when(mx > mn, mx - mn).otherwise(1.0) / 65535.0
-    return step * (1.0 + F.abs(value)) + 1e-6 * F.abs(value) + 1e-9
+    """What a split value may be off by, at its own size: one step of the log axis, and some rounding where the axis has no width."""
+    return (mx - mn) / 65535.0 * (1.0 + F.abs(value)) + 1e-6 * F.abs(value) + 1e-9
+
+
+def tolerances(pairs: DataFrame, fields: list[str], sides: list[tuple[DataFrame | None, DataFrame | None]]) -> DataFrame:
+    """``tol_<field>`` for each pair: what each side's own quantising may have cost, added up; null where no bound is known.
+
+    ``sides``: (ranges, codebooks) of each side that was quantised. Split fields depend on the value of side a,
+    codebook fields on the largest gap of the clip's codebook; t_sigma and opacity are judged by what they do instead.
+    """
+    from .quantize import GROUPS, adjacent_gap
+
+    attr = {**{f"scale_{i}": "scale" for i in range(3)}, **{f"f_dc_{i}": "dc" for i in range(3)}, "t_center": "t_center"}
+    parts: dict[str, list[Column]] = {c: [] for c in fields}
+    out = pairs
+    for n, (ranges, codebooks) in enumerate(sides):
+        if ranges is not None:
+            for g, axes in GROUPS.items():
+                for i, c in enumerate(axes):
+                    if c in parts:
+                        own = ranges.filter((F.col("grp") == g) & (F.col("axis") == i)).select("clip_id", F.col("mn").alias(f"__mn{n}_{c}"), F.col("mx").alias(f"__mx{n}_{c}"))
+                        out = out.join(F.broadcast(own), "clip_id", "left")  # one row a clip
+                        parts[c].append(split16_tolerance(F.col(f"a_{c}"), F.col(f"__mn{n}_{c}"), F.col(f"__mx{n}_{c}")))
+        if codebooks is not None:
+            gaps = adjacent_gap(codebooks)
+            for c in fields:
+                if c in attr:
+                    own = gaps.filter(F.col("attr") == attr[c]).select("clip_id", F.col("tolerance").alias(f"__gap{n}_{c}"))
+                    out = out.join(F.broadcast(own), "clip_id", "left")  # one row a clip
+                    parts[c].append(F.col(f"__gap{n}_{c}"))
+    added = {}
+    for c, found in parts.items():
+        total = F.lit(None).cast("double")
+        for k, p in enumerate(found):
+            total = p if k == 0 else F.coalesce(total + p, total, p)
+        added[f"tol_{c}"] = total
+    return out.withColumns(added).select(*pairs.columns, *added)
+
+
+def judge_each(bounded: DataFrame, fields: list[str]) -> DataFrame:
+    """clip_id, field, share over tolerance and verdict of pairs with their own ``tol_<field>``.
+
+    Codebook fields may go over in 1 % of the rows, others in none; without any tolerance the verdict is advisory.
+    """
+    codebook = lambda c: c.startswith(("scale_", "f_dc_")) or c in ("t_center", "t_sigma")
+    error = lambda c: F.abs(F.col(f"a_{c}").cast("double") - F.col(f"b_{c}").cast("double"))
+    table = bounded.groupBy("clip_id").agg(
+        *(F.avg((error(c) > F.col(f"tol_{c}") * 1.001 + 1e-9).cast("double")).alias(c) for c in fields)  # null without a tolerance
+    )
+    rows = (
+        F.struct(
+            F.lit(c).alias("field"), F.col(c).alias("over_share"),
+            F.when(F.col(c).isNull(), "advisory").when(F.col(c) <= (0.01 if codebook(c) else 0.0), "pass").otherwise("fail").alias("verdict"),
+        )
+        for c in fields
+    )
+    return table.select("clip_id", F.explode(F.array(*rows)).alias("r")).select("clip_id", "r.*")
 
 
 def temporal_weight_error(pairs: DataFrame, time_min: float, time_max: float, bar: float = 2 / 255) -> DataFrame:
-    """Share of rows whose weight, at their worst time inside the clip, differs by more than ``bar``."""
-    worst = F.greatest(F.abs(F.lit(float(time_min)) - F.col("a_t_center")), F.abs(F.lit(float(time_max)) - F.col("a_t_center")))
-    sa, sb = F.col("a_t_sigma"), F.col("b_t_sigma")
-    # the difference of two Gaussians is largest where their slopes meet, or at the clip's end before that
-    ratio = F.when(sa == sb, F.lit(0.0)).otherwise(F.log(sa * sa / (sb * sb)) * 2.0 / (1.0 / (sb * sb) - 1.0 / (sa * sa)))
-    d = F.least(F.sqrt(F.abs(ratio)), worst)
-    weight = lambda s: F.exp(-0.5 * (d / s) * (d / s))
-    return pairs.groupBy("clip_id").agg(F.avg((F.abs(weight(sa) - weight(sb)) > bar).cast("double")).alias("over_share"))
-
-
-def rotation_error(pairs: DataFrame) -> DataFrame:
-    """Largest angle between the rotations of a pair, in degrees."""
+    """Share of rows whose weight differs by more than ``bar`` at the end of the clip that is farther from their centre, and the verdict: 1 % may."""
+    far = F.greatest(F.abs(F.col("a_t_center") - F.lit(float(time_min))), F.abs(F.lit(float(time_max)) - F.col("a_t_center")))
+    weight = lambda s: F.exp(F.lit(-0.5) * (far / F.greatest(F.col(s), F.lit(1e-9))) * (far / F.greatest(F.col(s), F.lit(1e-9))))
+    over = F.abs(weight("a_t_sigma") - weight("b_t_sigma")) > bar * 1.001 + 1e-9
+    share = pairs.groupBy("clip_id").agg(F.avg(over.cast("double")).alias("over_share"))
+    return share.withColumn("verdict", F.when(F.col("over_share") <= 0.01, "pass").otherwise("fail"))
+
+
+def rotation_error(pairs: DataFrame, bar: float = 2.0) -> DataFrame:
+    """Largest angle between the rotations of a pair, in degrees, and the verdict: none may be above ``bar``."""
     norm = lambda n: F.sqrt(sum((F.col(f"{n}_rot_{i}") * F.col(f"{n}_rot_{i}") for i in range(4)), F.lit(0.0)))
     dot = sum((F.col(f"a_rot_{i}") * F.col(f"b_rot_{i}") for i in range(4)), F.lit(0.0)) / F.greatest(norm("a") * norm("b"), F.lit(1e-12))
-    return pairs.groupBy("clip_id").agg(F.max(quaternion_angle_deg(dot)).alias("max_degrees"))
+    most = pairs.groupBy("clip_id").agg(F.max(quaternion_angle_deg(dot)).alias("max_degrees"))
+    return most.withColumn("verdict", F.when(F.col("max_degrees") <= bar * 1.001 + 1e-9, "pass").otherwise("fail"))
+
+
+def reorder_like(source: DataFrame, archive: DataFrame, time_min: float, time_max: float) -> tuple[DataFrame, DataFrame]:
+    """Source splats in the order that an archive records, and their own segment table, which the caller must compare with the archive's.
+
+    ``archive``: clip_id, segment_duration, k_sigma, persistent_span_mult. The few distinct settings are read, and each
+    orders its own clips; clips without segments are one block.
+    """
+    from . import temporal
+
+    settings = archive.select("segment_duration", F.coalesce("k_sigma", F.lit(3.8)).alias("k"), F.coalesce("persistent_span_mult", F.lit(3.0)).alias("m"))
+    ordered = table = None
+    for duration, k, m in settings.distinct().collect():  # distinct encoder settings, not clips
+        same = F.col("segment_duration").eqNullSafe(F.lit(duration)) & (F.coalesce("k_sigma", F.lit(3.8)) == k) & (F.coalesce("persistent_span_mult", F.lit(3.0)) == m)
+        own = source.join(F.broadcast(archive.filter(same).select("clip_id")), "clip_id", "left_semi")  # one row a clip
+        step = duration or max(time_max - time_min, 1e-9)
+        made = temporal.order_splats(own, time_min, time_max, step, k, m if duration else float("inf"))
+        segments = temporal.segment_table(own, time_min, time_max, step, k, m if duration else float("inf"))
+        ordered = made if ordered is None else ordered.unionByName(made)
+        table = segments if table is None else table.unionByName(segments)
+    return ordered, table
 
 
 def sh_layout_ratio(pairs: DataFrame, bar: float = 0.25) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .cameras import hull_votes
+from ..functions.geometry import truncated_pixel
+from .cameras import hull_votes, project_points
 
 
 def drop_held_frames(frames: DataFrame) -> DataFrame:
@@ -16,12 +17,13 @@ def drop_held_frames(frames: DataFrame) -> DataFrame:
     return frames.withColumn("__before", before).filter(F.col("__before").isNull() | (F.col("__before") != F.col("hash"))).drop("__before")
 
 
-def search_box(cameras: DataFrame, least: float = 4.0) -> DataFrame:
-    """Box around the mean camera centre, as wide as the rig's spread, by capture."""
+def search_box(cameras: DataFrame, otherwise: float = 4.0) -> DataFrame:
+    """Box around the mean camera centre of a capture: as far to each side as its centres spread along their widest axis, or ``otherwise`` where all stand in one place."""
     centre = {a: F.col("c2w")[4 * i + 3] for i, a in enumerate("xyz")}
     box = cameras.groupBy("capture_id").agg(*(f(centre[a]).alias(f"{n}_{a}") for a in "xyz" for n, f in (("mid", F.avg), ("lo", F.min), ("hi", F.max))))
-    spread = F.greatest(F.lit(least), *(F.greatest(F.col(f"hi_{a}") - F.col(f"mid_{a}"), F.col(f"mid_{a}") - F.col(f"lo_{a}")) for a in "xyz"))
-    return box.select("capture_id", *((F.col(f"mid_{a}") + s * spread).alias(f"{n}_{a}") for a in "xyz" for n, s in (("min", -1.0), ("max", 1.0))))
+    widest = F.greatest(*(F.col(f"hi_{a}") - F.col(f"lo_{a}") for a in "xyz"))
+    span = F.when(widest > 0, widest).otherwise(F.lit(float(otherwise)))
+    return box.select("capture_id", *((F.col(f"mid_{a}") + s * span).alias(f"{n}_{a}") for a in "xyz" for n, s in (("min", -1.0), ("max", 1.0))))
 
 
 def hull_bbox(points: DataFrame, least: int = 100) -> DataFrame:
@@ -37,26 +39,53 @@ def unit_hash(seed: int, *columns: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 31)) / float(1 << 31)
 
 
-def carve_hull(box: dict[str, float], cameras: DataFrame, runs: DataFrame, frames: list[int], n: int, min_views: int, batches: int = 8) -> DataFrame:
+def candidates(boxes: DataFrame, frames: DataFrame, n: int, batches: int = 8) -> DataFrame:
+    """capture_id, frame_idx, point_id, x, y, z: ``batches`` times 4n uniform points in the box of each capture, for each of its frames."""
+    rows = frames.select("capture_id", "frame_idx").distinct().join(boxes, "capture_id")
+    rows = rows.withColumn("point_id", F.explode(F.sequence(F.lit(0), F.lit(batches * 4 * n - 1))))
+    at = {a: F.col(f"min_{a}") + unit_hash(i, "capture_id", "frame_idx", "point_id") * (F.col(f"max_{a}") - F.col(f"min_{a}")) for i, a in enumerate("xyz")}
+    return rows.select("capture_id", "frame_idx", "point_id", *(e.alias(a) for a, e in at.items()))
+
+
+def carve_hull(boxes: DataFrame, cameras: DataFrame, runs: DataFrame, n: int, min_views: int, batches: int = 8) -> DataFrame:
     """The first ``n`` candidates of each frame that ``min_views`` masks hold, of ``batches`` times 4n uniform ones.
 
-    ``runs`` has frame_idx as well; a frame's candidates meet its own masks only.
+    ``boxes`` has one row a capture (min_x .. max_z), ``runs`` also frame_idx; a frame's candidates meet its own
+    masks only. All frames of all captures are one plan; the window of a frame sees at most its candidates.
     """
-    spark = cameras.sparkSession
-    out = None
-    for frame in frames:
-        ids = spark.range(batches * 4 * n).withColumnRenamed("id", "point_id").withColumn("frame_idx", F.lit(frame))
-        at = {a: F.lit(box[f"min_{a}"]) + unit_hash(i, "point_id", "frame_idx") * (box[f"max_{a}"] - box[f"min_{a}"]) for i, a in enumerate("xyz")}
-        kept = hull_votes(ids.withColumns(at), cameras, runs.filter(F.col("frame_idx") == frame), min_views)
-        first = kept.orderBy("point_id").limit(n)
-        out = first if out is None else out.unionByName(first)
-    return out
+    kept = hull_votes(candidates(boxes, runs, n, batches), cameras, runs, min_views, by=("frame_idx",))
+    first = Window.partitionBy("capture_id", "frame_idx").orderBy("point_id")
+    return kept.withColumn("__k", F.row_number().over(first)).filter(F.col("__k") <= n).drop("__k")
+
 
+def find_bbox(cameras: DataFrame, runs: DataFrame, min_views: int, n: int = 500_000) -> DataFrame:
+    """The padded box of the hull of each capture's middle frame, found among ``n`` candidates in the search box around its cameras."""
+    frames = runs.select("capture_id", "frame_idx").distinct().groupBy("capture_id").agg(F.sort_array(F.collect_set("frame_idx")).alias("all"))
+    middle = frames.select("capture_id", F.get("all", F.floor(F.size("all") / 2).cast("int")).alias("frame_idx"))
+    own = runs.join(F.broadcast(middle), ["capture_id", "frame_idx"], "left_semi")  # one row a capture
+    tried = candidates(search_box(cameras), middle, -(-n // 4), 1)
+    return hull_bbox(hull_votes(tried, cameras, own, min_views, by=("frame_idx",)))
 
-def hull_colour(seen: DataFrame) -> DataFrame:
-    """Mean colour of each point over the cameras that see it on the mask; unseen gives 127. ``seen``: point_id, fg, r, g, b."""
-    inside = lambda c: F.coalesce(F.avg(F.when(F.col("fg"), F.col(c))), F.lit(127.0)).cast("int").alias(c)
-    return seen.groupBy("point_id").agg(*(inside(c) for c in ("r", "g", "b")))
+
+def colour_cameras(cameras: DataFrame, most: int = 4) -> DataFrame:
+    """Up to ``most`` cameras of each capture, spread over its labels in name order."""
+    w = Window.partitionBy("capture_id")  # a rig's cameras
+    placed = cameras.withColumn("__k", F.row_number().over(w.orderBy("camera_label")) - 1).withColumn("__n", F.count(F.lit(1)).over(w))
+    step = F.greatest(F.floor(F.col("__n") / most), F.lit(1))
+    return placed.filter((F.col("__k") % step == 0) & (F.col("__k") < most * step)).drop("__k", "__n")
+
+
+def hull_colour(points: DataFrame, cameras: DataFrame, pixels: DataFrame, by: tuple[str, ...] = ("frame_idx",), min_depth: float = 0.05) -> DataFrame:
+    """r, g, b of each point: the mean over the spread cameras that see it on their mask; 127 where none does.
+
+    ``pixels``: capture_id, camera_label, ``by``, x, y, fg, r, g, b.
+    """
+    keys = ["capture_id", *by, "point_id"]
+    seen = project_points(points.select(*keys, "x", "y", "z"), colour_cameras(cameras), min_depth).filter("u >= 0 and v >= 0")
+    at = seen.select(*keys, "camera_label", truncated_pixel(F.col("u")).alias("px"), truncated_pixel(F.col("v")).alias("py"))
+    shown = pixels.filter("fg").select("capture_id", *by, "camera_label", F.col("x").alias("px"), F.col("y").alias("py"), "r", "g", "b")
+    mean = at.join(shown, ["capture_id", *by, "camera_label", "px", "py"]).groupBy(*keys).agg(*(F.avg(c).alias(c) for c in "rgb"))
+    return points.join(mean, keys, "left").withColumns({c: F.coalesce(F.col(c), F.lit(127.0)).cast("int") for c in "rgb"})
 
 
 def mask_to_alpha(pixels: DataFrame) -> DataFrame:
@@ -76,11 +105,14 @@ def mask_union(mask: DataFrame, patch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def crop_box(keypoints: DataFrame, margin: float) -> DataFrame:
-    """Box of a camera's keypoints with a margin, clipped into the image, whole pixels. Needs w and h."""
-    side = lambda f, c, s, lo: F.greatest(F.lit(0.0), F.least(f(c) + s * margin, F.max(lo).cast("double"))).cast("int")
-    return keypoints.groupBy("camera_label").agg(
-        side(F.min, "u", -1, "w").alias("x0"), side(F.min, "v", -1, "h").alias("y0"), side(F.max, "u", 1, "w").alias("x1"), side(F.max, "v", 1, "h").alias("y1")
+    """Box of the keypoints of a capture's camera, wider by ``margin`` of its own width and height to each side, clipped into the image, whole pixels. Needs w and h."""
+    box = keypoints.groupBy("capture_id", "camera_label").agg(
+        F.min("u").alias("u0"), F.max("u").alias("u1"), F.min("v").alias("v0"), F.max("v").alias("v1"), F.max("w").cast("double").alias("w"), F.max("h").cast("double").alias("h")
     )
+    mu, mv = (F.col("u1") - F.col("u0")) * margin, (F.col("v1") - F.col("v0")) * margin
+    low = lambda c, m: F.greatest(F.col(c) - m, F.lit(0.0)).cast("int")
+    high = lambda c, m, size: F.least(F.col(c) + m, F.col(size)).cast("int")
+    return box.select("capture_id", "camera_label", low("u0", mu).alias("x0"), low("v0", mv).alias("y0"), high("u1", mu, "w").alias("x1"), high("v1", mv, "h").alias("y1"))
 
 
 def merge_instants(parts: dict[str, DataFrame]) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import with_world_to_camera
@@ -72,21 +72,58 @@ def similarity_fit(pairs: DataFrame) -> DataFrame:
     return cov.mapInPandas(solve, "capture_id long, scale double, rotation array<double>, translation array<double>")
 
 
+def _similarity(a: str) -> Column:
+    """One axis of x, y, z moved by scale, rotation and translation."""
+    i = "xyz".index(a)
+    return F.col("scale") * sum((F.col("rotation")[3 * i + j] * F.col(b) for j, b in enumerate("xyz")), F.lit(0.0)) + F.col("translation")[i]
+
+
 def remove_gauge(points: DataFrame, fit: DataFrame) -> DataFrame:
     """Points (x, y, z) moved by the similarity of their capture."""
     joined = points.join(F.broadcast(fit), "capture_id")  # one row a capture
-    moved = {
-        a: F.col("scale") * sum((F.col("rotation")[3 * i + j] * F.col(b) for j, b in enumerate("xyz")), F.lit(0.0)) + F.col("translation")[i]
-        for i, a in enumerate("xyz")
-    }
-    return joined.select(*(moved[c].alias(c) if c in moved else c for c in points.columns))
+    return joined.select(*(_similarity(c).alias(c) if c in "xyz" else c for c in points.columns))
+
+
+def camera_centres(poses: DataFrame, prefix: str) -> DataFrame:
+    """capture_id, camera_label and the centre of each pose (w2c) as ``prefix``_x .. _z."""
+    m = lambda i, j: F.col("w2c")[4 * i + j]
+    centre = [-sum((m(k, i) * m(k, 3) for k in range(3)), F.lit(0.0)) for i in range(3)]
+    return poses.select("capture_id", "camera_label", *(c.alias(f"{prefix}_{a}") for c, a in zip(centre, "xyz", strict=True)))
+
+
+def remove_gauge_of_poses(poses: DataFrame, fit: DataFrame) -> DataFrame:
+    """Poses (w2c) in the world that the similarity of their capture moves into; image positions of moved points stay."""
+    joined = poses.join(F.broadcast(fit), "capture_id")  # one row a capture
+    m, r = (lambda i, j: F.col("w2c")[4 * i + j]), (lambda i, j: F.col("rotation")[3 * i + j])
+    turned = [[sum((m(i, k) * r(j, k) for k in range(3)), F.lit(0.0)) for j in range(3)] for i in range(3)]
+    rows = [[*turned[i], F.col("scale") * m(i, 3) - sum((turned[i][j] * F.col("translation")[j] for j in range(3)), F.lit(0.0))] for i in range(3)]
+    last = [F.lit(float(x)) for x in (0, 0, 0, 1)]
+    return joined.withColumn("w2c", F.array(*(c for row in rows for c in row), *last)).select(*poses.columns)
+
+
+def given_poses(cameras: DataFrame) -> DataFrame:
+    """capture_id, camera_label, w2c of cameras given by c2w."""
+    rig = with_world_to_camera(cameras)
+    rows = [F.col(c) for i, t in enumerate(("tx", "ty", "tz")) for c in (f"r{i}0", f"r{i}1", f"r{i}2", t)]
+    return rig.select("capture_id", "camera_label", F.array(*rows, *(F.lit(float(x)) for x in (0, 0, 0, 1))).alias("w2c"))
+
+
+def with_poses(cameras: DataFrame, poses: DataFrame) -> DataFrame:
+    """Cameras with the c2w of refined poses (w2c)."""
+    m = lambda i, j: F.col("w2c")[4 * i + j]
+    turned = (1.0, -1.0, -1.0)
+    centre = [-sum((m(k, i) * m(k, 3) for k in range(3)), F.lit(0.0)) for i in range(3)]
+    rows = [c for i in range(3) for c in (*(F.lit(turned[j]) * m(j, i) for j in range(3)), centre[i])]
+    joined = cameras.drop("c2w").join(poses.select("capture_id", "camera_label", "w2c"), ["capture_id", "camera_label"])
+    return joined.withColumn("c2w", F.array(*rows, *(F.lit(float(x)) for x in (0, 0, 0, 1)))).drop("w2c")
 
 
 def robust_pose_average(poses: DataFrame, max_degrees: float = 10.0) -> DataFrame:
     """Mean centre and rotation of each camera over its repeated poses (w2c, 16 row-major), outliers left out.
 
-    Positions: within five median distances of the median centre. Rotations: within ``max_degrees`` of the
-    pose with most support. A camera's repeated poses (instants of one capture) meet in one group.
+    Positions: within five median distances of the median centre. Rotations: of those, within ``max_degrees`` of the
+    one with most support among them. Spreads are means and maxima over what is left. A camera's repeated poses
+    (instants of one capture) meet in one group.
     """
 
     def average(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -96,11 +133,8 @@ def robust_pose_average(poses: DataFrame, max_degrees: float = 10.0) -> DataFram
         far = np.linalg.norm(centre - np.median(centre, axis=0), axis=1)
         near = far <= max(5 * np.median(far), 1e-6)
         trace = np.einsum("aij,bij->ab", rot, rot)
-        angle = np.degrees(np.arccos(np.clip((trace - 1) / 2, -1, 1)))
-        support = (angle <= max_degrees).sum(axis=1)
-        best = int(support.argmax())
-        good = near & (angle[best] <= max_degrees)
-        good = good if good.any() else near
+        close = (np.degrees(np.arccos(np.clip((trace - 1) / 2, -1, 1))) <= max_degrees) & near[None, :] & near[:, None]
+        good = close[int(close.sum(axis=1).argmax())] if close.any() else near
         u, _, vt = np.linalg.svd(rot[good].sum(axis=0))
         mean = u @ np.diag([1, 1, np.sign(np.linalg.det(u @ vt)) or 1.0]) @ vt
         where = centre[good].mean(axis=0)
@@ -108,7 +142,7 @@ def robust_pose_average(poses: DataFrame, max_degrees: float = 10.0) -> DataFram
         turned = np.degrees(np.arccos(np.clip((np.einsum("nij,ij->n", rot[good], mean) - 1) / 2, -1, 1)))
         w2c = np.eye(4)
         w2c[:3, :3], w2c[:3, 3] = mean, -mean @ where
-        row = (pdf["capture_id"].iloc[0], pdf["camera_label"].iloc[0], w2c.ravel().tolist(), len(pdf), int(good.sum()), float(np.median(spread)), float(spread.max()), float(np.median(turned)), float(turned.max()))
+        row = (pdf["capture_id"].iloc[0], pdf["camera_label"].iloc[0], w2c.ravel().tolist(), len(pdf), int(good.sum()), float(spread.mean()), float(spread.max()), float(turned.mean()), float(turned.max()))
         return pd.DataFrame([row], columns=["capture_id", "camera_label", "w2c", "num_views", "num_inliers", "center_spread", "center_spread_max", "rot_spread_deg", "rot_spread_deg_max"])
 
     return poses.select("capture_id", "camera_label", "image", "w2c").groupBy("capture_id", "camera_label").applyInPandas(
@@ -127,6 +161,9 @@ def _turn(w: np.ndarray) -> np.ndarray:
 def refine_poses(observations: DataFrame, cameras: DataFrame, points: DataFrame, rounds: int = 20, huber_px: float = 20.0, face_weight: float = 1.0, face: tuple[tuple[int, int], ...] = ((0, 4), (69, 307))) -> tuple[DataFrame, DataFrame]:
     """Poses (capture_id, camera_label, w2c) and points after Huber bundle adjustment with fixed intrinsics.
 
+    Each component of a residual goes through the Huber transform before its weight, and the cost is the sum of
+    squares of what comes out. A step that raises it is taken back and tried again with more damping.
+
     Each round is Levenberg-Marquardt on the Schur complement: observations give 6x6, 6x3 and 3x3 blocks, a
     point's blocks are eliminated in the group of its own observations, and the 6C x 6C sums of a capture
     are reduced by Spark and solved in the group of the capture, whose cameras are tens. Poses and points are
@@ -142,7 +179,7 @@ def refine_poses(observations: DataFrame, cameras: DataFrame, points: DataFrame,
         is_face = is_face | F.col("kp_idx").between(a, b)
     weighted = observations.withColumn("wt", F.sqrt(F.when(is_face, F.lit(face_weight)).otherwise(1.0) * F.col("score")))
     keys = ["capture_id", "tem", "kp_idx"]
-    pts, damp, last = points.select(*keys, "x", "y", "z"), 1e-3, None
+    pts, damp, last, before, again = points.select(*keys, "x", "y", "z"), 1e-3, None, None, False
     reduced_schema = "capture_id long, cam_a string, cam_b string, block array<double>, side array<double>, cost double"
 
     def blocks(pdf: pd.DataFrame, lam: float):
@@ -151,22 +188,23 @@ def refine_poses(observations: DataFrame, cameras: DataFrame, points: DataFrame,
         z = np.where(np.abs(cam[:, 2]) < 1e-9, 1e-9, cam[:, 2])
         fx, fy = pdf["fl_x"].to_numpy(), pdf["fl_y"].to_numpy()
         res = np.stack((fx * cam[:, 0] / z + pdf["cx"] - pdf["u"], fy * cam[:, 1] / z + pdf["cy"] - pdf["v"]), axis=1)
-        size = np.linalg.norm(res, axis=1)
-        w = pdf["wt"].to_numpy() * np.where(size <= huber_px, 1.0, np.sqrt(huber_px / np.maximum(size, 1e-12)))
+        size = np.abs(res)
+        bent = np.sqrt(huber_px * np.maximum(2 * size - huber_px, huber_px))  # beyond the threshold
+        slope = np.where(size <= huber_px, 1.0, huber_px / bent) * pdf["wt"].to_numpy()[:, None]
+        res = np.where(size <= huber_px, res, np.sign(res) * bent) * pdf["wt"].to_numpy()[:, None]
         jc = np.zeros((len(pdf), 2, 3))
         jc[:, 0, 0], jc[:, 0, 2], jc[:, 1, 1], jc[:, 1, 2] = fx / z, -fx * cam[:, 0] / z**2, fy / z, -fy * cam[:, 1] / z**2
         turned = cam - np.stack(pdf["t"].to_numpy())
         skew = np.zeros((len(pdf), 3, 3))
         skew[:, 0, 1], skew[:, 0, 2], skew[:, 1, 2] = -turned[:, 2], turned[:, 1], -turned[:, 0]
         skew -= skew.transpose(0, 2, 1)
-        a = np.concatenate((-jc @ skew, jc), axis=2) * w[:, None, None]
-        b = (jc @ r) * w[:, None, None]
-        res = res * w[:, None]
+        a = np.concatenate((-jc @ skew, jc), axis=2) * slope[:, :, None]
+        b = (jc @ r) * slope[:, :, None]
         v = np.einsum("nki,nkj->ij", b, b)
         v += lam * np.diag(np.maximum(np.diag(v), 1e-9))
         return a, b, res, np.linalg.inv(v), np.einsum("nki,nk->i", b, res)
 
-    for _ in range(rounds):
+    for k in range(rounds + 1):  # the last one only judges the step before
         lam = damp  # each round is run before it changes
         joined = weighted.join(pts, keys).join(F.broadcast(rig), ["capture_id", "camera_label"])  # tens of rows a capture
 
@@ -192,9 +230,12 @@ def refine_poses(observations: DataFrame, cameras: DataFrame, points: DataFrame,
             )
         )
         cost = summed.agg(F.sum("cost")).first()[0] or 0.0
-        if last is not None and abs(last - cost) <= 1e-10 * max(last, 1e-12):
+        if last is not None and cost > last * (1 + 1e-12):
+            (rig, pts), damp, again = before, damp * 10, True
+            continue
+        if k == rounds or (last is not None and not again and abs(last - cost) <= 1e-10 * max(last, 1e-12)):
             break
-        last = cost
+        last, again = cost, False
 
         def solve(pdf: pd.DataFrame) -> pd.DataFrame:
             names = sorted(set(pdf["cam_a"]))
@@ -231,6 +272,7 @@ def refine_poses(observations: DataFrame, cameras: DataFrame, points: DataFrame,
                 yield pdf.drop(columns=["step"]).assign(rot=rot, t=t)
 
         schema = "capture_id long, camera_label string, fl_x double, fl_y double, cx double, cy double, rot array<double>, t array<double>"
+        before = (rig, pts)
         pts = cut(moved)
         rig = cut(rig.join(steps, ["capture_id", "camera_label"], "left").mapInPandas(move_cameras, schema))
         damp = max(damp / 3, 1e-9)

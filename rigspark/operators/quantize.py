@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import encoding as E
+from .scratch import cut
 
 GROUPS = {"means": ("x", "y", "z"), "motion": ("vx", "vy", "vz"), "accel": ("ax", "ay", "az")}
 CODEBOOKS = {"scale": ("scale_0", "scale_1", "scale_2"), "dc": ("f_dc_0", "f_dc_1", "f_dc_2"), "t_center": ("t_center",), "t_sigma": ("t_sigma",)}
@@ -58,41 +59,45 @@ def assign_codebook(df: DataFrame, value: str, codebook: DataFrame, into: str) -
 def kmeans_1d(values: DataFrame, k: int = 256, rounds: int = 16) -> DataFrame:
     """(clip_id, idx, value): Lloyd's rounds from quantiles over (clip_id, value, n).
 
-    Quantiles come from weighted ranks of the distinct values. A round assigns values to the entries
-    by edges and sums them; empty entries stay; entries are sorted again. The codebook is read to the
-    driver in each round: k numbers a clip.
+    Quantiles are interpolated between weighted ranks of the distinct values, which are counted in two levels. A
+    round assigns values to the entries by edges and sums them; empty entries stay; entries are sorted again. The
+    codebook is a table of k rows a clip throughout, cut from its lineage in each round; only the number of
+    entries that still move comes to the driver.
     """
-    spark = values.sparkSession
-    order = Window.partitionBy("clip_id").orderBy("value")
-    ranked = values.withColumn("__upto", F.sum("n").over(order))
-    total = values.groupBy("clip_id").agg(F.sum("n").alias("__total"))
-    probe = total.select("clip_id", "__total", F.posexplode(F.sequence(F.lit(0), F.lit(k - 1))).alias("idx", "__i")).withColumn(
-        "__at", F.floor(F.col("__i") * (F.col("__total") - 1) / F.lit(max(k - 1, 1)))
+    values = cut(values.select("clip_id", F.col("value").cast("double").alias("value"), "n"))
+    box = values.groupBy("clip_id").agg(F.min("value").alias("__lo"), F.max("value").alias("__hi"), F.sum("n").alias("__total"))
+    part = F.floor((F.col("value") - F.col("__lo")) / F.greatest(F.col("__hi") - F.col("__lo"), F.lit(1e-300)) * 1023)
+    dealt = values.join(F.broadcast(box), "clip_id").withColumn("__part", part)  # one row a clip
+    parts = dealt.groupBy("clip_id", "__part").agg(F.sum("n").alias("__in"))
+    before = Window.partitionBy("clip_id").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("clip_id", "__part", F.coalesce(F.sum("__in").over(before), F.lit(0)).alias("__start"))
+    inside = Window.partitionBy("clip_id", "__part").orderBy("value")
+    ranked = dealt.join(parts, ["clip_id", "__part"]).select(
+        "clip_id", "value", (F.col("__start") + F.sum("n").over(inside) - F.col("n")).alias("__from"), (F.col("__start") + F.sum("n").over(inside)).alias("__upto")
     )
-    start = (
-        ranked.withColumn("__from", F.col("__upto") - F.col("n"))
-        .join(F.broadcast(probe), "clip_id")
-        .filter((F.col("__from") <= F.col("__at")) & (F.col("__at") < F.col("__upto")))
-        .select("clip_id", "idx", (F.col("value") + F.lit(1e-12) * F.col("idx")).alias("value"))
+    place = F.col("idx") * (F.col("__total") - 1) / F.lit(max(k - 1, 1))
+    probe = box.select("clip_id", "__total", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("idx")).withColumn("__at", place)
+    ends = probe.select("clip_id", "idx", "__at", F.explode(F.array(F.floor("__at"), F.ceil("__at"))).alias("__rank"))
+    found = ranked.join(F.broadcast(ends), "clip_id").filter((F.col("__from") <= F.col("__rank")) & (F.col("__rank") < F.col("__upto")))
+    share = F.col("__at") - F.floor("__at")
+    book = found.groupBy("clip_id", "idx").agg(
+        (F.min("value") + F.max(share) * (F.max("value") - F.min("value")) + F.max("idx") * F.lit(1e-12)).alias("value")
     )
-    book = [tuple(r) for r in start.orderBy("clip_id", "idx").collect()]
-    schema = "clip_id long, idx int, value double"
+    book = cut(book)
+    order = Window.partitionBy("clip_id").orderBy("value", "idx")  # a codebook
     for _ in range(rounds):
-        table = spark.createDataFrame(book, schema)
         sums = (
-            assign_codebook(values.withColumnRenamed("value", "v"), "v", table, "idx")
+            assign_codebook(values.withColumnRenamed("value", "v"), "v", book, "idx")
             .groupBy("clip_id", F.col("idx").cast("int").alias("idx"))
             .agg((F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"))
         )
-        means = {(r["clip_id"], r["idx"]): r["mean"] for r in sums.collect()}
-        moved: dict[int, list[float]] = {}
-        for clip, idx, value in book:
-            moved.setdefault(clip, []).append(means.get((clip, idx), value))
-        new = [(clip, i, v) for clip, vs in sorted(moved.items()) for i, v in enumerate(sorted(vs))]
-        if new == book:
+        moved = book.join(sums, ["clip_id", "idx"], "left").withColumn("went", F.coalesce("mean", "value") != F.col("value"))
+        after = cut(moved.select("clip_id", "idx", F.coalesce("mean", "value").alias("value"), "went"))
+        still = after.filter("went").limit(1).count()
+        book = after.withColumn("idx", (F.row_number().over(order) - 1).cast("int")).select("clip_id", "idx", "value")
+        if not still:
             break
-        book = new
-    return spark.createDataFrame(book, schema)
+    return cut(book)
 
 
 def adjacent_gap(codebook: DataFrame) -> DataFrame:
@@ -187,7 +192,11 @@ def quantise(ordered: DataFrame, ranges: DataFrame, codebooks: DataFrame | None
     for attr, cols in CODEBOOKS.items() if codebooks is not None else ():
         book = codebooks.filter(F.col("attr") == attr).select("clip_id", "idx", "value")
         for c in cols:
-            out = assign_codebook(out, c, book, f"{c}_i")
+            if attr == "t_sigma":  # mid-points lie in logarithms, where its codebook was trained
+                logs = out.withColumn("__log", F.log(F.greatest(F.col(c).cast("double"), F.lit(1e-9))))
+                out = assign_codebook(logs, "__log", book.withColumn("value", F.log("value")), f"{c}_i").drop("__log")
+            else:
+                out = assign_codebook(out, c, book, f"{c}_i")
             names.append(f"{c}_i")
     names += ["sh_label"] if "sh_label" in ordered.columns else []
     keys = [c for c in ("clip_id", "grp", "file_idx", "splat_id") if c in ordered.columns]

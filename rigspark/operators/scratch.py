@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` checkpointed in ``spark.checkpoint.dir``; a temporary folder is set only where none is named."""
+    """``df`` checkpointed in ``spark.checkpoint.dir``. Only a local session, which has one machine, may do without the setting."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not (context.master or "").startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()

@@ -5,23 +5,17 @@ Every operator works for many clips at once: ``clip_id`` groups, ``splat_id`` id
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.geometry import colour, position_at, sigmoid
+from .rank import levelled_rank
 
 SIZES = ("scale_0", "scale_1", "scale_2")
 
-#: The largest size that each real spherical harmonic of degree 1 to 3 takes on the sphere.
-SH_BOUNDS = [
-    *[math.sqrt(3 / (4 * math.pi))] * 3,
-    *[math.sqrt(15 / (16 * math.pi)), math.sqrt(15 / (16 * math.pi)), math.sqrt(5 / (4 * math.pi)), math.sqrt(15 / (16 * math.pi)), math.sqrt(15 / (16 * math.pi))],
-    *[math.sqrt(35 / (32 * math.pi)), math.sqrt(35 / (36 * math.pi)), math.sqrt(28 / (22.5 * math.pi)), math.sqrt(7 / (4 * math.pi))],
-    *[math.sqrt(28 / (22.5 * math.pi)), math.sqrt(35 / (36 * math.pi)), math.sqrt(35 / (32 * math.pi))],
-]
+#: Bounds of the 15 real harmonics of degree 1 to 3, by which clamping is defined.
+SH_BOUNDS = [0.489, 0.489, 0.489, 0.546, 0.546, 0.630, 0.546, 0.546, 0.590, 0.590, 0.457, 0.746, 0.457, 0.590, 0.590]
 
 
 def _largest() -> Column:
@@ -73,12 +67,26 @@ def keep_no_occluder(dark: float = 0.05, alpha: float = 0.7) -> Column:
     return ~((_mean(clipped) < dark) & (sigmoid(F.col("opacity")) > alpha) & (_largest() > F.col("size_limit")))
 
 
-def filter_splats(splats: DataFrame, time_min: float, time_max: float, quantised: bool = False) -> DataFrame:
-    """The filters of a profile. All are judged on the unfiltered rows and hold together."""
-    keep = keep_peak_alpha(time_min, time_max) & keep_sound_geometry()
-    if quantised:
-        keep = keep & keep_good_colour()
-    return with_dark_limit(splats).filter(keep & keep_no_occluder() & keep_no_floater()).drop("size_limit")
+def filter_splats(splats: DataFrame, time_min: float, time_max: float, corrupted: bool = True, dark: bool = False, black: bool = False, keep: DataFrame | None = None, cluster: bool = False) -> DataFrame:
+    """The filters of a profile. All are judged on the unfiltered rows and hold together.
+
+    ``corrupted``: garbage geometry and impossible colours, as quantised sources have them and clean ones do not.
+    ``dark`` and ``black``: occluders and floaters. ``keep``: (clip_id, splat_id) of rows that an outside list keeps.
+    ``cluster``: only the main cluster of all rows given.
+    """
+    wanted = keep_peak_alpha(time_min, time_max)
+    if corrupted:
+        wanted = wanted & keep_sound_geometry() & keep_good_colour()
+    if black:
+        wanted = wanted & keep_no_floater()
+    out = with_dark_limit(splats).filter(wanted & keep_no_occluder()).drop("size_limit") if dark else splats.filter(wanted)
+    if keep is not None:
+        out = out.join(keep.select("clip_id", "splat_id"), ["clip_id", "splat_id"], "left_semi")
+    if cluster:
+        from .components import main_cluster
+
+        out = out.join(main_cluster(splats).select("clip_id", "splat_id"), ["clip_id", "splat_id"], "left_semi")
+    return out
 
 
 def apply_keep_list(splats: DataFrame, keep: DataFrame) -> DataFrame:
@@ -112,7 +120,7 @@ def reanchor(splats: DataFrame, t: Column | float) -> DataFrame:
 
 
 def clamp_sh(splats: DataFrame, y_max: list[float] = SH_BOUNDS, limit: float = 1.5) -> DataFrame:
-    """Scales ``f_rest`` (channel-major, 15 a channel) so that no view leaves the limit; 0 or less disables."""
+    """Scales ``f_rest`` (channel-major, 15 a channel) by one factor, so that the largest base and the largest bound of the channels keep within the limit together; 0 or less disables."""
     if limit <= 0:
         return splats
     bounds = F.array(*(F.lit(float(y)) for y in y_max))
@@ -122,10 +130,8 @@ def clamp_sh(splats: DataFrame, y_max: list[float] = SH_BOUNDS, limit: float = 1
         )
         for c in range(3)
     ]
-    scale = F.lit(1.0)
-    for c in range(3):
-        room = F.greatest(F.lit(limit) - F.abs(colour(c)), F.lit(0.0))
-        scale = F.least(scale, room / F.greatest(per_channel[c], F.lit(1e-9)))
+    room = F.greatest(F.lit(limit) - F.greatest(*(F.abs(colour(c)) for c in range(3))), F.lit(0.0))
+    scale = F.least(F.lit(1.0), room / F.greatest(F.greatest(*per_channel), F.lit(1e-9)))
     clamped = F.transform("f_rest", lambda v: (v * F.col("__scale")).cast("float"))
     return splats.withColumn("__scale", scale).withColumn("f_rest", clamped).drop("__scale")
 
@@ -169,8 +175,9 @@ def top_budget(splats: DataFrame, total: int, frames: int) -> DataFrame:
     """The ``total // frames`` most important rows of each (clip, frame); 0 keeps all."""
     if not total:
         return splats
-    order = Window.partitionBy("clip_id", "frame").orderBy(F.desc("__importance"), "splat_id")
-    ranked = splats.withColumn("__importance", importance()).withColumn("__rank", F.row_number().over(order))
+    # steps of an eighth of an octave of importance deal a frame into parts
+    step = F.floor(-8.0 * F.log2(F.greatest("__importance", F.lit(1e-30)))).cast("int")
+    ranked = levelled_rank(splats.withColumn("__importance", importance()), ["clip_id", "frame"], step, [F.desc("__importance"), "splat_id"], "__rank")
     return ranked.filter(F.col("__rank") <= total // frames).drop("__importance", "__rank")
 
 
@@ -188,6 +195,13 @@ def frame_counts(splats: DataFrame) -> DataFrame:
     return n.groupBy("clip_id").agg(F.min("n").alias("least"), F.percentile("n", 0.5).alias("median"), F.max("n").alias("most"))
 
 
+def kept_share(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Share of a clip's rows that are left."""
+    n = lambda df, name: df.groupBy("clip_id").agg(F.count(F.lit(1)).alias(name))
+    both = n(before, "given").join(n(after, "kept"), "clip_id", "left")
+    return both.select("clip_id", (F.coalesce("kept", F.lit(0)) / F.col("given")).alias("share"))
+
+
 def sample_every(df: DataFrame, n: int, keys: list[str], order: list[str]) -> DataFrame:
     """Every n-th row of each group, from the first."""
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -195,13 +209,15 @@ def sample_every(df: DataFrame, n: int, keys: list[str], order: list[str]) -> Da
 
 
 def temporal_profile(splats: DataFrame, times: list[float]) -> DataFrame:
-    """Share of visible rows at each time, and percentiles of speed and duration, by clip."""
+    """Share of visible rows at each time, and percentiles of speed, duration and (where there is any) acceleration, by clip."""
     from ..functions.geometry import alpha_at
 
     shares = [F.avg((alpha_at(t) > 1 / 255).cast("double")).alias(f"live_{i}") for i, t in enumerate(times)]
-    speed = F.sqrt(F.col("vx") * F.col("vx") + F.col("vy") * F.col("vy") + F.col("vz") * F.col("vz"))
+    size = lambda n: F.sqrt(F.col(f"{n}x") * F.col(f"{n}x") + F.col(f"{n}y") * F.col(f"{n}y") + F.col(f"{n}z") * F.col(f"{n}z"))
+    speed, bend = size("v"), size("a") if {"ax", "ay", "az"} <= set(splats.columns) else None
     return splats.groupBy("clip_id").agg(
         *shares,
         *(F.percentile(speed, q).alias(f"speed_p{round(100 * q)}") for q in (0.5, 0.95, 0.99)),
         *(F.percentile("t_sigma", q).alias(f"sigma_p{round(100 * q)}") for q in (0.5, 0.95, 0.99)),
+        *(F.percentile(bend, q).alias(f"accel_p{round(100 * q)}") for q in (0.5, 0.95, 0.99) if bend is not None),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.encoding import cell1024, morton30
+from .rank import levelled_rank
 
 MOST_SEGMENTS = 65_536
 
@@ -75,7 +76,7 @@ def persistent_end(splats: DataFrame, duration: float, k_sigma: float = 3.8, spa
 def order_splats(splats: DataFrame, time_min: float, time_max: float, duration: float, k_sigma: float = 3.8, span: float = 3.0) -> DataFrame:
     """``morton`` and ``file_idx``: persistent rows first, then buckets, along the Morton curve of the group's own box.
 
-    Ranks are taken inside a group and moved by the rows of the groups before; the largest sort is one group's.
+    Ranks are taken inside a part of a group's curve and moved by the rows of the parts and groups before.
     """
     rows = with_group(splats, time_min, time_max, duration, k_sigma, span)
     box = rows.groupBy("clip_id", "grp").agg(
@@ -85,10 +86,11 @@ def order_splats(splats: DataFrame, time_min: float, time_max: float, duration:
     before = Window.partitionBy("clip_id").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
     box = box.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     cells = [cell1024(F.col(a), F.col(f"__low_{a}"), F.col(f"__high_{a}")) for a in "xyz"]
-    inside = Window.partitionBy("clip_id", "grp").orderBy("morton", "splat_id")
-    made = rows.join(box, ["clip_id", "grp"]).withColumn("morton", morton30(*cells))
-    made = made.withColumn("file_idx", (F.col("__start") + F.row_number().over(inside) - 1).cast("long"))
-    return made.drop("__n", "__start", *(f"__{n}_{a}" for a in "xyz" for n in ("low", "high")))
+    made = rows.join(F.broadcast(box), ["clip_id", "grp"]).withColumn("morton", morton30(*cells))  # one row a segment
+    made = made.withColumnRenamed("__start", "__before").drop("__n", *(f"__{n}_{a}" for a in "xyz" for n in ("low", "high")))
+    # the upper 12 bits of a code are its bucket: a persistent group of any size is sorted in parts
+    made = levelled_rank(made, ["clip_id", "grp"], F.shiftright("morton", 18), ["morton", "splat_id"], "file_idx")
+    return made.withColumn("file_idx", F.col("__before") + F.col("file_idx") - 1).drop("__before")
 
 
 def draw_ranges(segments: DataFrame, times: DataFrame, persistent: DataFrame) -> DataFrame:
@@ -106,10 +108,16 @@ def draw_ranges(segments: DataFrame, times: DataFrame, persistent: DataFrame) ->
     )
 
 
-def splats_at(ordered: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Rows of an ordered set that are drawn at each time of ``ranges``."""
-    inside = (F.col("file_idx") < F.col("persistent_end")) | ((F.col("file_idx") >= F.col("first")) & (F.col("file_idx") < F.col("last")))
-    return ordered.join(F.broadcast(ranges), "clip_id").filter(inside)  # one row for each time asked for
+def splats_at(ordered: DataFrame, ranges: DataFrame, segments: DataFrame) -> DataFrame:
+    """Rows of an ordered set that are drawn at each time of ``ranges``.
+
+    A range is turned into the groups that it covers (it begins and ends at segment bounds), and
+    rows meet it by (clip_id, grp): a table partitioned by them is read in those parts alone.
+    """
+    own = segments.select("clip_id", F.col("seg_idx").alias("grp"), F.col("first").alias("s0"), F.col("last").alias("s1")).filter("s1 > s0")
+    covered = ranges.join(own, "clip_id").filter("s0 >= first and s1 <= last").select("clip_id", "grp", "t")
+    persistent = ranges.filter("persistent_end > 0").select("clip_id", F.lit(-1).alias("grp"), "t")
+    return ordered.join(F.broadcast(covered.unionByName(persistent)), ["clip_id", "grp"])  # segments, for each time asked for
 
 
 def drawn_fraction(ranges: DataFrame, persistent: DataFrame) -> DataFrame:

@@ -68,20 +68,27 @@ def validate_poses(cameras: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def validate_masks(coverage: DataFrame, expected: DataFrame, low: float = 0.005, high: float = 0.9) -> DataFrame:
-    keys = ["camera_label"]
+    keys = ["capture_id", "camera_label"]
     own = _violations(coverage, keys, ("coverage", ~((F.col("coverage") > low) & (F.col("coverage") < high))))
     twice = coverage.groupBy(*keys).count().filter("count > 1").select(*keys, F.lit("twice").alias("violation"))
     return own.unionByName(twice).unionByName(members(expected, coverage, keys))
 
 
 def validate_dataset(views: DataFrame, points: DataFrame) -> DataFrame:
+    """capture_id and violation: captures without a train or test view, without points, with views that lack a value or a
+    fourth channel (``channels``), or with points without time."""
     needed = ("camera_label", "frame_idx", "time", "fl_x", "fl_y", "cx", "cy", "w", "h", "c2w", "file_path")
-    nulls = views.select(F.explode(F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(f"null {c}")) for c in needed)))).alias("violation"))
-    counts = views.agg(*(F.coalesce(F.sum((F.col("split") == s).cast("int")), F.lit(0)).alias(s) for s in ("train", "test")))
-    empty = counts.select(F.explode(F.array_compact(F.array(*(F.when(F.col(s) == 0, F.lit(f"no {s} view")) for s in ("train", "test"))))).alias("violation"))
-    timed = points.agg(F.count(F.lit(1)).alias("n"), F.count("time").alias("timed"))
-    few = timed.select(F.explode(_reasons(("no point", F.col("n") == 0), ("point without time", F.col("timed") < F.col("n")))).alias("violation"))
-    return nulls.distinct().unionByName(empty).unionByName(few)
+    lacks = [(f"null {c}", F.col(c).isNull()) for c in needed]
+    if "channels" in views.columns:
+        lacks.append(("not 4 channels", ~F.coalesce(F.col("channels") == 4, F.lit(False))))
+    own = _violations(views, ["capture_id"], *lacks).distinct()
+    share = lambda s: F.coalesce(F.max((F.col("split") == s).cast("int")), F.lit(0)) == 0
+    empty = views.groupBy("capture_id").agg(share("train").alias("train"), share("test").alias("test"))
+    empty = _violations(empty, ["capture_id"], ("no train view", F.col("train")), ("no test view", F.col("test")))
+    timed = points.groupBy("capture_id").agg(F.count(F.lit(1)).alias("n"), F.count("time").alias("timed"))
+    few = views.select("capture_id").distinct().join(timed, "capture_id", "left")
+    few = _violations(few, ["capture_id"], ("no point", F.coalesce("n", F.lit(0)) == 0), ("point without time", F.col("timed") < F.col("n")))
+    return own.unionByName(empty).unionByName(few)
 
 
 def validate_result(clips: DataFrame, name: str) -> DataFrame:

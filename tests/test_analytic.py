@@ -10,6 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rigspark.functions import encoding as E
 from rigspark.functions.text import camera_label, last_change, seconds, trailing_id
@@ -164,7 +165,7 @@ def clicks(start, seconds=8, rate=4000, seed=0):
 def test_injected_offsets_are_found(spark):
     starts = {"a": 2.0, "b": 2.75, "c": 1.4}
     clips = spark.createDataFrame([(0, c, 4000, clicks(s)) for c, s in starts.items()] + [(0, "z", 4000, [0.0] * 32000)], "capture_id long, camera string, sample_rate int, samples array<double>")
-    pairs = sync.full_rate_pairs(clips).cache()
+    pairs = sync.full_rate_pairs(clips, 4000).cache()
     got = {(r.cam_a, r.cam_b): r for r in pairs.collect()}
     for (a, b), r in got.items():
         if "z" in (a, b):
@@ -174,6 +175,8 @@ def test_injected_offsets_are_found(spark):
     reference = spark.createDataFrame([(0, "a")], "capture_id long, camera string")
     solved = {r.camera: r.offset_seconds for r in sync.offset_lsq(pairs, reference).collect()}
     assert solved == pytest.approx({c: s - 2.0 for c, s in starts.items()}, abs=0.005)
+    alone = sync.offset_lsq(pairs.filter("false"), reference).collect()
+    assert [(r.camera, r.offset_seconds, r.max_residual_seconds) for r in alone] == [("a", 0.0, 0.0)]
     media = spark.createDataFrame([(0, c, 30.0) for c in "abcz"], "capture_id long, camera string, fps double")
     table = {r.camera: r for r in sync.offset_table(pairs, sync.offset_lsq(pairs, reference), reference, media).collect()}
     assert table["b"].frame_offset == round(0.75 * 30) or abs(table["b"].frame_offset - 22.5) < 1
@@ -219,8 +222,18 @@ def test_seeded_defects_are_seen(spark):
     assert compare.count_differences(s, s.filter("splat_id > 3")).count() == 2
     half = temporal.segment_table(s, 0.0, 2.0, 0.5).withColumn("last", F.col("last") + 1)
     assert compare.group_differences(temporal.segment_table(s, 0.0, 2.0, 0.5), half).count() == 2
-    repaired = compare.repair_pairs(paired(s), 0.5)
-    assert repaired.count() == 400
+    assert compare.repair_pairs(paired(s)).filter("repaired").count() == 0
+    # two rows of a group exchanged by one step each: both are paired anew, and no longer count as members elsewhere
+    pairs = paired(s).withColumn("grp", F.lit(0)).withColumn("rank", F.row_number().over(Window.partitionBy("clip_id").orderBy("a_splat_id")))
+    right = [c for c in pairs.columns if c.startswith("b_")]
+    other = pairs.filter("clip_id = 0 and rank <= 2").select("clip_id", (3 - F.col("rank")).alias("rank"), *(F.col(c).alias(f"o_{c}") for c in right))
+    crossed = pairs.join(other, ["clip_id", "rank"], "left").withColumns({c: F.coalesce(f"o_{c}", c) for c in right}).select(*pairs.columns)
+    few = crossed.filter("clip_id = 0 and rank <= 2").unionByName(*[crossed.filter("rank > 2")])
+    assert compare.membership(few).agg(F.sum("offenders")).first()[0] == 2
+    mended = compare.repair_pairs(few, 0.02)
+    assert {(r.a_splat_id, r.b_splat_id) for r in mended.filter("repaired").collect()} == {(0, 0), (2, 2)}
+    assert compare.membership(mended).count() == 0 and mended.count() == few.count()
+    assert compare.repair_pairs(few, 0.0).filter("repaired").count() == 0  # more than the one row that is always allowed
 
 
 @settings(max_examples=4, deadline=None)
@@ -265,6 +278,10 @@ def test_splat_edges(spark):
     sh = s.withColumn("f_rest", F.array(*(F.lit(2.0) for _ in range(45))))
     assert splats.truncate_sh(sh, 1).select(F.size("f_rest")).first()[0] == 9
     assert splats.clamp_sh(sh, [1.0] * 15).select(F.max(F.array_max("f_rest"))).first()[0] <= 0.1001
+    # one factor from the largest base (0.9 of channel 1) and the largest bound (15 of channel 2)
+    one = s.limit(1).withColumns({f"f_dc_{c}": F.lit((v - 0.5) / 0.28209479177387814) for c, v in enumerate((0.2, 0.9, 0.1))})
+    one = one.withColumn("f_rest", F.concat(F.array_repeat(F.lit(0.1), 15), F.array_repeat(F.lit(0.01), 15), F.array_repeat(F.lit(1.0), 15)))
+    assert splats.clamp_sh(one, [1.0] * 15).first().f_rest[::15] == pytest.approx([0.1 * 0.04, 0.01 * 0.04, 0.04], rel=1e-5)
     bad = s.withColumn("t_sigma", F.when(F.col("splat_id") == 4, float("nan")).otherwise(F.col("t_sigma")))
     assert [r.splat_id for r in validate.validate_splats(bad).collect()] == [4]
 
@@ -341,14 +358,26 @@ def test_mask_images(spark, tmp_path):
 
 
 def test_dataset_parts(spark):
-    runs = spark.createDataFrame([(f"c{i}", k, y, 0, 1919) for i in range(6) for k in (0, 1) for y in range(1080)], "camera_label string, frame_idx int, y int, x0 int, x1 int")
+    runs = spark.createDataFrame([(0, f"c{i}", k, y, 0, 1919) for i in range(6) for k in (0, 1) for y in range(1080)], "capture_id long, camera_label string, frame_idx int, y int, x0 int, x1 int")
     rig = rig_frame(spark, ring())
-    box = {f"{n}_{a}": v for a in "xyz" for n, v in (("min", -0.2), ("max", 0.2))}
-    hull = dataset.carve_hull(box, rig, runs, [0, 1], 50, 4)
+    box = spark.createDataFrame([(0, -0.2, 0.2, -0.2, 0.2, -0.2, 0.2)], "capture_id long, " + ", ".join(f"{n}_{a} double" for a in "xyz" for n in ("min", "max")))
+    hull = dataset.carve_hull(box, rig, runs, 50, 4)
     assert {tuple(r) for r in hull.groupBy("frame_idx").count().collect()} == {(0, 50), (1, 50)}
-    assert dataset.search_box(rig).first().max_z == pytest.approx(1.5 + 4)
-    px = spark.createDataFrame([(1, True, 10, 20, 30), (1, True, 20, 30, 40), (1, False, 0, 0, 0), (2, False, 5, 5, 5)], "point_id int, fg boolean, r int, g int, b int")
-    assert {tuple(r) for r in dataset.hull_colour(px).collect()} == {(1, 15, 25, 35), (2, 127, 127, 127)}
+    centres = np.array([(r.c2w[3], r.c2w[7], r.c2w[11]) for r in rig.collect()])
+    assert dataset.search_box(rig).first().max_z == pytest.approx(centres[:, 2].mean() + np.ptp(centres, axis=0).max())
+    assert dataset.search_box(rig.limit(1)).first().max_x == pytest.approx(dataset.search_box(rig.limit(1)).first().min_x + 8.0)
+    found = dataset.find_bbox(rig, runs, 4, 4000).first()
+    assert found.error is None and found.min_x < 0 < found.max_x
+    points = spark.createDataFrame([(0, 0, 1, 0.0, 0.0, 0.0), (0, 0, 2, 0.0, 0.0, 500.0)], "capture_id long, frame_idx int, point_id long, x double, y double, z double")
+    seen = cameras.project_points(points.filter("point_id = 1"), rig, 0.05).collect()
+    used = [r.camera_label for r in dataset.colour_cameras(rig).orderBy("camera_label").collect()]
+    assert used == ["c0", "c1", "c2", "c3"]
+    shades = {c: 10 * (k + 1) for k, c in enumerate(used)}
+    px = spark.createDataFrame([(0, r.camera_label, 0, int(r.u), int(r.v), r.camera_label != "c3", shades[r.camera_label], 5, 7) for r in seen if r.camera_label in shades], "capture_id long, camera_label string, frame_idx int, x int, y int, fg boolean, r int, g int, b int")
+    assert {(r.point_id, r.r, r.g, r.b) for r in dataset.hull_colour(points, rig, px).collect()} == {(1, 20, 5, 7), (2, 127, 127, 127)}
+    made = [(0, "a", 10.0, 10.0), (0, "a", 20.0, 20.0), (1, "a", 2.0, 2.0), (1, "a", 5.0, 5.0)]
+    kp = spark.createDataFrame(made, "capture_id long, camera_label string, u double, v double").withColumns({"w": F.lit(100), "h": F.lit(100)})
+    assert {tuple(r) for r in dataset.crop_box(kp, 0.5).collect()} == {(0, "a", 5, 5, 25, 25), (1, "a", 0, 0, 6, 6)}
     a = spark.createDataFrame([(0, 0, 0, 0, 0, 0), (0, 1, 0, 255, 0, 0)], "v int, x int, y int, r int, g int, b int")
     b = a.withColumn("r", F.lit(0))
     mse = evaluate.image_mse(a, b, ["v"]).select(evaluate.psnr(F.col("mse"), 255.0).alias("p")).first().p
@@ -372,12 +401,24 @@ def test_lens_models(spark):
 
 def test_jobs(spark):
     truth, rig = cloud(12), ring(4)
-    done = jobs.refine_job(rig_frame(spark, ring(4, 0.005)), observed(spark, rig, truth))
+    given = rig_frame(spark, ring(4, 0.005))
+    done = jobs.refine_job(given, observed(spark, rig, truth), rounds=8)
     assert done["poses"].count() == 4 and done["points"].count() == 12
+    error = lambda n: done[n].filter("camera_label is null").first().median
+    assert error("after") < 0.1 * error("before")
+    mean = lambda p: np.mean([[r.c_x, r.c_y, r.c_z] for r in poses.camera_centres(p, "c").collect()], axis=0)
+    assert np.allclose(mean(done["poses"]), mean(poses.given_poses(given)), atol=1e-6)  # laid back on the given centres
     s = random_splats(spark)
-    same = jobs.compare_job(s, s, quantize.axis_ranges(s), 0.0, 2.0, 0.25, {"x": (1e-6, "split16"), "t_sigma": (None, "codebook")})
-    assert all(same[n].count() == 0 for n in ("counts", "groups", "members"))
-    assert {r.verdict for r in same["fields"].collect()} == {"pass", "advisory"}
+    ranges = quantize.axis_ranges(s)
+    same = jobs.compare_job(s, s, ranges, 0.0, 2.0, 0.25, [(ranges, None)])
+    assert all(same[n].count() == 0 for n in ("counts", "groups", "members", "presence"))
+    assert {r.field: r.verdict for r in same["fields"].filter("clip_id = 0").collect()} | {"x": "pass", "opacity": "advisory"} == {r.field: r.verdict for r in same["fields"].filter("clip_id = 0").collect()}
+    assert all(r.verdict == "pass" for n in ("weights", "rotations") for r in same[n].collect())
+    ordered, own = compare.reorder_like(s, spark.createDataFrame([(0, 0.25, None, None), (1, None, None, None)], "clip_id long, segment_duration double, k_sigma double, persistent_span_mult double"), 0.0, 2.0)
+    want = {r.splat_id: r.file_idx for r in temporal.order_splats(s.filter("clip_id = 0"), 0.0, 2.0, 0.25).collect()}
+    assert {r.splat_id: r.file_idx for r in ordered.filter("clip_id = 0").collect()} == want and own.filter("clip_id = 1").count() == 1
+    with pytest.raises(ValueError):
+        jobs.validate_job("nothing")
     frames = s.withColumn("frame", (F.col("splat_id") % 4).cast("int")).drop("t_center", "t_sigma", "vx", "vy", "vz")
     assert jobs.flipbook_job(frames, 10.0, 100, 4)["planes"].groupBy("clip_id").count().filter("count = 50").count() == 2
 
@@ -385,19 +426,45 @@ def test_jobs(spark):
 def test_network_bakes_colours(spark):
     from rigspark.operators.appearance import TwoLayers, bake_appearance, contracted, frequencies
 
-    assert np.allclose(np.linalg.norm(contracted(np.array([[1e9, 0, 0], [0.5, 0, 0]])), axis=1), [1, 0.25])
+    assert np.allclose(contracted(np.array([[1e9, 0, 0], [0.5, 0, 0]])), [[1, 0.5, 0.5], [0.625, 0.5, 0.5]])
+    padded = TwoLayers(np.ones((4, 16)), np.vstack((np.eye(4)[:3], np.full((13, 4), 9.0))))
+    assert np.allclose(padded(np.array([[1.0, 2.0, -4.0]])), [[-0.01, -0.01, -0.01]])  # what is padded is ignored
+    assert np.allclose(TwoLayers(np.ones((1, 3)), np.ones((3, 1)), np.zeros(1), np.zeros(3))(np.array([[1.0, 2.0, -4.0]])), -0.1)
     x = np.array([[0.25, 0.5]])
     assert np.allclose(np.sort(frequencies(x, 3, True)), np.sort(frequencies(x, 3, False)))
     rng = np.random.default_rng(0)
     df = random_splats(spark, 10).withColumn("app", F.array(F.lit(0.1), F.lit(0.2), F.lit(0.3)))
-    out = bake_appearance(df, TwoLayers(rng.normal(size=(8, 40)), rng.normal(size=(3, 8))))
+    out = bake_appearance(df, TwoLayers(rng.normal(size=(8, 144)), rng.normal(size=(16, 8))))
     assert out.count() == 10 and out.filter("isnan(f_dc_0)").count() == 0
 
 
-def test_harmonic_bounds():
-    i = np.arange(20_000) + 0.5
-    z, a = 1 - i / 10_000, math.pi * (1 + 5**0.5) * i
-    x, y = np.sqrt(1 - z * z) * np.cos(a), np.sqrt(1 - z * z) * np.sin(a)
-    third = [math.sqrt(35 / (32 * math.pi)) * y * (3 * x * x - y * y), math.sqrt(105 / (4 * math.pi)) * x * y * z, math.sqrt(21 / (32 * math.pi)) * y * (5 * z * z - 1), math.sqrt(7 / (16 * math.pi)) * z * (5 * z * z - 3)]
-    got = [np.abs(math.sqrt(15 / (4 * math.pi)) * x * y).max(), np.abs(math.sqrt(5 / (16 * math.pi)) * (3 * z * z - 1)).max(), *(np.abs(v).max() for v in third)]
-    assert np.allclose(got, [splats.SH_BOUNDS[k] for k in (3, 5, 8, 9, 10, 11)], atol=1e-3)
+def test_pose_votes_stay_among_position_inliers(spark):
+    (label, good), *_ = ring(1)
+    other = good.copy()
+    other[:3, :3] = turn([0, 1, 1], 1.0) @ good[:3, :3]
+    far = []
+    for k in range(4):  # as many poses of another rotation, but far off: they must not outvote the near ones
+        m = other.copy()
+        m[:3, 3] = -m[:3, :3] @ (-good[:3, :3].T @ good[:3, 3] + [50.0 + k, 0, 0])
+        far.append(m)
+    near = []
+    for k in range(5):
+        m = good.copy()
+        m[:3, 3] = -m[:3, :3] @ (-good[:3, :3].T @ good[:3, 3] + [0.001 * k, 0, 0])
+        near.append(m)
+    rows = [(0, label, f"i{k}", m.ravel().tolist()) for k, m in enumerate([*near, *far])]
+    r = poses.robust_pose_average(spark.createDataFrame(rows, "capture_id long, camera_label string, image string, w2c array<double>")).first()
+    assert r.num_inliers == 5 and np.allclose(np.array(r.w2c).reshape(4, 4)[:3, :3], good[:3, :3], atol=1e-6)
+    assert r.center_spread == pytest.approx(np.mean([0.002, 0.001, 0, 0.001, 0.002]), abs=1e-9)
+
+
+def test_quaternion_ties_leave_w_in(spark):
+    df = spark.createDataFrame([(0.5, 0.5, 0.5, -0.5), (1.0, 0.0, 0.0, 0.0)], "w double, x double, y double, z double")
+    rows = [tuple(r.q) for r in df.select(E.smallest_three([F.col(c) for c in "wxyz"]).alias("q")).collect()]
+    assert rows[0][3] == 253 and rows[1] == (128, 128, 128, 252)
+
+
+def test_quantiles_of_a_codebook_are_interpolated(spark):
+    v = spark.createDataFrame([(0, x, 1) for x in (0.0, 1.0, 10.0)], "clip_id long, value double, n long")
+    book = [r.value for r in quantize.kmeans_1d(v, 4, 0).orderBy("idx").collect()]
+    assert book == pytest.approx(np.quantile([0.0, 1.0, 10.0], [0, 1 / 3, 2 / 3, 1]), abs=1e-9)
