@@ -7,21 +7,25 @@ goes on. A pair that agrees in ``matches`` coordinates must collide in one of th
 ``coordinates - matches + 1``, so only this prefix is posted under (coordinate, value).
 
 Beside them, two bits of each of ``minima`` minima estimate the similarity of a pair
-inside a join, so that hopeless pairs never become rows.
+of step 1 or 2, so that hopeless pairs are never confirmed on texts.
 
 1. Each posting list ties its members to its least member, which is linear in the
    list. Pairs that agree in ``equal`` minima or more are confirmed on the full shingle
    sets: first each document's best pair, then the others whose ends are still apart.
 2. Lists whose members all lie in one component by then are skipped. The rest are tied
-   once more, each to a member drawn by hash, and then only pairs across components are
-   met, each in the first coordinate that it shares. There the estimate, and a finer one
-   from ``fine`` minima that documents of open lists get, are conditions of the join, and
-   what passes is confirmed as well.
-
-So no link between components goes unseen, and a group of near copies never emits all its
-pairs. At similarity 0.75 two of 32 coordinates of three minima agree but for a chance of
-6e-7, two bits of 368 of 512 minima (416 expected, deviation 8.8) but for one of 3e-8, and
-those of 1576 of 2048 (1664 expected, deviation 17.7) but for one of 4e-7.
+   once more, each to a member drawn by hash.
+3. Only documents of lists that are still open go on. They are posted under finer
+   coordinates of ``fine_folded`` minima, in which documents that merely share a passage
+   hardly ever meet (a pair of similarity 1/3 meets in one of 372 with a chance of 0.002, where
+   it meets in one of the 32 with 0.7). Collisions of pairs across components are counted, and
+   pairs with ``matches`` or more of them are confirmed. In a list, the members of its largest
+   component do not meet one another, and longer lists are cut into blocks whose pairs
+   are dealt over tasks.
+
+So no link between components goes unseen, and neither a group of near copies nor one of
+documents around a common passage ever emits all its pairs. At similarity 0.75 two of 32
+coordinates of three minima agree but for a chance of 6e-7, two bits of 368 of 512 minima (416
+expected, deviation 8.8) but for one of 3e-8, and two of 372 finer coordinates but for one of 2e-6.
 
 Cases: null, empty and blank texts have no shingles and are linked with nothing; a text
 of fewer words than a shingle is one shingle; rows that share a doc_id are one document;
@@ -50,8 +54,10 @@ FOLDED = 3
 MATCHES = 2
 MINIMA = 512
 EQUAL = 368
-FINE = 2048
-FINE_EQUAL = 1576
+FINE_COORDINATES = 372
+FINE_FOLDED = 11
+#: Members of a list that meet in one task; longer lists are cut.
+BLOCK = 2_000
 
 _random = np.random.default_rng(20_240_229)
 _TIMES = _random.integers(0, 2**31, 4096, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -148,25 +154,35 @@ def _agreeing(pairs: DataFrame, briefs: DataFrame, number: int, least: int) -> D
     return pairs.join(left, "a").join(right, "b").select("a", "b", equal.alias("equal")).filter(F.col("equal") >= least)
 
 
-def _fine_agreement(x: Column, y: Column, number: int) -> Column:
-    """The same over long arrays, which would make too long an expression."""
+def _fine_posts(texts: DataFrame, words: int, coordinates: int, folded: int) -> DataFrame:
+    """(post, doc_id): each document under the 64-bit name of each of its finer coordinates and their value."""
 
-    def wrong(a: Column, b: Column) -> Column:
-        d = a.bitwiseXOR(b)
-        return F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = np.arange(coordinates, dtype=np.uint64) << np.uint64(32)
+        for batch in batches:
+            posts = [mix(names + folded_coordinates(minima(s, coordinates * folded), folded)).view(np.int64) for s in shingle_sets(batch.column("text"), words)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(posts, pa.list_(pa.int64()))], names=["doc_id", "posts"])
 
-    return F.lit(number) - F.aggregate(F.zip_with(x, y, wrong), F.lit(0), lambda a, b: a + b)
+    posted = texts.select("doc_id", "text").mapInArrow(rows, "doc_id long, posts array<long>")
+    return posted.select(F.explode("posts").alias("post"), "doc_id")
 
 
-def _fine_bits(texts: DataFrame, words: int, number: int) -> DataFrame:
-    """(doc_id, fine): two bits of each of ``number`` minima."""
+def counted_collisions(posts: DataFrame, matches: int, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b) across components that collide under ``matches`` posts or more. ``posts``: post, doc_id, component.
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bits = [two_bits(minima(s, number)) for s in shingle_sets(batch.column("text"), words)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits, pa.list_(pa.int64()))], names=["doc_id", "fine"])
-
-    return texts.select("doc_id", "text").mapInArrow(rows, "doc_id long, fine array<long>")
+    A list's largest component meets only the rest of the list. Both sides of a list longer than
+    ``block`` are cut into blocks, and each pair of blocks is a group of its own.
+    """
+    sizes = posts.groupBy("post", "component").agg(F.count(F.lit(1)).alias("n"))
+    lists = sizes.groupBy("post").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    lists = lists.filter("all > most").select("post", "main", F.ceil(F.col("all") / block).alias("rights"), F.ceil((F.col("all") - F.col("most")) / block).alias("lefts"))
+    members = posts.join(lists, "post")
+    part = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = members.filter("component <> main").select("post", F.col("doc_id").alias("x"), F.col("component").alias("cx"), part("lefts").alias("i"), every("rights").alias("j"))
+    right = members.select("post", F.col("doc_id").alias("y"), F.col("component").alias("cy"), (F.col("component") == F.col("main")).alias("of_main"), part("rights").alias("j"), every("lefts").alias("i"))
+    met = left.join(right, ["post", "i", "j"]).filter("cx <> cy and (of_main or x > y)")
+    return met.groupBy(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("met")).filter(F.col("met") >= matches).select("a", "b")
 
 
 def _open_lists(shared: DataFrame, joined: DataFrame) -> DataFrame:
@@ -205,14 +221,14 @@ def near_duplicates(
     matches: int = MATCHES,
     number: int = MINIMA,
     equal: int = EQUAL,
-    fine: int = FINE,
-    fine_equal: int = FINE_EQUAL,
+    fine_coordinates: int = FINE_COORDINATES,
+    fine_folded: int = FINE_FOLDED,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
     prefix = coordinates - matches + 1
     rows = stage(signatures(docs, words, coordinates, folded, number, prefix), "signatures")
     filled = rows.filter("n_shingles > 0 and doc_id is not null")
-    classes = filled.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
+    classes = filled.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"))
     reps = stage(
         filled.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "head", "brief"),
         "representatives",
@@ -240,7 +256,7 @@ def near_duplicates(
     links = links.union(more)
     joined = stage(components(links), "components")
 
-    # 2. lists that still hold several components: another centre, then the pairs across
+    # 2. lists that still hold several components: another centre
     opened = stage(_open_lists(shared, joined), "open-lists")
     drawn = opened.groupBy("post").agg(F.min(F.struct(F.xxhash64("doc_id", "post").alias("k"), "doc_id", "component")).alias("c"))
     ends = opened.join(drawn, "post").filter(F.col("component") != F.col("c.component"))
@@ -249,24 +265,21 @@ def near_duplicates(
     links = links.union(stage(_confirmed(turned, texts, words, similarity), "links"))
     joined = stage(components(links), "components")
     opened = stage(_open_lists(shared, joined), "open-lists")
-    finer = stage(_fine_bits(texts.join(opened.select("doc_id").distinct(), "doc_id", "left_semi"), words, fine), "fine")
-    open_lists = opened.join(reps.join(finer, "doc_id").select("doc_id", "head", "brief", "fine"), "doc_id")
-    side = lambda n: open_lists.select("post", *(F.col(c).alias(f"{n}_{c}") for c in ("doc_id", "component", "head", "brief", "fine")))
-    place = F.shiftright("post", 32) + F.shiftrightunsigned("post", 31).bitwiseAND(1)
-    agreed = F.array_position(F.zip_with("a_head", "b_head", lambda x, y: x == y), True) - 1
-    alike = (_agreement(F.col("a_brief"), F.col("b_brief"), number) >= equal) & (_fine_agreement(F.col("a_fine"), F.col("b_fine"), fine) >= fine_equal)
-    across = side("a").join(side("b"), "post").filter((F.col("a_doc_id") > F.col("b_doc_id")) & (F.col("a_component") != F.col("b_component")) & alike & (agreed == place))
-    across = stage(across.select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")), "across")
+
+    # 3. documents of lists that are open even so: collisions in finer coordinates are counted
+    left_over = opened.select("doc_id", "component").distinct()
+    posts = _fine_posts(texts.join(left_over, "doc_id", "left_semi"), words, fine_coordinates, fine_folded).join(left_over, "doc_id")
+    across = stage(counted_collisions(stage(posts, "fine-posts"), matches), "across")
     rest = across.join(stars.union(turned).select("a", "b"), ["a", "b"], "left_anti")
     last = stage(_confirmed(rest, texts, words, similarity), "links")
     joined = components(links.union(last))
 
     named = classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "h1", "h2", F.coalesce("component", "rep").alias("component")
+        "h1", "h2", "n_shingles", F.coalesce("component", "rep").alias("component")
     )
     return (
         rows.select("doc_id", "n_shingles", "h1", "h2")
-        .join(named, ["h1", "h2"], "left")
+        .join(named, ["h1", "h2", "n_shingles"], "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
