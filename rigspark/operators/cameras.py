@@ -208,6 +208,10 @@ def split_valid_cameras(cameras: DataFrame) -> DataFrame:
     return cameras.withColumn("reason", F.when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ","))).when(singular, "singular pose"))
 
 
+def filter_keypoints(keypoints: DataFrame, threshold: float = 0.5) -> DataFrame:
+    return keypoints.filter(F.col("score") >= threshold)
+
+
 def camera_pairs(cameras: DataFrame) -> DataFrame:
     """cam_a, cam_b for all pairs of a capture in name order."""
     a = cameras.select("capture_id", F.col("camera_label").alias("cam_a")).distinct()

@@ -291,6 +291,19 @@ def quat_from_matrix(m: np.ndarray) -> np.ndarray:
     return q * np.where(q[:, :1] < 0, -1.0, 1.0)
 
 
+def quaternions(df: DataFrame, column: str) -> DataFrame:
+    """rot_0..rot_3 of the 3x3 rotations (9 values, row-major) in ``column``."""
+
+    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            q = quat_from_matrix(np.stack(pdf[column].to_numpy()).reshape(-1, 3, 3)) if len(pdf) else np.empty((0, 4))
+            yield pdf.drop(columns=[column]).assign(**{f"rot_{i}": q[:, i] for i in range(4)})
+
+    kept = [f for f in df.schema.fields if f.name != column]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"rot_{i} double" for i in range(4))])
+    return df.mapInPandas(made, schema)
+
+
 def _product_matrix(q: np.ndarray, side: int) -> np.ndarray:
     """4x4 matrices of quaternion products (w first): by q from the left (side 1), by its conjugate from the right (side -1)."""
     w, v = q[:, 0], q[:, 1:]

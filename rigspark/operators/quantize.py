@@ -44,57 +44,57 @@ def distinct_values(df: DataFrame, columns: tuple[str, ...], log_domain: bool =
     return out.groupBy("clip_id", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def assign_codebook(df: DataFrame, value: str, codebook: DataFrame, into: str) -> DataFrame:
-    """``into``: the index of the nearest entry, the lower one at a mid-point. ``codebook`` (clip_id, idx, value) is sorted and short."""
-    nearest = Window.partitionBy("clip_id").orderBy("idx")
+def assign_codebook(df: DataFrame, value: str, codebook: DataFrame, into: str, keys: tuple[str, ...] = ("clip_id",)) -> DataFrame:
+    """``into``: the index of the nearest entry, the lower one at a mid-point. ``codebook`` (keys, idx, value) is sorted and short."""
+    nearest = Window.partitionBy(*keys).orderBy("idx")
     edges = (
         codebook.withColumn("__edge", (F.col("value") + F.lag("value").over(nearest)) / 2.0)
-        .groupBy("clip_id")
+        .groupBy(*keys)
         .agg(F.array_sort(F.collect_list("__edge")).alias("__edges"))  # a codebook of 256
     )
     index = F.size(F.filter("__edges", lambda e: e < F.col(value))).cast("short")
-    return df.join(F.broadcast(edges), "clip_id", "left").withColumn(into, index).drop("__edges")
+    return df.join(F.broadcast(edges), list(keys), "left").withColumn(into, index).drop("__edges")
 
 
-def kmeans_1d(values: DataFrame, k: int = 256, rounds: int = 16) -> DataFrame:
-    """(clip_id, idx, value): Lloyd's rounds from quantiles over (clip_id, value, n).
+def kmeans_1d(values: DataFrame, k: int = 256, rounds: int = 16, keys: tuple[str, ...] = ("clip_id",)) -> DataFrame:
+    """(keys, idx, value): Lloyd's rounds from quantiles over (keys, value, n), for all keys at once.
 
     Quantiles are interpolated between weighted ranks of the distinct values, which are counted in two levels. A
     round assigns values to the entries by edges and sums them; empty entries stay; entries are sorted again. The
     codebook is a table of k rows a clip throughout, cut from its lineage in each round; only the number of
     entries that still move comes to the driver.
     """
-    values = cut(values.select("clip_id", F.col("value").cast("double").alias("value"), "n"))
-    box = values.groupBy("clip_id").agg(F.min("value").alias("__lo"), F.max("value").alias("__hi"), F.sum("n").alias("__total"))
+    values = cut(values.select(*keys, F.col("value").cast("double").alias("value"), "n"))
+    box = values.groupBy(*keys).agg(F.min("value").alias("__lo"), F.max("value").alias("__hi"), F.sum("n").alias("__total"))
     part = F.floor((F.col("value") - F.col("__lo")) / F.greatest(F.col("__hi") - F.col("__lo"), F.lit(1e-300)) * 1023)
-    dealt = values.join(F.broadcast(box), "clip_id").withColumn("__part", part)  # one row a clip
-    parts = dealt.groupBy("clip_id", "__part").agg(F.sum("n").alias("__in"))
-    before = Window.partitionBy("clip_id").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("clip_id", "__part", F.coalesce(F.sum("__in").over(before), F.lit(0)).alias("__start"))
-    inside = Window.partitionBy("clip_id", "__part").orderBy("value")
-    ranked = dealt.join(parts, ["clip_id", "__part"]).select(
-        "clip_id", "value", (F.col("__start") + F.sum("n").over(inside) - F.col("n")).alias("__from"), (F.col("__start") + F.sum("n").over(inside)).alias("__upto")
+    dealt = values.join(F.broadcast(box), list(keys)).withColumn("__part", part)  # one row a clip
+    parts = dealt.groupBy(*keys, "__part").agg(F.sum("n").alias("__in"))
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(*keys, "__part", F.coalesce(F.sum("__in").over(before), F.lit(0)).alias("__start"))
+    inside = Window.partitionBy(*keys, "__part").orderBy("value")
+    ranked = dealt.join(parts, [*keys, "__part"]).select(
+        *keys, "value", (F.col("__start") + F.sum("n").over(inside) - F.col("n")).alias("__from"), (F.col("__start") + F.sum("n").over(inside)).alias("__upto")
     )
     place = F.col("idx") * (F.col("__total") - 1) / F.lit(max(k - 1, 1))
-    probe = box.select("clip_id", "__total", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("idx")).withColumn("__at", place)
-    ends = probe.select("clip_id", "idx", "__at", F.explode(F.array(F.floor("__at"), F.ceil("__at"))).alias("__rank"))
-    found = ranked.join(F.broadcast(ends), "clip_id").filter((F.col("__from") <= F.col("__rank")) & (F.col("__rank") < F.col("__upto")))
+    probe = box.select(*keys, "__total", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("idx")).withColumn("__at", place)
+    ends = probe.select(*keys, "idx", "__at", F.explode(F.array(F.floor("__at"), F.ceil("__at"))).alias("__rank"))
+    found = ranked.join(F.broadcast(ends), list(keys)).filter((F.col("__from") <= F.col("__rank")) & (F.col("__rank") < F.col("__upto")))
     share = F.col("__at") - F.floor("__at")
-    book = found.groupBy("clip_id", "idx").agg(
+    book = found.groupBy(*keys, "idx").agg(
         (F.min("value") + F.max(share) * (F.max("value") - F.min("value")) + F.max("idx") * F.lit(1e-12)).alias("value")
     )
     book = cut(book)
-    order = Window.partitionBy("clip_id").orderBy("value", "idx")  # a codebook
+    order = Window.partitionBy(*keys).orderBy("value", "idx")  # a codebook
     for _ in range(rounds):
         sums = (
-            assign_codebook(values.withColumnRenamed("value", "v"), "v", book, "idx")
-            .groupBy("clip_id", F.col("idx").cast("int").alias("idx"))
+            assign_codebook(values.withColumnRenamed("value", "v"), "v", book, "idx", keys)
+            .groupBy(*keys, F.col("idx").cast("int").alias("idx"))
             .agg((F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"))
         )
-        moved = book.join(sums, ["clip_id", "idx"], "left").withColumn("went", F.coalesce("mean", "value") != F.col("value"))
-        after = cut(moved.select("clip_id", "idx", F.coalesce("mean", "value").alias("value"), "went"))
+        moved = book.join(sums, [*keys, "idx"], "left").withColumn("went", F.coalesce("mean", "value") != F.col("value"))
+        after = cut(moved.select(*keys, "idx", F.coalesce("mean", "value").alias("value"), "went"))
         still = after.filter("went").limit(1).count()
-        book = after.withColumn("idx", (F.row_number().over(order) - 1).cast("int")).select("clip_id", "idx", "value")
+        book = after.withColumn("idx", (F.row_number().over(order) - 1).cast("int")).select(*keys, "idx", "value")
         if not still:
             break
     return cut(book)
@@ -241,13 +241,12 @@ def pack(splats: DataFrame, time_min: float, time_max: float, duration: float, k
         splats, sh_books, shared["palette"] = with_palette(splats, entries, k)
     ordered = temporal.order_splats(splats, time_min, time_max, duration)
     ranges = axis_ranges(splats)
-    books = None
+    values = None
     for attr, cols in CODEBOOKS.items():
-        book = kmeans_1d(distinct_values(splats, cols, attr == "t_sigma"), k)
-        if attr == "t_sigma":
-            book = book.withColumn("value", F.exp("value"))
-        book = book.select("clip_id", F.lit(attr).alias("attr"), "idx", "value")
-        books = book if books is None else books.union(book)
+        own = distinct_values(splats, cols, attr == "t_sigma").withColumn("attr", F.lit(attr))
+        values = own if values is None else values.union(own)
+    books = kmeans_1d(values, k, keys=("clip_id", "attr"))
+    books = books.select("clip_id", "attr", "idx", F.when(F.col("attr") == "t_sigma", F.exp("value")).otherwise(F.col("value")).alias("value"))
     if shared:
         books = books.union(sh_books.select("clip_id", F.lit("sh").alias("attr"), "idx", "value"))
     return shared | {

@@ -4,15 +4,22 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` checkpointed in ``spark.checkpoint.dir``. Only a local session, which has one machine, may do without the setting."""
-    context = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``. Only a local session, which has one machine, may do without the setting."""
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not named and not (context.master or "").startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    named = named or tempfile.mkdtemp(prefix="spark-")
     if not context.getCheckpointDir():
-        named = context.getConf().get("spark.checkpoint.dir")
-        if not named and not (context.master or "").startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
+        context.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed in the shared folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()

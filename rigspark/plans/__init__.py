@@ -1 +1,3 @@
-"""Jobs, domain tables derived from the driver's tables, and the registered queries."""
+"""Jobs, domain tables and registered queries."""
+
+from . import further, queries  # noqa: F401  (each registers its queries)

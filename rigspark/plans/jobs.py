@@ -85,12 +85,12 @@ def bake_job(raw: DataFrame, time_min: float, time_max: float, keep: float | Non
     return {"splats": baked, "profile": splats.temporal_profile(baked, times), "kept": splats.kept_share(raw, baked)}
 
 
-def flipbook_job(frames: DataFrame, fps: float, budget: int, n_frames: int, stride: int = 1) -> dict[str, DataFrame]:
+def flipbook_job(frames: DataFrame, fps: float, budget: int, n_frames: int, stride: int = 1, k: int = 256) -> dict[str, DataFrame]:
     """Packed tables of static frames: normalised, visible, within the budget, and timed."""
     rows = frames.select(*(c for c in frames.columns if not c.startswith("rot_")), *normalised_quaternion())
     kept = splats.top_budget(splats.filter_visible(rows), budget, n_frames)
     timed = splats.flipbook_to_splats(kept, fps, stride)
-    return quantize.pack(timed, 0.0, n_frames * stride / fps, stride / fps)
+    return quantize.pack(timed, 0.0, n_frames * stride / fps, stride / fps, k)
 
 
 def compare_job(a: DataFrame, b: DataFrame, ranges: DataFrame, time_min: float, time_max: float, duration: float, sides: list[tuple[DataFrame | None, DataFrame | None]]) -> dict[str, DataFrame]:

@@ -37,10 +37,12 @@ def read_cameras(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
 
 def write_transforms(cameras: DataFrame, path: str) -> None:
-    """Camera rows as one nested JSON object a capture, frames by label. A rig's cameras are tens."""
+    """Camera rows as one nested JSON file a capture, frames by label. A rig's cameras are tens."""
     row = lambda i: F.array(*(F.col("c2w")[4 * i + j] for j in range(4)))
-    frame = F.struct("camera_label", "file_path", "fl_x", "fl_y", "cx", "cy", "w", "h", F.array(*(row(i) for i in range(4))).alias("transform_matrix"))
-    cameras.groupBy("capture_id").agg(F.array_sort(F.collect_list(frame)).alias("frames")).write.mode("overwrite").json(path)
+    extra = [c for c in cameras.columns if c not in ("capture_id", "camera_label", "file_path", "c2w", "dist")]  # lens model, time and whatever else a frame carries
+    lens = [F.get("dist", F.lit(i)).alias(k) for i, k in enumerate(("k1", "k2", "p1", "p2"))] if "dist" in cameras.columns else []
+    frame = F.struct("camera_label", "file_path", *extra, *lens, F.array(*(row(i) for i in range(4))).alias("transform_matrix"))
+    cameras.groupBy("capture_id").agg(F.array_sort(F.collect_list(frame)).alias("frames")).write.mode("overwrite").partitionBy("capture_id").json(path)
 
 
 def read_keypoints(spark: SparkSession, paths: list[str] | str, name_pattern: str = r"([^/]+)/([^/]+)\.json$") -> DataFrame:
@@ -60,6 +62,24 @@ def read_keypoints(spark: SparkSession, paths: list[str] | str, name_pattern: st
     )
 
 
+def read_predictions(spark: SparkSession, paths: list[str] | str, cameras: DataFrame) -> DataFrame:
+    """Keypoints of combined prediction files (``frames[]`` with image_name, frame_id and instances): first instance of each frame.
+
+    Images are matched to camera labels; frames without a name, a match or an instance, and instances without
+    keypoints or scores, are skipped. A later frame of the same camera and time takes the place of an earlier one.
+    """
+    from ..operators.cameras import match_camera
+
+    instance = "struct<keypoints:array<array<double>>,keypoint_scores:array<double>>"
+    raw = spark.read.schema(f"frames array<struct<image_name:string,frame_id:string,instances:array<{instance}>>>").option("multiLine", True).json(paths)
+    frames = raw.select(F.col("_metadata.file_path").alias("path"), F.posexplode("frames").alias("pos", "f")).filter("f.image_name is not null")
+    rows = frames.select("path", "pos", F.col("f.image_name").alias("image"), F.coalesce("f.frame_id", F.lit("000000")).alias("tem"), F.get("f.instances", F.lit(0)).alias("i"))
+    named = rows.filter("i.keypoints is not null and i.keypoint_scores is not null").join(match_camera(rows, cameras).select("image", "camera_label"), "image")
+    last = named.groupBy("path", "tem", "camera_label").agg(F.max_by("i", "pos").alias("i"))
+    flat = last.select("path", "tem", "camera_label", F.posexplode(F.arrays_zip(F.col("i.keypoints").alias("k"), F.col("i.keypoint_scores").alias("s"))).alias("kp_idx", "p"))
+    return flat.filter("p.k is not null and p.s is not null").select("path", "tem", "camera_label", "kp_idx", F.get("p.k", F.lit(0)).alias("u"), F.get("p.k", F.lit(1)).alias("v"), F.col("p.s").alias("score"))
+
+
 OFFSET = "struct<fps:double,frame_offset:int,offset_seconds:double,match_quality:double,peak_ratio:double,low_confidence:boolean,solver:string,error:string>"
 
 
@@ -94,14 +114,51 @@ def read_masks(spark: SparkSession, path: str, threshold: int = 127, alpha_thres
     return images.mapInPandas(runs, "path string, y int, x0 int, x1 int").withColumn("camera_label", file_stem(F.col("path")))
 
 
+REQUIRED = ("x", "y", "z", *(f"rot_{i}" for i in range(4)), *(f"scale_{i}" for i in range(3)), "opacity", *(f"f_dc_{i}" for i in range(3)), "vx", "vy", "vz", "t_center", "t_sigma")
+
+
+def _by_group(ordered: DataFrame, path: str) -> None:
+    """Rows by clip and group, so that a time query reads its groups alone; a large group is cut along its order."""
+    dealt = ordered.repartitionByRange("clip_id", "grp", "file_idx").sortWithinPartitions("clip_id", "grp", "file_idx")
+    dealt.write.mode("overwrite").partitionBy("clip_id", "grp").parquet(path)
+
+
 def write_splats(ordered: DataFrame, path: str) -> None:
-    """Ordered splats by clip and group, so that a time query reads its groups alone."""
-    ordered.repartition("clip_id", "grp").sortWithinPartitions("clip_id", "grp", "file_idx").write.mode("overwrite").partitionBy("clip_id", "grp").parquet(path)
+    """Ordered splats in canonical columns. A set that lacks a required one, or has only a part of the acceleration, fails."""
+    missing = [c for c in REQUIRED if c not in ordered.columns]
+    accel = [c for c in ("ax", "ay", "az") if c in ordered.columns]
+    if missing or len(accel) in (1, 2):
+        raise ValueError(f"splats lack {', '.join(missing or ['a part of the acceleration'])}")
+    rest = ["f_rest"] if "f_rest" in ordered.columns else []
+    _by_group(ordered.select("clip_id", "grp", "file_idx", "splat_id", *(F.col(c).cast("float").alias(c) for c in (*REQUIRED, *accel)), *rest), path)
+
+
+CLIP_SCALARS = ("time_min", "time_max", "fps", "motion_degree", "cov2d_kx", "cov2d_ky", "splat_count", "generator")
+
+
+def write_clips(clips: DataFrame, path: str) -> None:
+    """The scalars of each clip as one JSON object a line; those that a clip does not have are left out."""
+    clips.select("clip_id", *(c for c in CLIP_SCALARS if c in clips.columns)).write.mode("overwrite").json(path)
+
+
+def write_hull_points(points: DataFrame, path: str) -> None:
+    """Hull points with colour and time, by capture."""
+    floats = [F.col(c).cast("float").alias(c) for c in ("x", "y", "z", "time")]
+    shades = [F.col(c).cast("short").alias(c) for c in ("r", "g", "b")]
+    points.select("capture_id", F.col("frame_idx").cast("int").alias("frame_idx"), *floats, *shades).write.mode("overwrite").partitionBy("capture_id").parquet(path)
+
+
+SPLATS4D = "clip_id long, splat_id long, x float, y float, z float, log_scale array<float>, rot_l array<float>, rot_r array<float>, log_scale_t float, t_center float, opacity float, dc array<float>, rest array<array<float>>"
+
+
+def read_splats4d(spark: SparkSession, path: str) -> DataFrame:
+    """Raw 4D model rows of a Parquet table, in their fixed schema."""
+    return spark.read.schema(SPLATS4D).parquet(path)
 
 
 def write_quantized(packed: dict[str, DataFrame], path: str) -> None:
     """Planes by clip and group; ranges, codebooks, segments, clips and palettes of harmonics beside them."""
-    write_splats(packed["planes"], f"{path}/planes")
+    _by_group(packed["planes"], f"{path}/planes")
     for name in ("ranges", "codebooks", "segments", "clips", "palette"):
         if packed.get(name) is not None:
             packed[name].write.mode("overwrite").parquet(f"{path}/{name}")
