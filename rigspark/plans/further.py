@@ -671,3 +671,136 @@ def _(spark, d):
 def _(spark, d):
     frames = X.splats(spark, d).drop("t_center", "t_sigma", "vx", "vy", "vz")
     return Q._digest(jobs.flipbook_job(frames, 30.0, 350, 7, k=8)["planes"])
+
+
+@query("reorder_like", "SELECT clip_id, splat_id, file_idx FROM filed", **Q._ORDER_TABLES)
+def _(spark, d):
+    s = X.splats(spark, d)
+    archive = s.select("clip_id").distinct().withColumns({"segment_duration": F.lit(STEP), "k_sigma": F.lit(None).cast("double"), "persistent_span_mult": F.lit(3.0)})
+    return compare.reorder_like(s, archive, T0, T1)[0].select("clip_id", "splat_id", "file_idx")
+
+
+_SWAP = "(r % 2000 = 1 OR (r % 2000 = 2 AND r > 1))"
+
+
+@query(  # neighbours of a group exchanged in a few places come back to their own rows
+    "repair_pairs",
+    "SELECT clip_id, splat_id AS a_splat_id, splat_id AS b_splat_id, (r % 2000 = 1 AND last > r) OR r % 2000 = 2 AS repaired FROM (SELECT *, row_number() OVER (PARTITION BY clip_id ORDER BY splat_id) AS r, count(*) OVER (PARTITION BY clip_id) AS last FROM splats)",
+    splats=X.SPLATS,
+)
+def _(spark, d):
+    from pyspark.sql.window import Window
+
+    w = Window.partitionBy("clip_id").orderBy("splat_id")
+    s = X.splats(spark, d).withColumn("rank", F.row_number().over(w))
+    k = F.col("rank") % 2000
+    partner = F.when((k == 1) & F.lead("splat_id").over(w).isNotNull(), F.lead("rank").over(w)).when(k == 2, F.lag("rank").over(w)).otherwise(F.col("rank"))
+    a = s.select("clip_id", "rank", partner.alias("other"), F.col("splat_id").alias("a_splat_id"), *(F.col(c).alias(f"a_{c}") for c in "xyz"))
+    b = s.select("clip_id", F.col("rank").alias("other"), F.col("splat_id").alias("b_splat_id"), *(F.col(c).alias(f"b_{c}") for c in "xyz"))
+    pairs = a.join(b, ["clip_id", "other"]).withColumn("grp", F.lit(0))
+    moved = (F.col("a_splat_id") != F.col("b_splat_id")).cast("int")
+    keys = {f"{n}_k_{c}": F.lit(0) if n == "a" else moved for n in "ab" for c in compare.KEYS}
+    return compare.repair_pairs(pairs.withColumns(keys), 0.01).select("clip_id", "a_splat_id", "b_splat_id", "repaired")
+
+
+_LAGS = """SELECT capture_id, cam_a, cam_b, lag, count(*) AS overlap, sum(a * b) AS ab, sum(a * a) AS aa, sum(b * b) AS bb FROM (SELECT x.capture_id, x.camera AS cam_a, y.camera AS cam_b, y.i - x.i AS lag, x.v AS a, y.v AS b FROM wave x
+    JOIN wave y ON x.capture_id = y.capture_id AND x.camera < y.camera) GROUP BY capture_id, cam_a, cam_b, lag"""
+
+
+@query(
+    "full_rate_profile",
+    "SELECT capture_id, cam_a, cam_b, CAST(lag AS INT) AS lag, overlap, round(ab / sqrt(aa * bb), 6) + 0e0 AS ncc FROM sums WHERE overlap >= 32",
+    wave="SELECT CAST(floor(vec_id / 3e0) AS BIGINT) AS capture_id, CAST(vec_id AS VARCHAR) AS camera, unnest(range(0, 64)) AS i, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings", sums=_LAGS,
+)
+def _(spark, d):
+    waves = _table(spark, d, "embeddings").select(F.floor(F.col("vec_id") / 3).alias("capture_id"), F.col("vec_id").cast("string").alias("camera"), F.col("embedding").cast("array<double>").alias("envelope"))
+    return sync.full_rate_profile(waves).withColumn("ncc", F.round("ncc", 6) + 0.0)
+
+
+_APART = "SELECT clip_id, splat_id, opacity, CASE WHEN x > 5e0 THEN x + 2.5e1 ELSE x END AS x, y, z FROM splats"
+_CELLED = """SELECT s.*, CAST(floor((x - lx) / cell) AS BIGINT) AS cx, CAST(floor((y - ly) / cell) AS BIGINT) AS cy, CAST(floor((z - lz) / cell) AS BIGINT) AS cz FROM apart s JOIN
+    (SELECT clip_id, min(x) AS lx, min(y) AS ly, min(z) AS lz, 6e-2 * sqrt((max(x) - min(x)) * (max(x) - min(x)) + (max(y) - min(y)) * (max(y) - min(y)) + (max(z) - min(z)) * (max(z) - min(z))) AS cell FROM apart GROUP BY clip_id) b ON s.clip_id = b.clip_id"""
+_VOXELS = f"SELECT clip_id, (cx << 42) + (cy << 21) + cz AS id, any_value(cx) AS cx, any_value(cy) AS cy, any_value(cz) AS cz, sum({Q._ALPHA}) AS mass FROM celled GROUP BY clip_id, (cx << 42) + (cy << 21) + cz"
+_NEAR = "SELECT a.clip_id, a.id AS a, b.id AS b FROM voxels a JOIN voxels b ON a.clip_id = b.clip_id AND abs(a.cx - b.cx) <= 1 AND abs(a.cy - b.cy) <= 1 AND abs(a.cz - b.cz) <= 1 AND a.id <> b.id"
+_PARTS = "SELECT clip_id, id, min(r) AS part FROM (WITH RECURSIVE reach AS (SELECT clip_id, id, id AS r FROM voxels UNION SELECT n.clip_id, n.b, reach.r FROM reach JOIN near n ON n.clip_id = reach.clip_id AND n.a = reach.id AND n.b > reach.r) SELECT * FROM reach) GROUP BY clip_id, id"
+_HEAVIEST = "SELECT clip_id, arg_max(part, (mass, -part)) AS part FROM (SELECT v.clip_id, part, sum(mass) AS mass FROM voxels v JOIN parts p ON p.clip_id = v.clip_id AND p.id = v.id GROUP BY v.clip_id, part) GROUP BY clip_id"
+
+
+@query(
+    "main_cluster_rows",
+    "SELECT c.clip_id, c.splat_id FROM celled c JOIN parts p ON p.clip_id = c.clip_id AND p.id = (c.cx << 42) + (c.cy << 21) + c.cz JOIN heaviest h ON h.clip_id = c.clip_id AND h.part = p.part",
+    splats=X.SPLATS, apart=_APART, celled=_CELLED, voxels=_VOXELS, near=_NEAR, parts=_PARTS, heaviest=_HEAVIEST,
+)
+def _(spark, d):
+    from ..operators import components
+
+    s = X.splats(spark, d).withColumn("x", F.when(F.col("x") > 5.0, F.col("x") + 25.0).otherwise(F.col("x")))
+    return components.main_cluster(s, 0.06).select("clip_id", "splat_id")
+
+
+@query(
+    "hull_colour",
+    f"""SELECT capture_id, kp_idx, CAST(coalesce(avg(r), 127e0) AS INT) AS r, CAST(floor(coalesce(avg(g), 127e0)) AS INT) AS g FROM (SELECT p.capture_id, p.kp_idx, CASE WHEN px.y IS NOT NULL THEN 200 END AS r, CASE WHEN px.y IS NOT NULL THEN 3 * px.n + 1 END AS g FROM points p LEFT JOIN
+      (SELECT capture_id, kp_idx, n, py AS y FROM (SELECT capture_id, kp_idx, n_nationkey AS n, camera_label, CAST(trunc({Q._U}) AS INT) AS px, CAST(trunc({Q._V}) AS INT) AS py FROM points JOIN
+        (SELECT capture_id AS rig_capture, n_nationkey, camera_label, c, s, tx, tz FROM (SELECT *, row_number() OVER (PARTITION BY capture_id ORDER BY camera_label) - 1 AS k FROM rig) WHERE k % 6 = 0 AND k < 24) AS r ON rig_capture = capture_id WHERE {Q._D} > 5e-2) WHERE (py + n) % 2 = 0) px
+      ON px.capture_id = p.capture_id AND px.kp_idx = p.kp_idx) GROUP BY capture_id, kp_idx""",
+    points=X.POINTS, rig=X.RIG,
+)
+def _(spark, d):
+    points = X.derive(spark, d, X.POINTS).withColumns({"point_id": F.col("kp_idx"), "frame_idx": F.lit(0)})
+    rig = X.cameras(spark, d)
+    at = C.project_points(points.select("capture_id", "x", "y", "z"), rig, 0.05).join(rig.select("capture_id", "camera_label", F.col("n_nationkey").alias("n")), ["capture_id", "camera_label"])
+    px = at.select("capture_id", "camera_label", "n", C.truncated_pixel(F.col("u")).alias("x"), C.truncated_pixel(F.col("v")).alias("y")).distinct()
+    px = px.withColumns({"frame_idx": F.lit(0), "fg": (F.col("y") + F.col("n")) % 2 == 0, "r": F.lit(200), "g": 3 * F.col("n") + 1, "b": F.lit(0)})
+    return dataset.hull_colour(points, rig, px).select("capture_id", "kp_idx", "r", "g")
+
+
+@query(
+    "bake_job",
+    f"""SELECT clip_id, splat_id, round(f_dc, 5) + 0e0 AS f_dc_0, round(t_sigma, 6) AS t_sigma, round(list_sort([scale_0, scale_1, scale_2])[1], 5) + 0e0 AS scale_0, round(list_sort([scale_0, scale_1, scale_2])[3], 5) + 0e0 AS scale_2 FROM
+      (SELECT *, f_dc_0 + (x + y) / 1e2 AS f_dc FROM splats) WHERE {Q._PEAK} >= 1e0 / 1024e0 AND NOT ((5e-1 + {G.SH_C0!r}e0 * f_dc + 2 * (5e-1 + {G.SH_C0!r}e0 * f_dc_1)) / 3e0 < -2.5e-1 OR ((5e-1 + {G.SH_C0!r}e0 * f_dc + 2 * (5e-1 + {G.SH_C0!r}e0 * f_dc_1)) / 3e0 < 5e-2 AND ({Q._ALPHA} < 3e-1 OR {Q._BIG} / {Q._SMALL} > 6e0)))""",
+    splats=X.SPLATS,
+)
+def _(spark, d):
+    s = X.splats(spark, d)
+    band = F.transform(F.sequence(F.lit(0), F.lit(46)), lambda k: F.transform(F.array(F.lit(1.0), F.lit(0.0), F.lit(0.0)), lambda c: c * F.when(k == 15, F.col("x") / 100.0).when(k == 31, F.col("y") / 100.0).otherwise(0.0)))
+    still = F.array(F.lit(1.0), F.lit(0.0), F.lit(0.0), F.lit(0.0))  # no rotation: axes keep their lengths
+    raw = s.select(
+        "clip_id", "splat_id", "x", "y", "z", "t_center", "opacity", F.array("f_dc_0", "f_dc_1", "f_dc_1").alias("dc"), band.alias("rest"),
+        F.array("scale_0", "scale_1", "scale_2").alias("log_scale"), F.log("t_sigma").alias("log_scale_t"), still.alias("rot_l"), still.alias("rot_r"),
+    )
+    made = jobs.bake_job(raw, T0, T1, corrupted=False, black=True, cluster=False)["splats"]
+    return made.select("clip_id", "splat_id", (F.round("f_dc_0", 5) + 0.0).alias("f_dc_0"), F.round("t_sigma", 6).alias("t_sigma"), *((F.round(c, 5) + 0.0).alias(c) for c in ("scale_0", "scale_2")))
+
+
+@query(
+    "decode_job",
+    f"""SELECT s.clip_id, s.splat_id, round(sign(u) * (exp(abs(u)) - 1e0), 6) + 0e0 AS x, round(ln(least(greatest(b / 255e0, 1e-5), 1e0 - 1e-5) / (1e0 - least(greatest(b / 255e0, 1e-5), 1e0 - 1e-5))), 6) + 0e0 AS opacity FROM
+      (SELECT *, mn + {Q._CODE} / 65535e0 * CASE WHEN mx > mn THEN mx - mn ELSE 1e0 END AS u, round_even(255e0 * {Q._ALPHA}, 0) AS b FROM (SELECT *, {Q._T} AS t, min({Q._T}) OVER (PARTITION BY clip_id) AS mn, max({Q._T}) OVER (PARTITION BY clip_id) AS mx FROM splats)) s""",
+    splats=X.SPLATS,
+)
+def _(spark, d):
+    path = _folder(spark)
+    tables.write_quantized(quantize.pack(X.splats(spark, d), T0, T1, STEP, k=16), path)
+    q = tables.read_quantized(spark, path)
+    back = quantize.dequantise(q["planes"], q["ranges"], q["codebooks"])
+    return back.select(F.col("clip_id").cast("long").alias("clip_id"), "splat_id", *((F.round(c, 6) + 0.0).alias(c) for c in ("x", "opacity")))
+
+
+@query(
+    "compare_job",
+    f"""SELECT clip_id, field, round(avg(e), 6) AS mean_error, round(max(e), 6) AS max_error FROM (SELECT clip_id, unnest(['opacity', 't_sigma', 'y']) AS field, unnest([{Q._ERROR_OF['opacity']}, {Q._ERROR_OF['t_sigma']}, 0e0]) AS e FROM splats) GROUP BY clip_id, field""",
+    splats=X.SPLATS,
+)
+def _(spark, d):
+    a = X.splats(spark, d)
+    b = Q._two_sides(spark, d)[1].select(*(c for c in a.columns if c not in ("x", "rot_0", "rot_1", "rot_2", "rot_3")))
+    b = b.join(a.select("clip_id", "splat_id", "x", *(f"rot_{i}" for i in range(4))), ["clip_id", "splat_id"])
+    ranges = quantize.axis_ranges(a)
+    # persistence must not change with the durations of side b, or its rows would change group
+    group = temporal.with_group(a, T0, T1, STEP).select("clip_id", "splat_id", "grp")
+    fields = ["opacity", "t_sigma", "y"]
+    side = lambda df: compare.integer_keys(df.join(group, ["clip_id", "splat_id"]), ranges)
+    pairs = compare.repair_pairs(compare.pair_splats(side(a), side(b), ["splat_id", "x", "y", "z", "opacity", "t_sigma", *(f"k_{c}" for c in compare.KEYS)]))
+    out = compare.error_table(pairs.filter("a_splat_id = b_splat_id"), fields)
+    return out.select("clip_id", "field", *(F.round(c, 6).alias(c) for c in ("mean_error", "max_error")))

@@ -64,7 +64,7 @@ def dataset_job(first: DataFrame, last: DataFrame, frames: DataFrame, runs: Data
     return {"views": views, "points": points, "boxes": boxes, "rig_violations": validate.validate_static_rig(first, last), "violations": validate.validate_dataset(views, points)}
 
 
-def bake_job(raw: DataFrame, time_min: float, time_max: float, keep: float | None = None, corrupted: bool = True, dark: bool = False, black: bool = False, masks: dict | None = None, clamp: float = 1.5) -> dict[str, DataFrame]:
+def bake_job(raw: DataFrame, time_min: float, time_max: float, keep: float | None = None, corrupted: bool = True, dark: bool = False, black: bool = False, masks: dict | None = None, clamp: float = 1.5, cluster: bool = True) -> dict[str, DataFrame]:
     """Splats of a raw 4D model, and their profile: covariances sliced, colours folded and clamped, the top share kept,
     those outside the masks over their lifetime dropped, then the filters of the source and the main cluster of all rows.
 
@@ -80,7 +80,7 @@ def bake_job(raw: DataFrame, time_min: float, time_max: float, keep: float | Non
     if keep is not None:
         made = splats.top_fraction(made, keep, time_min, time_max)
     seen = cameras.drop_by_lifetime(made, **masks).select("clip_id", "splat_id") if masks else None
-    baked = splats.filter_splats(made, time_min, time_max, corrupted, dark, black, seen, cluster=True)
+    baked = splats.filter_splats(made, time_min, time_max, corrupted, dark, black, seen, cluster)
     times = [time_min + (time_max - time_min) * k / 4 for k in range(5)]
     return {"splats": baked, "profile": splats.temporal_profile(baked, times), "kept": splats.kept_share(raw, baked)}
 
