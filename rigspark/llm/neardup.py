@@ -14,18 +14,17 @@ of step 1 or 2, so that hopeless pairs are never confirmed on texts.
    sets: first each document's best pair, then the others whose ends are still apart.
 2. Lists whose members all lie in one component by then are skipped. The rest are tied
    once more, each to a member drawn by hash.
-3. Only documents of lists that are still open go on. They are posted under finer
-   coordinates of ``fine_folded`` minima, in which documents that merely share a passage
-   hardly ever meet (a pair of similarity 1/3 meets in one of 372 with a chance of 0.002, where
-   it meets in one of the 32 with 0.7). Collisions of pairs across components are counted, and
-   pairs with ``matches`` or more of them are confirmed. In a list, the members of its largest
-   component do not meet one another, and longer lists are cut into blocks whose pairs
-   are dealt over tasks.
-
-So no link between components goes unseen, and neither a group of near copies nor one of
-documents around a common passage ever emits all its pairs. At similarity 0.75 two of 32
-coordinates of three minima agree but for a chance of 6e-7, two bits of 368 of 512 minima (416
-expected, deviation 8.8) but for one of 3e-8, and two of 372 finer coordinates but for one of 2e-6.
+3. In the lists that are open even so, pairs across components meet. The members of a list's
+   largest component do not meet one another, and both sides of a longer list are cut into
+   blocks, each two of which are a group of their own, so no list keeps one task busy. The
+   join makes a row of a pair only if two bits of ``fine`` minima agree often enough, if it collides in
+   ``matches`` coordinates or more (all are counted), and in the first of these alone. What passes is confirmed.
+
+So no link between components goes unseen, a group of near copies never meets all its pairs,
+and documents around a common passage, which a list may hold by the thousand, cost some bit
+counts a pair, spread over tasks, and no row. At similarity 0.75 two of 32 coordinates of three
+minima agree but for a chance of 6e-7, two bits of 368 of 512 minima (416 expected, deviation 8.8)
+but for one of 3e-8, and those of 1576 of 2048 (1664 expected, deviation 17.7) but for one of 4e-7.
 
 Cases: null, empty and blank texts have no shingles and are linked with nothing; a text
 of fewer words than a shingle is one shingle; rows that share a doc_id are one document;
@@ -35,7 +34,7 @@ are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,10 +53,10 @@ FOLDED = 3
 MATCHES = 2
 MINIMA = 512
 EQUAL = 368
-FINE_COORDINATES = 372
-FINE_FOLDED = 11
+FINE = 2048
+FINE_EQUAL = 1576
 #: Members of a list that meet in one task; longer lists are cut.
-BLOCK = 2_000
+BLOCK = 5_000
 
 _random = np.random.default_rng(20_240_229)
 _TIMES = _random.integers(0, 2**31, 4096, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -104,8 +103,8 @@ def folded_coordinates(sig: np.ndarray, folded: int) -> np.ndarray:
     return (out >> np.uint64(32)).astype(np.uint32)
 
 
-def signatures(docs: DataFrame, words: int, coordinates: int, folded: int, number: int, prefix: int) -> DataFrame:
-    """doc_id, n_shingles, (h1, h2) of the whole set, the prefix of the signature and two bits of each minimum."""
+def signatures(docs: DataFrame, words: int, coordinates: int, folded: int, number: int) -> DataFrame:
+    """doc_id, n_shingles, (h1, h2) of the whole set, the coordinates of the signature and two bits of each minimum."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,7 +115,7 @@ def signatures(docs: DataFrame, words: int, coordinates: int, folded: int, numbe
                     sig = minima(s, number)
                     h1.append(int((s.sum() + np.uint64(len(s))).view(np.int64)))
                     h2.append(int(mix(s ^ np.uint64(0xD6E8FEB86659FD93)).sum().view(np.int64)))
-                    head.append(folded_coordinates(sig[: coordinates * folded], folded)[:prefix].view(np.int32))
+                    head.append(folded_coordinates(sig[: coordinates * folded], folded).view(np.int32))
                     brief.append(two_bits(sig))
                 else:
                     h1.append(None), h2.append(None), head.append(None), brief.append(None)
@@ -154,35 +153,48 @@ def _agreeing(pairs: DataFrame, briefs: DataFrame, number: int, least: int) -> D
     return pairs.join(left, "a").join(right, "b").select("a", "b", equal.alias("equal")).filter(F.col("equal") >= least)
 
 
-def _fine_posts(texts: DataFrame, words: int, coordinates: int, folded: int) -> DataFrame:
-    """(post, doc_id): each document under the 64-bit name of each of its finer coordinates and their value."""
+def _fine_agreement(x: Column, y: Column, number: int) -> Column:
+    """The same over long arrays, which would make too long an expression."""
+
+    def wrong(a: Column, b: Column) -> Column:
+        d = a.bitwiseXOR(b)
+        return F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+
+    return F.lit(number) - F.aggregate(F.zip_with(x, y, wrong), F.lit(0), lambda a, b: a + b)
+
+
+def _fine_bits(texts: DataFrame, words: int, number: int) -> DataFrame:
+    """(doc_id, fine): two bits of each of ``number`` minima, of which the first are those of the coarse sketch."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.arange(coordinates, dtype=np.uint64) << np.uint64(32)
         for batch in batches:
-            posts = [mix(names + folded_coordinates(minima(s, coordinates * folded), folded)).view(np.int64) for s in shingle_sets(batch.column("text"), words)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(posts, pa.list_(pa.int64()))], names=["doc_id", "posts"])
+            bits = [two_bits(minima(s, number)) for s in shingle_sets(batch.column("text"), words)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits, pa.list_(pa.int64()))], names=["doc_id", "fine"])
 
-    posted = texts.select("doc_id", "text").mapInArrow(rows, "doc_id long, posts array<long>")
-    return posted.select(F.explode("posts").alias("post"), "doc_id")
+    return texts.select("doc_id", "text").mapInArrow(rows, "doc_id long, fine array<long>")
 
 
-def counted_collisions(posts: DataFrame, matches: int, block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) across components that collide under ``matches`` posts or more. ``posts``: post, doc_id, component.
+def met_in_lists(posts: DataFrame, kept: Callable[[], Column], carried: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b) across components that share a post and fulfil ``kept``, a condition of the join over x_*, y_* and post.
 
-    A list's largest component meets only the rest of the list. Both sides of a list longer than
-    ``block`` are cut into blocks, and each pair of blocks is a group of its own.
+    ``posts``: post, doc_id, component; ``carried``: doc_id and whatever the condition looks at. A list's largest component
+    meets only the rest of the list, and both sides of a list longer than ``block`` are cut into blocks.
     """
     sizes = posts.groupBy("post", "component").agg(F.count(F.lit(1)).alias("n"))
     lists = sizes.groupBy("post").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
     lists = lists.filter("all > most").select("post", "main", F.ceil(F.col("all") / block).alias("rights"), F.ceil((F.col("all") - F.col("most")) / block).alias("lefts"))
     members = posts.join(lists, "post")
+    more = []
+    if carried is not None:
+        members, more = members.join(carried, "doc_id"), [c for c in carried.columns if c != "doc_id"]
     part = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    left = members.filter("component <> main").select("post", F.col("doc_id").alias("x"), F.col("component").alias("cx"), part("lefts").alias("i"), every("rights").alias("j"))
-    right = members.select("post", F.col("doc_id").alias("y"), F.col("component").alias("cy"), (F.col("component") == F.col("main")).alias("of_main"), part("rights").alias("j"), every("lefts").alias("i"))
-    met = left.join(right, ["post", "i", "j"]).filter("cx <> cy and (of_main or x > y)")
-    return met.groupBy(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("met")).filter(F.col("met") >= matches).select("a", "b")
+    side = lambda s: [F.col(c).alias(f"{s}_{c}") for c in ("doc_id", "component", *more)]
+    left = members.filter("component <> main").select("post", *side("x"), part("lefts").alias("i"), every("rights").alias("j"))
+    right = members.select("post", *side("y"), (F.col("component") == F.col("main")).alias("of_main"), part("rights").alias("j"), every("lefts").alias("i"))
+    across = (F.col("x_component") != F.col("y_component")) & (F.col("of_main") | (F.col("x_doc_id") > F.col("y_doc_id")))
+    met = left.join(right, ["post", "i", "j"]).filter(across & kept())
+    return met.select(F.greatest("x_doc_id", "y_doc_id").alias("a"), F.least("x_doc_id", "y_doc_id").alias("b"))
 
 
 def _open_lists(shared: DataFrame, joined: DataFrame) -> DataFrame:
@@ -221,12 +233,12 @@ def near_duplicates(
     matches: int = MATCHES,
     number: int = MINIMA,
     equal: int = EQUAL,
-    fine_coordinates: int = FINE_COORDINATES,
-    fine_folded: int = FINE_FOLDED,
+    fine: int = FINE,
+    fine_equal: int = FINE_EQUAL,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
     prefix = coordinates - matches + 1
-    rows = stage(signatures(docs, words, coordinates, folded, number, prefix), "signatures")
+    rows = stage(signatures(docs, words, coordinates, folded, number), "signatures")
     filled = rows.filter("n_shingles > 0 and doc_id is not null")
     classes = filled.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"))
     reps = stage(
@@ -236,7 +248,7 @@ def near_duplicates(
     briefs = reps.select("doc_id", "brief")
 
     # 1. every list ties its members to its least member
-    posted = reps.select("doc_id", F.posexplode("head").alias("i", "v")).select(
+    posted = reps.select("doc_id", F.posexplode(F.slice("head", 1, prefix)).alias("i", "v")).select(
         "doc_id", (F.shiftleft(F.col("i").cast("long"), 32) + F.col("v")).alias("post")
     )
     lists = posted.groupBy("post").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("most")).filter("b < most")
@@ -266,10 +278,18 @@ def near_duplicates(
     joined = stage(components(links), "components")
     opened = stage(_open_lists(shared, joined), "open-lists")
 
-    # 3. documents of lists that are open even so: collisions in finer coordinates are counted
-    left_over = opened.select("doc_id", "component").distinct()
-    posts = _fine_posts(texts.join(left_over, "doc_id", "left_semi"), words, fine_coordinates, fine_folded).join(left_over, "doc_id")
-    across = stage(counted_collisions(stage(posts, "fine-posts"), matches), "across")
+    # 3. pairs across components of the lists that are open even so
+    opened = opened.select("post", "doc_id", "component")
+    finer = stage(_fine_bits(texts.join(opened.select("doc_id").distinct(), "doc_id", "left_semi"), words, fine), "fine")
+
+    def kept() -> Column:
+        x, y = F.col("x_fine"), F.col("y_fine")
+        same = F.zip_with("x_head", "y_head", lambda a, b: a == b)
+        place = F.shiftright("post", 32) + F.shiftrightunsigned("post", 31).bitwiseAND(1)
+        collisions = F.size(F.filter(same, lambda c: c))
+        return (_agreement(x, y, number) >= equal) & (_fine_agreement(x, y, fine) >= fine_equal) & (collisions >= matches) & (F.array_position(same, True) - 1 == place)
+
+    across = stage(met_in_lists(opened, kept, reps.select("doc_id", "head").join(finer, "doc_id")), "across")
     rest = across.join(stars.union(turned).select("a", "b"), ["a", "b"], "left_anti")
     last = stage(_confirmed(rest, texts, words, similarity), "links")
     joined = components(links.union(last))
