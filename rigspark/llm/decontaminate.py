@@ -6,12 +6,15 @@ are found too. A unit with budget e is split into e + 1 pieces: whatever e error
 piece stays whole. Exact piece hits in a text are looked up by hash, and the
 neighbourhood of each hit is verified with Myers' bit-parallel edit distance.
 
-Words are runs outside ASCII white space, with A-Z lower-cased. Items go to the executors in
-blocks of ``block_items``, the bound of each broadcast; more items take more passes.
+Words are runs outside ASCII white space, with A-Z lower-cased. Items of more than
+``longest`` words are searched in stretches of that many, which overlap by a window less one word: an
+occurrence of a whole item within its budget always holds a window with one error at most, so no pair
+goes unseen. Stretches go to the executors in blocks of about ``block_words`` words, which bounds the
+index that is broadcast, whatever the number and length of items; each further block takes another pass.
 
 Cases: null, empty and blank texts or items match nothing; items shorter than
 ``least_words`` words are allowed no error, and a caller may leave their pairs out by
-``n_words``; texts of any length are searched whole; repeated rows
+``n_words``; a long item's pair has the length of the stretch or window that was found; texts of any length are searched whole; repeated rows
 give the pairs of their doc_id once; empty tables give no rows; extra columns are ignored.
 """
 
@@ -91,22 +94,33 @@ def _index(items: list[tuple[int, str]], window: int, words_per_error: int, leas
     return {"units": units, "pieces": found}
 
 
+def stretches(items: DataFrame, window: int, longest: int) -> DataFrame:
+    """(item_id, k, text, n_words): each item as a whole, or in overlapping stretches of ``longest`` words, words joined by one space."""
+    words = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = items.filter("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), words.alias("w"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)), F.lit(longest - window + 1))
+    starts = F.when(F.size("w") <= longest, F.array(F.lit(0))).otherwise(starts)
+    cut = rows.select("item_id", "w", F.posexplode(starts).alias("k", "at")).select("item_id", "k", F.slice("w", F.col("at") + 1, longest).alias("w"))
+    return cut.select("item_id", "k", F.array_join("w", " ").alias("text"), F.size("w").alias("n_words"))
+
+
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
     window: int = 13,
     words_per_error: int = 8,
     least_words: int = 8,
-    block_items: int = 5_000,
+    longest: int = 2_048,
+    block_words: int = 200_000,
 ) -> DataFrame:
     """(doc_id, item_id, distance, n_words): each pair once, with its least distance and the length of the unit found."""
     spark = docs.sparkSession
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null")
-    n_blocks = max(1, -(-items.count() // block_items))
+    parts = stretches(items, window, longest)
+    n_blocks = max(1, -(-(parts.agg(F.sum("n_words")).first()[0] or 0) // block_words))
     out = None
     for block in range(n_blocks):
-        # a block of the test items, not of the corpus; its rows are bounded by the hash split
-        own = [tuple(r) for r in items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == block).collect()]
+        # a block of the test items, not of the corpus: about ``block_words`` words by the hash split
+        own = [tuple(r) for r in parts.filter(F.pmod(F.xxhash64("item_id", "k"), F.lit(n_blocks)) == block).select("item_id", "text").collect()]
         found = _search(docs, spark.sparkContext.broadcast(_index(own, window, words_per_error, least_words)))
         out = found if out is None else out.union(found)
     return out.groupBy("doc_id", "item_id").agg(F.min(F.struct("distance", F.negative("n_words").alias("n"))).alias("best")).select(

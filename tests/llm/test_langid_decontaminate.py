@@ -1,5 +1,7 @@
 import random
+from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from rigspark.llm.decontaminate import best_match, contaminated, op9_pigeonhole, pieces
@@ -92,3 +94,71 @@ def test_language_edges(spark):
     assert sorted(got, key=str) == sorted([(1, "en"), (1, "en"), (2, "de"), (3, "und"), (4, "und"), (5, "und"), (6, "en"), (None, "de")], key=str)
     assert {r.lang_pred for r in identify(df, profiles(df.filter("lang is null"))).collect()} == {"und"}
     assert identify(df.filter("false"), learned).count() == 0 and learn(df.filter("false")) == []
+
+
+def test_pairs_against_plain_edit_search(spark):
+    rng = np.random.default_rng(4)
+    word = lambda: f"w{rng.integers(0, 40)}"
+    items = {i: [word() for _ in range(n)] for i, n in enumerate((3, 7, 8, 13, 14, 20, 33, 41))}
+    docs = {}
+    for d in range(60):
+        text = [word() for _ in range(int(rng.integers(0, 40)))]
+        item = items[d % 8]
+        a = int(rng.integers(0, max(1, len(item) - 13)))
+        part = list(item[a : a + 20] if d % 3 else item)
+        for _ in range(d % 5):
+            at = int(rng.integers(0, len(part)))
+            part[at : at + int(rng.integers(0, 2))] = [word()] * int(rng.integers(0, 2))
+            part = part or [word()]
+        docs[d] = text + part + [word() for _ in range(int(rng.integers(0, 20)))]
+    want = set()
+    for d, text in docs.items():
+        for i, item in items.items():
+            if len(item) < 8:
+                if any(text[k : k + len(item)] == item for k in range(len(text))):
+                    want.add((d, i))
+                continue
+            units = [(item, max(1, len(item) // 8))] + [(item[k : k + 13], 1) for k in range(len(item) - 12) if len(item) > 13]
+            if any(brute_distance(u, text) <= e for u, e in units):
+                want.add((d, i))
+    df = spark.createDataFrame([(d, " ".join(t)) for d, t in docs.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string")
+    got = lambda **k: {(r.doc_id, r.item_id) for r in contaminated(df, bench, **k).collect()}
+    assert got() == want and 10 < len(want) < 400
+    assert got(longest=16) == want and got(longest=20, block_words=30) == want  # in stretches, and in many blocks
+
+
+def plain_ranks(texts, ranks):
+    """Most frequent n-grams of letters, words padded by a space; equal counts by length and code points."""
+    found = Counter()
+    for text in texts:
+        s = " " + "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in text) + " "
+        for i in range(len(s)):
+            if s[i] != " ":
+                found[s[i]] += 1
+                found[s[i - 1 : i + 2]] += 1
+            if i + 1 < len(s) and s[i : i + 2] != "  ":
+                found[s[i : i + 2]] += 1
+    code = lambda g: (len(g), [0 if c == " " else ord(c) + 1 for c in g])
+    return sorted(found, key=lambda g: (-found[g], code(g)))[:ranks]
+
+
+def test_out_of_place_distance_against_plain_python(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = docs.collect()
+    by_lang = {}
+    for r in rows:
+        if r.lang is not None:
+            by_lang.setdefault(r.lang, []).append(r.text or "")
+    known = {lang: {g: k for k, g in enumerate(plain_ranks(texts, 100))} for lang, texts in by_lang.items()}
+    learned = profiles(docs, sample=10**9, ranks=100)
+    assert [lang for lang, _ in learned] == sorted(known)
+    got = {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in identify(docs, learned, 100).select("doc_id", "lang_pred", "score").collect()}
+    for r in rows:
+        own = plain_ranks([r.text or ""], 100)
+        if not own:
+            assert got[r.doc_id] == ("und", 0.0)
+            continue
+        cost = {lang: sum(min(abs(p[g] - k), 100) if g in p else 100 for k, g in enumerate(own)) for lang, p in known.items()}
+        best = min(sorted(cost), key=cost.get)
+        assert got[r.doc_id] == (best, round(1 - cost[best] / (100 * len(own)), 9))
