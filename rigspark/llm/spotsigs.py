@@ -140,8 +140,8 @@ def _edited(text: str, after: str) -> str:
     return text[: len(text) - half] + after[:half]
 
 
-def _with_successor(docs: DataFrame, bucket_bytes: int, most_buckets: int) -> DataFrame:
-    """Rows in buckets of neighbouring doc_id, each bucket closed by a copy of the row that follows it.
+def _with_successor(docs: DataFrame, bucket_bytes: int, most_buckets: int) -> tuple[DataFrame, int]:
+    """Rows in buckets of neighbouring doc_id, each bucket closed by a copy of the row that follows it; and the number of buckets.
 
     Cuts are quantiles of doc_id. The driver sees them alone: ``most_buckets`` numbers at most.
     """
@@ -150,20 +150,22 @@ def _with_successor(docs: DataFrame, bucket_bytes: int, most_buckets: int) -> Da
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = min(most_buckets, size // bucket_bytes + 1)
-    cuts = rows.agg(F.percentile_approx("place", [i / buckets for i in range(1, buckets)] or [0.5], 10 * most_buckets)).first()[0] or []
+    cuts = rows.agg(F.percentile_approx("place", [i / buckets for i in range(1, buckets)] or [0.5], max(10 * buckets, 10_000))).first()[0] or []
     splits = [-math.inf, *(sorted({float(c) for c in cuts}) or [0.0]), math.inf]
     dealt = Bucketizer(splits=splits, inputCol="where", outputCol="bucket").transform(rows.withColumn("where", F.col("place").cast("double"))).drop("where")
     tops = dealt.groupBy("bucket").agg(F.max("place").alias("place"))
     last = tops.agg(F.max("place").alias("top"))
     downwards = Window.orderBy(F.desc("bucket"))  # one row a bucket
     follow = tops.crossJoin(F.broadcast(last)).select(F.col("bucket").alias("closes"), F.coalesce(F.lead("place").over(downwards), F.col("top")).alias("place"))
-    copies = dealt.drop("bucket").join(F.broadcast(follow), "place")  # at most ``most_buckets`` rows
+    copies = dealt.drop("bucket").join(F.broadcast(follow), "place")  # numbers, one row a bucket
+    # of rows that share the doc_id, the one that comes first
+    first = copies.groupBy("closes", "place", "doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     return dealt.select("bucket", F.lit(False).alias("closing"), "place", "doc_id", "text").union(
-        copies.select(F.col("closes").alias("bucket"), F.lit(True), "place", "doc_id", "text")
-    )
+        first.select(F.col("closes").alias("bucket"), F.lit(True), "place", "doc_id", "text")
+    ), buckets
 
 
-def compare_edits(docs: DataFrame, bucket_bytes: int = 4 << 20, most_buckets: int = 10_000) -> DataFrame:
+def compare_edits(docs: DataFrame, bucket_bytes: int = 4 << 20, most_buckets: int = 1_000_000) -> DataFrame:
     """Each text's fingerprint beside that of its edited text (the second half replaced by
     the head of the next text in falling doc_id) and that of the next text."""
 
@@ -188,7 +190,8 @@ def compare_edits(docs: DataFrame, bucket_bytes: int = 4 << 20, most_buckets: in
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_signatures"]
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, n_signatures int"
     order = [F.desc("bucket"), "closing", F.desc("place"), F.xxhash64("text")]
-    dealt = _with_successor(docs, bucket_bytes, most_buckets).repartition("bucket").sortWithinPartitions(*order)
+    placed, buckets = _with_successor(docs, bucket_bytes, most_buckets)
+    dealt = placed.repartition(int(buckets), "bucket").sortWithinPartitions(*order)  # about one bucket a task
     return dealt.select("bucket", "closing", "doc_id", "text").mapInArrow(rows, schema)
 
 
