@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gapless_rank, table, whole_text
+from .common import gapless_rank, stage, table, whole_text
 
 #: Bytes that a row costs besides its text.
 ROW_BYTES = 8
@@ -64,12 +64,13 @@ def shard_documents(docs: DataFrame, shards: int = 24, grain: int = 200) -> Data
     Slots are ranked in two levels, so that no task holds a whole shard.
     """
     text = whole_text()
-    rows = docs.select(
+    narrow = docs.select(
         "doc_id",
         (F.octet_length(text) + F.lit(ROW_BYTES)).cast("long").alias("size"),
         F.crc32(F.encode(text, "utf-8")).alias("text_crc32"),
         F.xxhash64(text).alias("same"),
     )
+    rows = stage(narrow, "sizes")  # the texts are read once
     units = shards * grain
     total = rows.agg(F.sum("size").alias("total"))
     groups = rows.groupBy("same").agg(F.sum("size").alias("bytes")).crossJoin(F.broadcast(total))
@@ -96,7 +97,7 @@ def shard_documents(docs: DataFrame, shards: int = 24, grain: int = 200) -> Data
         .join(F.broadcast(placed), ["large", "unit"])
         .select("doc_id", "size", "text_crc32", "shard")
     )
-    ranked = gapless_rank(dealt, ["shard"], ["doc_id", "text_crc32", "size"])
+    ranked = gapless_rank(stage(dealt, "shards"), ["shard"], ["doc_id", "text_crc32", "size"])
     return ranked.select("doc_id", "size", "text_crc32", "shard", F.col("rank").alias("slot"))
 
 

@@ -45,6 +45,46 @@ def test_plan_places_everything_once():
     assert plan({}, 8) == []
 
 
+def plain_bins(lengths, capacity):
+    """Sequences when each large piece takes the largest that fits beside it, and smaller ones the tightest gap, piece by piece."""
+    large = sorted((x for x in lengths if 3 * x > capacity), reverse=True)
+    gaps = []
+    while large:
+        a = large.pop(0)
+        k = next((k for k, b in enumerate(large) if a + b <= capacity), None)
+        gaps.append(capacity - a - (large.pop(k) if k is not None else 0))
+    for x in sorted((x for x in lengths if 3 * x <= capacity), reverse=True):
+        fits = [g for g in gaps if g >= x]
+        if fits:
+            gaps.remove(min(fits))
+            gaps.append(min(fits) - x)
+        else:
+            gaps.append(capacity - x)
+    return len(gaps)
+
+
+def test_plan_against_a_plain_packer():
+    rng = random.Random(9)
+    for capacity in (12, 50, 1024):
+        for _ in range(15):
+            lengths = [rng.randrange(1, capacity + 1) if rng.random() < 0.5 else rng.randrange(1, capacity // 4 + 1) for _ in range(rng.randrange(1, 250))]
+            counts = {x: lengths.count(x) for x in set(lengths)}
+            used = {sequence + k for _, a, b, sequence, _ in plan(counts, capacity) for k in range(b - a)}
+            assert len(used) == plain_bins(lengths, capacity)
+
+
+def test_remembered_chunks_are_forgotten(monkeypatch):
+    from rigspark.llm import packing
+
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    plain, mine = Tokenizer.from_file(PATH), ChunkEncoder(open(PATH, encoding="utf-8").read())
+    rng = random.Random(5)
+    for _ in range(12):
+        texts = [" ".join(f"w{rng.randrange(200)}" + "x" * rng.randrange(20) for _ in range(40)) for _ in range(5)]
+        assert mine.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
+        assert len(mine.hashes) <= 50 + 2 * 200 and len(mine.hashes) == len(mine.spans) == len(mine.seen)
+
+
 def test_query(spark, sf_dir):
     tk = Tokenizer.from_file(PATH)
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}

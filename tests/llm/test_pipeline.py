@@ -46,3 +46,26 @@ def test_run_on_empty_table(spark, tmp_path, sf_dir):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{sf_dir}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_odd_rows_and_clashing_columns(spark, sf_dir):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, lang_pred int, kept_text string, n_lines int, kept boolean"
+    long_text = "word " * 200_000
+    line = "a line of more than twenty characters"
+    rows = [
+        (1, "ein kurzer Satz", "de", "s", 15), (2, None, "de", "s", None), (None, f"one text more\n{line}", None, None, 1), (3, "", "en", "s", 0),
+        (4, long_text, "en", "s", 1_000_000), (5, f"the first of these\n{line}", "en", "s", 1), (6, f"the other one here\n{line}", "en", "s", 1), (6, f"and again the other\n{line}", "en", "s", 1),
+    ]
+    docs = spark.createDataFrame([(*r, "own", 7, "mine", 9, True) for r in rows], schema)
+    for table in (docs, docs.filter("false")):
+        for name, step in corpus_pipeline.STAGES[:-1]:
+            table = stage(step(spark, table, sf_dir), name)
+            assert table.columns == docs.columns
+            assert all((r.score, r.lang_pred, r.kept_text, r.n_lines, r.kept) == ("own", 7, "mine", 9, True) for r in table.collect())
+        packed = corpus_pipeline.packing(spark, table, sf_dir).collect()
+        left = table.collect()
+        assert len(packed) >= len(left) and {r.doc_id for r in packed} == {r.doc_id for r in left}
+        if left:
+            assert sorted(r.doc_id or 0 for r in left) == [0, 1, 4, 5, 6, 6]
+            assert sum(line in r.text for r in left) == 2  # the keeper is the largest doc_id, which two rows share
+            assert max(len(r.text) for r in left) == len(long_text)

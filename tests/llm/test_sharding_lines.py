@@ -1,4 +1,5 @@
 import hashlib
+import random
 import zlib
 from collections import defaultdict
 
@@ -20,6 +21,26 @@ def test_difference_is_tight():
     assert difference([], 3) == [] and len(difference([5], 3)) == 1
 
 
+def plain_differencing(sizes, shards):
+    """Sums of the bins when the two partitions of largest spread are combined, largest bin with smallest, until one is left."""
+    parts = [[s] + [0] * (shards - 1) for s in sizes]
+    while len(parts) > 1:
+        parts.sort(key=lambda p: p[0] - p[-1])
+        a, b = parts.pop(), parts.pop()
+        parts.append(sorted((x + y for x, y in zip(a, reversed(b), strict=True)), reverse=True))
+    return parts[0]
+
+
+def test_difference_against_plain_differencing():
+    rng = random.Random(2)
+    for shards, n in ((2, 9), (3, 40), (24, 60), (24, 200)):
+        sizes = [rng.randrange(1, 10**9) for _ in range(n)]
+        bins = [0] * shards
+        for s, b in zip(sizes, difference(sizes, shards), strict=True):
+            bins[b] += s
+        assert sorted(bins, reverse=True) == plain_differencing(sizes, shards)
+
+
 def test_shards(spark, sf_dir):
     rows = op1_karmarkar_karp(spark, sf_dir).collect()
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
