@@ -50,8 +50,8 @@ def test_edited_and_partial_leaks(spark):
     rows = [(d, "\n ".join(w)) for d, w in docs] + [(8, None), (9, ""), (None, " ".join(item))]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
     items = spark.createDataFrame([(0, " ".join(item)), (1, None), (2, ""), (3, "too short"), (None, "a b c d e f g h i"), (4, " ".join(noise(30)))], "item_id long, text string")
-    for block in (1, 100):
-        got = {(r.doc_id, r.item_id) for r in contaminated(df, items, block_items=block).collect()}
+    for block in (40, 10_000):
+        got = {(r.doc_id, r.item_id) for r in contaminated(df, items, block_words=block).collect()}
         assert got == {(d, 0) for d in (1, 2, 3, 4, 7, None)}
     assert contaminated(df.filter("false"), items).count() == 0 and contaminated(df, items.filter("false")).count() == 0
 
@@ -65,8 +65,8 @@ def test_short_items(spark):
     words = lambda t: f" {' '.join((t or '').lower().split())} "
     want = {(d, i, 0, len(q.split())) for d, t in texts.items() for i, q in items[:3] if words(q) in words(t)}
     assert len(want) == 6
-    for block in (1, 100):
-        got = [tuple(r) for r in contaminated(df, spark.createDataFrame(items, "item_id long, text string"), block_items=block).select("doc_id", "item_id", "distance", "n_words").collect()]
+    for block in (40, 10_000):
+        got = [tuple(r) for r in contaminated(df, spark.createDataFrame(items, "item_id long, text string"), block_words=block).select("doc_id", "item_id", "distance", "n_words").collect()]
         assert sorted(got, key=str) == sorted(want | {(None, 2, 0, 1), (11, 5, 1, 8)}, key=str)
 
 
