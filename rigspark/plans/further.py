@@ -215,7 +215,7 @@ _BASES = [f"abs(5e-1 + {G.SH_C0!r}e0 * {_EMB}[{46 + c}])" for c in range(3)]
 
 @query(
     "clamp_sh",
-    f"""SELECT vec_id, round(least(1e0, greatest(1.5e0 - greatest({', '.join(_BASES)}), 0e0) / greatest(greatest({', '.join(_CHANNEL)}), 1e-9)), 4) AS scale
+    f"""SELECT vec_id, round(least(1e0, greatest(1.5e0 - greatest({', '.join(_BASES)}), 0e0) / greatest(greatest({', '.join(_CHANNEL)}), 1e-9)), 3) AS scale
     FROM (SELECT *, CAST({S.SH_BOUNDS} AS DOUBLE[]) AS yb FROM embeddings)""",
 )
 def _(spark, d):
@@ -223,7 +223,7 @@ def _(spark, d):
     rows = _table(spark, d, "embeddings").select("vec_id", F.slice(v, 1, 45).alias("f_rest"), F.slice(v, 1, 45).alias("given"), *(v[45 + c].alias(f"f_dc_{c}") for c in range(3)))
     out = S.clamp_sh(rows)
     largest = lambda c: F.aggregate(c, F.lit(0.0), lambda a, b: a + F.abs(b).cast("double"))
-    return out.select("vec_id", F.round(largest("f_rest") / largest("given"), 4).alias("scale"))
+    return out.select("vec_id", F.round(largest("f_rest") / largest("given"), 3).alias("scale"))
 
 
 @query("truncate_sh", f"SELECT vec_id, 24 AS n, round(list_sum({_EMB}[1:8]) + list_sum({_EMB}[16:23]) + list_sum({_EMB}[31:38]), 5) + 0e0 AS total FROM embeddings")
@@ -680,9 +680,6 @@ def _(spark, d):
     return compare.reorder_like(s, archive, T0, T1)[0].select("clip_id", "splat_id", "file_idx")
 
 
-_SWAP = "(r % 2000 = 1 OR (r % 2000 = 2 AND r > 1))"
-
-
 @query(  # neighbours of a group exchanged in a few places come back to their own rows
     "repair_pairs",
     "SELECT clip_id, splat_id AS a_splat_id, splat_id AS b_splat_id, (r % 2000 = 1 AND last > r) OR r % 2000 = 2 AS repaired FROM (SELECT *, row_number() OVER (PARTITION BY clip_id ORDER BY splat_id) AS r, count(*) OVER (PARTITION BY clip_id) AS last FROM splats)",
@@ -758,7 +755,7 @@ def _(spark, d):
 @query(
     "bake_job",
     f"""SELECT clip_id, splat_id, round(f_dc, 5) + 0e0 AS f_dc_0, round(t_sigma, 6) AS t_sigma, round(list_sort([scale_0, scale_1, scale_2])[1], 5) + 0e0 AS scale_0, round(list_sort([scale_0, scale_1, scale_2])[3], 5) + 0e0 AS scale_2 FROM
-      (SELECT *, f_dc_0 + (x + y) / 1e2 AS f_dc FROM splats) WHERE {Q._PEAK} >= 1e0 / 1024e0 AND NOT ((5e-1 + {G.SH_C0!r}e0 * f_dc + 2 * (5e-1 + {G.SH_C0!r}e0 * f_dc_1)) / 3e0 < -2.5e-1 OR ((5e-1 + {G.SH_C0!r}e0 * f_dc + 2 * (5e-1 + {G.SH_C0!r}e0 * f_dc_1)) / 3e0 < 5e-2 AND ({Q._ALPHA} < 3e-1 OR {Q._BIG} / {Q._SMALL} > 6e0)))""",
+      (SELECT *, f_dc_0 + x / 1e2 + y / 1e2 AS f_dc FROM splats) WHERE {Q._PEAK} >= 1e0 / 1024e0 AND NOT ((5e-1 + {G.SH_C0!r}e0 * f_dc + 2 * (5e-1 + {G.SH_C0!r}e0 * f_dc_1)) / 3e0 < -2.5e-1 OR ((5e-1 + {G.SH_C0!r}e0 * f_dc + 2 * (5e-1 + {G.SH_C0!r}e0 * f_dc_1)) / 3e0 < 5e-2 AND ({Q._ALPHA} < 3e-1 OR {Q._BIG} / {Q._SMALL} > 6e0)))""",
     splats=X.SPLATS,
 )
 def _(spark, d):
