@@ -754,7 +754,7 @@ def _(spark, d):
 
 @query(
     "bake_job",
-    f"""SELECT clip_id, splat_id, round(f_dc + 3e-7, 5) + 0e0 AS f_dc_0, round(t_sigma, 6) AS t_sigma, round(list_sort([scale_0, scale_1, scale_2])[1], 5) + 0e0 AS scale_0, round(list_sort([scale_0, scale_1, scale_2])[3], 5) + 0e0 AS scale_2 FROM
+    f"""SELECT clip_id, splat_id, round(f_dc + 3e-9, 5) + 0e0 AS f_dc_0, round(t_sigma, 6) AS t_sigma, round(list_sort([scale_0, scale_1, scale_2])[1], 5) + 0e0 AS scale_0, round(list_sort([scale_0, scale_1, scale_2])[3], 5) + 0e0 AS scale_2 FROM
       (SELECT *, f_dc_0 + x / 1e2 + y / 1e2 AS f_dc FROM splats) WHERE {Q._PEAK} >= 1e0 / 1024e0 AND NOT ((5e-1 + {G.SH_C0!r}e0 * f_dc + 2 * (5e-1 + {G.SH_C0!r}e0 * f_dc_1)) / 3e0 < -2.5e-1 OR ((5e-1 + {G.SH_C0!r}e0 * f_dc + 2 * (5e-1 + {G.SH_C0!r}e0 * f_dc_1)) / 3e0 < 5e-2 AND ({Q._ALPHA} < 3e-1 OR {Q._BIG} / {Q._SMALL} > 6e0)))""",
     splats=X.SPLATS,
 )
@@ -767,7 +767,7 @@ def _(spark, d):
         F.array("scale_0", "scale_1", "scale_2").alias("log_scale"), F.log("t_sigma").alias("log_scale_t"), still.alias("rot_l"), still.alias("rot_r"),
     )
     made = jobs.bake_job(raw, T0, T1, corrupted=False, black=True, cluster=False)["splats"]
-    return made.select("clip_id", "splat_id", (F.round(F.col("f_dc_0") + 3e-7, 5) + 0.0).alias("f_dc_0"), F.round("t_sigma", 6).alias("t_sigma"), *((F.round(c, 5) + 0.0).alias(c) for c in ("scale_0", "scale_2")))
+    return made.select("clip_id", "splat_id", (F.round(F.col("f_dc_0") + 3e-9, 5) + 0.0).alias("f_dc_0"), F.round("t_sigma", 6).alias("t_sigma"), *((F.round(c, 5) + 0.0).alias(c) for c in ("scale_0", "scale_2")))
 
 
 @query(
