@@ -42,6 +42,7 @@ from .common import table
 #: How HTML lays out its elements. Every other element is inline, as browsers have it.
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li listing main menu nav ol optgroup option p pre search section select summary table tbody td textarea tfoot th thead title tr ul xmp".split())
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+NAMED = BLOCK | INLINE
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset(["script", "style"])
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
@@ -94,7 +95,8 @@ class _Blocks(HTMLParser):
         self.open: list[_Element] = []
         self.at: dict[str, list[int]] = defaultdict(list)  # places of the open elements by tag
         self.block_at: list[int] = []  # of the open block elements
-        self.known: frozenset[str] | None = frozenset()  # open tags that HTML names, made anew when they change
+        self.named: set[str] = set()  # open tags that HTML names
+        self.known: frozenset[str] | None = frozenset()  # the same, made anew when they change
         self.marked = self.named_aside = 0
         self.blocks: list[Block] = []
         self.run: list[str] = []
@@ -105,8 +107,8 @@ class _Blocks(HTMLParser):
         text = " ".join("".join(self.run).split())
         if text:
             if self.known is None:
-                self.known = frozenset(t for t in BLOCK | INLINE if self.at.get(t))
-            near = frozenset().union(*(e.words for e in self.open[-NEAR:]))
+                self.known = frozenset(self.named)
+            near = frozenset().union(*(e.words for e in self.open[-NEAR:] if e.words))
             self.blocks.append(
                 Block(text, self.known, tuple(e.tag for e in self.open[-3:]), near, self.linked, self.marked > 0, self.named_aside > 0, frozenset(self.inner))
             )
@@ -120,6 +122,7 @@ class _Blocks(HTMLParser):
             if e.block:
                 self.block_at.pop()
             if not self.at[e.tag]:
+                self.named.discard(e.tag)
                 self.known = None
             self.marked -= e.main
             self.named_aside -= bool(e.words & ASIDE_WORDS)
@@ -149,7 +152,8 @@ class _Blocks(HTMLParser):
             self._drop(self.at["a"][-1])  # links do not nest
         values = dict(attrs)
         words = frozenset(w for k in ("class", "id", "role") for w in _WORDS.findall((values.get(k) or "").lower()))
-        if not self.at.get(tag):
+        if not self.at.get(tag) and tag in NAMED:
+            self.named.add(tag)
             self.known = None
         self.at[tag].append(len(self.open))
         if block:
