@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import debruijn, decontaminate, langid, line_dedup, neardup, packing, secrets, sharding, spotsigs, webtext
+from . import alignment, debruijn, decontaminate, langid, line_dedup, neardup, packing, quality, secrets, sharding, spotsigs, vector_codes, webtext
 
 QUERIES = {
     "op1_karmarkar_karp": sharding.op1_karmarkar_karp,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_trigram_secrets": secrets.op8_trigram_secrets,
     "op9_pigeonhole": decontaminate.op9_pigeonhole,
     "op10_debruijn": debruijn.op10_debruijn,
+    "op11_cell_memo": vector_codes.op11_cell_memo,
+    "op12_factorisation_machine": quality.op12_factorisation_machine,
+    "op13_end_dictionaries": alignment.op13_end_dictionaries,
 }
 
 ORACLE_SQL = {
@@ -22,4 +25,5 @@ ORACLE_SQL = {
     "op6_line_runs": line_dedup.OP6_SQL,
     "op8_trigram_secrets": secrets.OP8_SQL,
     "op10_debruijn": debruijn.OP10_SQL,
+    "op11_cell_memo": vector_codes.OP11_SQL,
 }
