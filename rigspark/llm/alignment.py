@@ -9,11 +9,10 @@ spaces, and a stretch between two cuts is tokenised and aligned once for all its
 worker (``Aligner``). Where that does not hold, for a text with white space beyond ASCII's or a
 vocabulary with such a piece, the text is one stretch.
 
-Counting an id pair over the corpus needs one row a pair and block of documents: the documents of the
-block that hold the pair, and how often, travel packed inside it. The row meets the pair's count
-and goes back to its block, where the sums of its documents are made. So no row a link or a document's
-pair is ever shuffled, a pair in all documents is a row a block, and a block is bounded in
-bytes (one longer text is a block alone).
+Counting an id pair over the corpus needs one row a pair and block of documents. That row meets the pair's
+count and goes back to its block, where the sums of the documents are made from the block's lists, which
+travel once, packed into one row. So no row a link or a document's pair is ever shuffled, a pair
+in all documents is a row a block, and a block is bounded in bytes (one longer text is a block alone).
 
 Cases: texts that are null, empty, or that either tokenizer does not give back byte for byte, have no tokens, zeros
 and an empty digest; special tokens' strings inside texts are plain text; counts of an id that tie are all
@@ -231,17 +230,21 @@ def _aligner(key: tuple[str, str], tokenizer_json: str, piece_model: bytes) -> A
     return _aligners[key]
 
 
-_ALIGNED = "block long, row int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair long, rows binary, times binary, occurrences long"
+_ALIGNED = "block long, row int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair long, occurrences long, numbers binary, rows binary, times binary"
 
 
 def aligned_blocks(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
-    """One row a document (``row`` is its place in the block), and one a block and id pair (``rows`` and ``times`` are its packed list)."""
+    """One row a document (``row`` is its place in the block), one a block and id pair, and one a block with its packed lists.
+
+    The lists are laid behind one another by ascending pair: ``numbers`` has the documents of each pair, ``rows`` which they
+    are, ``times`` how often they hold it.
+    """
     with open(byte_path, encoding="utf-8") as f, open(piece_path, "rb") as g:
         vocabularies = docs.sparkSession.sparkContext.broadcast((f.read(), g.read()))  # two vocabularies, a few MB
     key = (byte_path, piece_path)
     schema = pa.schema(
         [("block", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), *[(c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")],
-         ("groups_sha256", pa.string()), ("pair", pa.int64()), ("rows", pa.binary()), ("times", pa.binary()), ("occurrences", pa.int64())]
+         ("groups_sha256", pa.string()), ("pair", pa.int64()), ("occurrences", pa.int64()), *[(c, pa.binary()) for c in ("numbers", "rows", "times")]]
     )
 
     def emit(known: dict[str, pa.Array], n: int) -> pa.RecordBatch:
@@ -265,19 +268,13 @@ def aligned_blocks(docs: DataFrame, byte_path: str, piece_path: str) -> DataFram
                     n,
                 )
                 codes, edges, document, times = aligner.postings(places)
-                packed, counted = document.astype("<u4").tobytes(), times.astype("<u4").tobytes()
-                cut = pa.array(edges * 4, pa.int32()).buffers()[1]
                 total = np.concatenate(([0], np.cumsum(times)))
                 for start in range(0, len(codes), 20_000):
                     stop = min(start + 20_000, len(codes))
-                    lists = [pa.Array.from_buffers(pa.binary(), len(codes), [None, cut, pa.py_buffer(x)]).slice(start, stop - start) for x in (packed, counted)]
-                    yield emit(
-                        {
-                            "block": pa.array(np.full(stop - start, block)), "pair": pa.array(codes[start:stop]), "rows": lists[0], "times": lists[1],
-                            "occurrences": pa.array(total[edges[start + 1 : stop + 1]] - total[edges[start:stop]]),
-                        },
-                        stop - start,
-                    )
+                    often = total[edges[start + 1 : stop + 1]] - total[edges[start:stop]]
+                    yield emit({"block": pa.array(np.full(stop - start, block)), "pair": pa.array(codes[start:stop]), "occurrences": pa.array(often)}, stop - start)
+                lists = {"numbers": np.diff(edges).astype("<u4"), "rows": document.astype("<u2"), "times": times.astype("<u4")}
+                yield emit({"block": pa.array([block])} | {c: pa.array([x.tobytes()], pa.binary()) for c, x in lists.items()}, 1)
                 block += 1
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(rows, _ALIGNED)
@@ -293,12 +290,11 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
 def _block_sums(block: pd.DataFrame) -> pd.DataFrame:
     """The documents of one block with the sums over their links."""
     docs = block[block["row"].notna()].sort_values("row")
-    pairs = block[block["row"].isna()]
-    rows = np.frombuffer(b"".join(pairs["rows"]), "<u4")
-    times = np.frombuffer(b"".join(pairs["times"]), "<u4").astype(np.int64)
-    number = pairs["rows"].map(len).to_numpy(np.int64) // 4
+    pairs = block[block["pair"].notna()].sort_values("pair")
+    lists = block[block["rows"].notna()]
+    number, rows, times = (np.frombuffer(b"".join(lists[c]), t) for c, t in (("numbers", "<u4"), ("rows", "<u2"), ("times", "<u4")))
     best, counted = np.zeros(len(docs), np.int64), np.zeros(len(docs), np.int64)
-    np.add.at(best, rows, times * np.repeat(pairs["best"].to_numpy(bool), number))
+    np.add.at(best, rows, times * np.repeat(pairs["best"].to_numpy(np.int64), number))
     np.add.at(counted, rows, times * np.repeat(pairs["count"].to_numpy(np.int64), number))
     return docs.assign(n_best=best, count_sum=counted)[["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]]
 
@@ -312,11 +308,10 @@ def align_corpus(docs: DataFrame, byte_path: str | None = None, piece_path: str
         piece_path = piece_path or public_tokenizers.path("piece_bpe_32k.model")
     aligned = stage(aligned_blocks(docs, byte_path, piece_path), "aligned")  # read three times
     counts = stage(pair_counts(aligned), "pairs")
-    packed = aligned.filter("pair is not null").select("block", "pair", "rows", "times").join(counts, "pair")
-    facts = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
-    whole = aligned.filter("row is not null").select("block", "row", *facts).unionByName(packed.drop("pair"), allowMissingColumns=True)
+    met = aligned.filter("pair is not null").select("block", "pair").join(counts, "pair").withColumn("best", F.col("best").cast("long"))
+    rest = aligned.filter("pair is null").drop("pair", "occurrences")
     schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
-    return whole.groupBy("block").applyInPandas(_block_sums, schema), counts
+    return rest.unionByName(met, allowMissingColumns=True).groupBy("block").applyInPandas(_block_sums, schema), counts
 
 
 def op13_end_dictionaries(spark, sf_dir: str) -> DataFrame:
