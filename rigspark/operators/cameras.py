@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -54,39 +59,104 @@ def project_points(points: DataFrame, cameras: DataFrame, min_depth: float = 1e-
     return points.join(rig, "capture_id").select(*points.columns, "camera_label", u.alias("u"), v.alias("v"), depth.alias("depth"))
 
 
-def _masked_rig(cameras: DataFrame, runs: DataFrame, *extra: str) -> DataFrame:
-    """The cameras that have a mask, each with its image lines: ``lines[y]`` holds the disjoint runs of line y.
+#: Pixels of masks that a task holds unpacked at once; one larger mask is packed alone.
+PACKED_PIXELS = 1 << 24
+
+
+def _first_of_mask(runs: pa.Table, keys: list[str]) -> np.ndarray:
+    """The first row of each mask in rows sorted by mask."""
+    new = np.zeros(runs.num_rows, bool)
+    new[:1] = True
+    for k in keys:
+        column = runs.column(k).combine_chunks()
+        new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
+def _packed(runs: pa.Table, first: np.ndarray, keys: list[str]) -> pa.RecordBatch:
+    """keys and ``words`` of masks whose runs begin at the rows ``first``."""
+    y, x0, x1, height, width = (runs.column(c).to_numpy().astype(np.int64) for c in ("y", "x0", "x1", "h", "w"))
+    x0, x1 = np.maximum(x0, 0), np.minimum(x1, width - 1)
+    line = -(-width // 64)
+    number = (height * line)[first]
+    of = np.repeat(np.arange(len(first)), np.diff(first, append=len(y)))
+    start = 64 * ((np.cumsum(number) - number)[of] + y * line)
+    good = (y >= 0) & (y < height) & (x0 <= x1)
+    edge = np.zeros(64 * number.sum() + 1, np.int32)
+    np.add.at(edge, (start + x0)[good], 1)
+    np.add.at(edge, (start + x1 + 1)[good], -1)
+    bits = np.packbits(np.cumsum(edge[:-1], dtype=np.int32) > 0, bitorder="little").view("<i8")
+    words = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(number))), pa.int32()), pa.array(bits))
+    heads = runs.select(keys).take(pa.array(first))
+    return pa.RecordBatch.from_arrays([*(heads.column(k).combine_chunks() for k in keys), words], names=[*keys, "words"])
+
+
+def bit_masks(cameras: DataFrame, runs: DataFrame, *extra: str) -> DataFrame:
+    """capture_id, camera_label (and ``extra``, such as frame_idx) and ``words`` of each mask, of cameras that have one.
 
-    One row a camera (and a frame, with ``extra``), as long as a mask's runs; Spark broadcasts it where its
-    measured size allows, and else deals splats and masks by capture, so no pixel of a splat is ever shuffled.
+    64 pixels a word, lowest bit first, lines filled up to whole words. Runs are dealt and sorted by mask
+    and packed as they stream by; a task holds one mask's runs and ``PACKED_PIXELS`` pixels.
     """
     keys = ["capture_id", "camera_label", *extra]
-    on_line = runs.groupBy(*keys, "y").agg(F.collect_list(F.struct("x0", "x1")).alias("line"))
-    rig = cameras.select("capture_id", "camera_label", *RIG_GIVEN).join(on_line.select(*keys).distinct(), ["capture_id", "camera_label"])
-    every = rig.select(*keys, F.explode(F.sequence(F.lit(0), F.col("h") - 1)).alias("y")).join(on_line, [*keys, "y"], "left")
-    none = F.array().cast("array<struct<x0:int,x1:int>>")
-    lines = every.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("y", F.coalesce("line", none).alias("line")))).alias("s"))
-    return _rig(rig, *keys).join(lines.select(*keys, F.col("s.line").alias("lines")), keys)
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            runs = pa.Table.from_batches([batch])
+            runs = runs if rest is None else pa.concat_tables([rest, runs])
+            first = _first_of_mask(runs, keys)
+            yield from blocks(runs.slice(0, first[-1]), first[:-1])
+            rest = runs.slice(first[-1])
+        if rest is not None:
+            yield from blocks(rest, np.zeros(1, np.int64))
+
+    def blocks(runs: pa.Table, first: np.ndarray) -> Iterator[pa.RecordBatch]:
+        size = (runs.column("h").to_numpy().astype(np.int64) * runs.column("w").to_numpy())[first]
+        at = 0
+        while at < len(first):
+            stop = at + max(1, int(np.searchsorted(np.cumsum(size[at:]), PACKED_PIXELS, "right")))
+            end = first[stop] if stop < len(first) else runs.num_rows
+            yield _packed(runs.slice(first[at], end - first[at]), first[at:stop] - first[at], keys)
+            at = stop
+
+    sized = runs.select(*keys, "y", "x0", "x1").join(cameras.select("capture_id", "camera_label", "w", "h"), ["capture_id", "camera_label"])
+    types = dict(runs.dtypes)
+    dealt = sized.repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(pack, ", ".join(f"{c} {types[c]}" for c in keys) + ", words array<bigint>")
 
-def _on_mask() -> Column:
-    """Whether (px, py) lies on a run of its camera's mask."""
-    return F.exists(F.get("lines", F.col("py")), lambda r: (F.col("px") >= r["x0"]) & (F.col("px") <= r["x1"]))
+
+def _masked_rig(cameras: DataFrame, runs: DataFrame, *extra: str) -> DataFrame:
+    """``cams``: the cameras of a capture (and frame, with ``extra``) that have a mask, with its bits.
+
+    One row a capture, so a splat meets one row. Its cameras are unfolded, and bits looked up, inside the
+    stage that joins: a row of the join only points at them, and no pixel of a splat is ever shuffled.
+    """
+    keys = ["capture_id", "camera_label"]
+    masked = _rig(cameras.select(*keys, *RIG_GIVEN), *keys).join(bit_masks(cameras, runs, *extra), keys)
+    return masked.groupBy("capture_id", *extra).agg(F.collect_list(F.struct(*RIG, "words")).alias("cams"))  # a rig's cameras
 
 
 def _seen(rows: DataFrame, rig: DataFrame, keys: list[str], on: list[str], min_depth: float) -> DataFrame:
-    """keys and ``fg`` of each row in each masked camera of its capture that has it in its image."""
+    """keys and ``fg`` of each row in each masked camera of its capture: null where the row is not in its image.
+
+    No filter stands behind the projection: it would be pushed below and every pixel worked out several times over.
+    """
     u, v, _ = project(F.col("x"), F.col("y"), F.col("z"), min_depth)
+    bit = F.expr("(shiftrightunsigned(get(words, cast(py * ((w + 63) div 64) + px div 64 as int)), cast(px % 64 as int)) & 1) = 1")
     return (
         rows.join(rig, on)
-        .select(*keys, truncated_pixel(u).alias("px"), truncated_pixel(v).alias("py"), "w", "h", u.alias("u"), v.alias("v"), "lines")
-        .filter("u >= 0 and v >= 0 and px < w and py < h")
-        .select(*keys, _on_mask().alias("fg"))
+        .select(*keys, "x", "y", "z", F.explode("cams").alias("cam"))
+        .select(*keys, "x", "y", "z", *(F.col(f"cam.{c}").alias(c) for c in (*RIG, "words")))
+        .select(*keys, u.alias("u"), v.alias("v"), "w", "h", "words")
+        .select(*keys, truncated_pixel(F.col("u")).alias("px"), truncated_pixel(F.col("v")).alias("py"), "u", "v", "w", "h", "words")
+        .select(*keys, F.when(F.expr("u >= 0 and v >= 0 and px < w and py < h"), bit).alias("fg"))
     )
 
 
 def _votes(seen: DataFrame, keys: list[str]) -> DataFrame:
-    return seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("tested"), F.sum((~F.col("fg")).cast("long")).alias("outside"))
+    return seen.groupBy(*keys).agg(F.count("fg").alias("tested"), F.sum((~F.col("fg")).cast("long")).alias("outside")).filter("tested > 0")
 
 
 def _inside_runs(rows: DataFrame, runs: DataFrame, keys: list[str]) -> DataFrame:
