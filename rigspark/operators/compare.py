@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions.encoding import log_transform
 from ..functions.geometry import quaternion_angle_deg, sigmoid
+from .quantiles import at_share, select_ranks
 from .rank import levelled_rank
 
 KEYS = ("x", "y", "z", "vx", "vy", "vz")
@@ -98,11 +99,9 @@ def error_table(pairs: DataFrame, fields: list[str]) -> DataFrame:
     """clip_id, field, mean_error, p99_error, max_error; opacity in linear alpha."""
     value = lambda n, c: sigmoid(F.col(f"{n}_{c}")) if c == "opacity" else F.col(f"{n}_{c}").cast("double")
     errors = F.array(*(F.struct(F.lit(c).alias("field"), F.abs(value("a", c) - value("b", c)).alias("e")) for c in fields))
-    return (
-        pairs.select("clip_id", F.explode(errors).alias("r"))
-        .groupBy("clip_id", F.col("r.field").alias("field"))
-        .agg(F.avg("r.e").alias("mean_error"), F.percentile("r.e", 0.99).alias("p99_error"), F.max("r.e").alias("max_error"))
-    )
+    long = pairs.select("clip_id", F.explode(errors).alias("r")).select("clip_id", F.col("r.field").alias("field"), F.col("r.e").alias("e"))
+    means = long.groupBy("clip_id", "field").agg(F.avg("e").alias("mean_error"), F.max("e").alias("max_error"))
+    return means.join(select_ranks(long, ["clip_id", "field"], [at_share("p99_error", "e", 0.99)]), ["clip_id", "field"])
 
 
 def judge(pairs: DataFrame, tolerances: dict[str, tuple[float | None, str]]) -> DataFrame:

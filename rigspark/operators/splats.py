@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.geometry import colour, position_at, sigmoid
+from .quantiles import at_share, select_ranks
 from .rank import levelled_rank
 
 SIZES = ("scale_0", "scale_1", "scale_2")
@@ -58,7 +59,7 @@ def keep_no_floater() -> Column:
 
 def with_dark_limit(splats: DataFrame, percentile: float = 0.75) -> DataFrame:
     """``size_limit``: the percentile of the largest size over all rows of a clip (one row a clip is joined back)."""
-    limit = splats.groupBy("clip_id").agg(F.percentile(_largest(), percentile).alias("size_limit"))
+    limit = select_ranks(splats, ["clip_id"], [at_share("size_limit", _largest(), percentile)])
     return splats.join(limit, "clip_id")
 
 
@@ -101,7 +102,7 @@ def apply_keep_list(splats: DataFrame, keep: DataFrame) -> DataFrame:
 
 def filter_radius(splats: DataFrame, points: DataFrame, radius: float) -> DataFrame:
     """Rows within ``radius`` of the per-axis median of their clip's point cloud."""
-    anchor = points.groupBy("clip_id").agg(*(F.median(a).alias(f"anchor_{a}") for a in "xyz"))
+    anchor = select_ranks(points, ["clip_id"], [at_share(f"anchor_{a}", a, 0.5) for a in "xyz"])
     square = sum(((F.col(a) - F.col(f"anchor_{a}")) * (F.col(a) - F.col(f"anchor_{a}")) for a in "xyz"), F.lit(0.0))
     return splats.join(anchor, "clip_id").filter(F.sqrt(square) <= radius).drop(*(f"anchor_{a}" for a in "xyz"))
 
@@ -149,20 +150,11 @@ def truncate_sh(splats: DataFrame, bands: int) -> DataFrame:
 def top_fraction(splats: DataFrame, fraction: float, time_min: float, time_max: float) -> DataFrame:
     """Rows whose peak alpha reaches that of the k-th largest of their clip; ties stay.
 
-    The threshold comes from counts of distinct values, summed before the shuffle, so no task ranks a clip's rows.
+    The threshold is selected in two levels, so no task ranks a clip's rows.
     """
     rows = splats.withColumn("__peak", peak_alpha(time_min, time_max))
-    values = rows.groupBy("clip_id", "__peak").agg(F.count(F.lit(1)).alias("__n"))
-    whole = values.groupBy("clip_id").agg(F.sum("__n").alias("__total"))
-    downwards = Window.partitionBy("clip_id").orderBy(F.desc("__peak"))
-    k = F.greatest(F.lit(1.0), F.least(F.rint(F.col("__total") * fraction), F.col("__total").cast("double")))
-    cut = (
-        values.withColumn("__above", F.sum("__n").over(downwards) - F.col("__n"))
-        .join(whole, "clip_id")
-        .filter(F.col("__above") < k)
-        .groupBy("clip_id")
-        .agg(F.min("__peak").alias("__cut"))
-    )
+    k = lambda n: F.greatest(F.lit(1.0), F.least(F.rint(n * fraction), n.cast("double")))
+    cut = select_ranks(rows, ["clip_id"], [("__cut", F.col("__peak"), min(max(1.0 - fraction, 0.0), 1.0), lambda n: n - k(n))])
     return rows.join(cut, "clip_id").filter(F.col("__peak") >= F.col("__cut")).drop("__peak", "__cut")
 
 
@@ -215,9 +207,6 @@ def temporal_profile(splats: DataFrame, times: list[float]) -> DataFrame:
     shares = [F.avg((alpha_at(t) > 1 / 255).cast("double")).alias(f"live_{i}") for i, t in enumerate(times)]
     size = lambda n: F.sqrt(F.col(f"{n}x") * F.col(f"{n}x") + F.col(f"{n}y") * F.col(f"{n}y") + F.col(f"{n}z") * F.col(f"{n}z"))
     speed, bend = size("v"), size("a") if {"ax", "ay", "az"} <= set(splats.columns) else None
-    return splats.groupBy("clip_id").agg(
-        *shares,
-        *(F.percentile(speed, q).alias(f"speed_p{round(100 * q)}") for q in (0.5, 0.95, 0.99)),
-        *(F.percentile("t_sigma", q).alias(f"sigma_p{round(100 * q)}") for q in (0.5, 0.95, 0.99)),
-        *(F.percentile(bend, q).alias(f"accel_p{round(100 * q)}") for q in (0.5, 0.95, 0.99) if bend is not None),
-    )
+    measures = {"speed": speed, "sigma": F.col("t_sigma")} | ({"accel": bend} if bend is not None else {})
+    ranks = [at_share(f"{name}_p{round(100 * q)}", value, q) for name, value in measures.items() for q in (0.5, 0.95, 0.99)]
+    return splats.groupBy("clip_id").agg(*shares).join(select_ranks(splats, ["clip_id"], ranks), "clip_id")
