@@ -104,28 +104,6 @@ def error_table(pairs: DataFrame, fields: list[str]) -> DataFrame:
     return means.join(select_ranks(long, ["clip_id", "field"], [at_share("p99_error", "e", 0.99)]), ["clip_id", "field"])
 
 
-def judge(pairs: DataFrame, tolerances: dict[str, tuple[float | None, str]]) -> DataFrame:
-    """clip_id, field, share over tolerance, verdict. ``tolerances``: field to (tolerance, 'split16' or 'codebook')."""
-    out = []
-    for c, (tolerance, kind) in tolerances.items():
-        error = F.abs(F.col(f"a_{c}").cast("double") - F.col(f"b_{c}").cast("double"))
-        over = F.lit(0.0) if tolerance is None else (error > 1.001 * tolerance + 1e-9).cast("double")
-        allowed = 0.01 if kind == "codebook" else 0.0
-        out.append((c, over, tolerance is None, allowed))
-    table = pairs.groupBy("clip_id").agg(*(F.avg(o).alias(c) for c, o, *_ in out))
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(c).alias("field"),
-                F.col(c).alias("over_share"),
-                F.lit("advisory").alias("verdict") if free else F.when(F.col(c) <= allowed, "pass").otherwise("fail").alias("verdict"),
-            )
-            for c, _, free, allowed in out
-        )
-    )
-    return table.select("clip_id", F.explode(rows).alias("r")).select("clip_id", "r.*")
-
-
 def split16_tolerance(value: Column, mn: Column, mx: Column) -> Column:
     """What a split value may be off by, at its own size: one step of the log axis, and some rounding where the axis has no width."""
     return (mx - mn) / 65535.0 * (1.0 + F.abs(value)) + 1e-6 * F.abs(value) + 1e-9

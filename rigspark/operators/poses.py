@@ -158,14 +158,18 @@ def _turn(w: np.ndarray) -> np.ndarray:
     return np.eye(3) + k if a < 1e-12 else np.eye(3) + np.sin(a) / a * k + (1 - np.cos(a)) / (a * a) * k @ k
 
 
+#: Points that are eliminated together, in expectation, and pairs of their observations multiplied at once.
+POINTS, PAIRS = 500, 100_000
+
+
 def refine_poses(observations: DataFrame, cameras: DataFrame, points: DataFrame, rounds: int = 20, huber_px: float = 20.0, face_weight: float = 1.0, face: tuple[tuple[int, int], ...] = ((0, 4), (69, 307))) -> tuple[DataFrame, DataFrame]:
     """Poses (capture_id, camera_label, w2c) and points after Huber bundle adjustment with fixed intrinsics.
 
     Each component of a residual goes through the Huber transform before its weight, and the cost is the sum of
     squares of what comes out. A step that raises it is taken back and tried again with more damping.
 
-    Each round is Levenberg-Marquardt on the Schur complement: observations give 6x6, 6x3 and 3x3 blocks, a
-    point's blocks are eliminated in the group of its own observations, and the 6C x 6C sums of a capture
+    Each round is Levenberg-Marquardt on the Schur complement: observations give 6x6, 6x3 and 3x3 blocks, points are
+    eliminated ``POINTS`` at a time with all their observations at once, and the 6C x 6C sums of a capture
     are reduced by Spark and solved in the group of the capture, whose cameras are tens. Poses and points are
     rewritten by joins; nothing is collected but one cost a round.
     """
@@ -179,6 +183,8 @@ def refine_poses(observations: DataFrame, cameras: DataFrame, points: DataFrame,
         is_face = is_face | F.col("kp_idx").between(a, b)
     weighted = observations.withColumn("wt", F.sqrt(F.when(is_face, F.lit(face_weight)).otherwise(1.0) * F.col("score")))
     keys = ["capture_id", "tem", "kp_idx"]
+    parts = points.groupBy("capture_id").agg(F.ceil(F.count(F.lit(1)) / POINTS).alias("__parts"))
+    weighted = weighted.join(parts, "capture_id").withColumn("part", F.pmod(F.xxhash64("tem", "kp_idx"), F.col("__parts"))).drop("__parts")
     pts, damp, last, before, again = points.select(*keys, "x", "y", "z"), 1e-3, None, None, False
     reduced_schema = "capture_id long, cam_a string, cam_b string, block array<double>, side array<double>, cost double"
 
@@ -200,30 +206,41 @@ def refine_poses(observations: DataFrame, cameras: DataFrame, points: DataFrame,
         skew -= skew.transpose(0, 2, 1)
         a = np.concatenate((-jc @ skew, jc), axis=2) * slope[:, :, None]
         b = (jc @ r) * slope[:, :, None]
-        v = np.einsum("nki,nkj->ij", b, b)
-        v += lam * np.diag(np.maximum(np.diag(v), 1e-9))
-        return a, b, res, np.linalg.inv(v), np.einsum("nki,nk->i", b, res)
+        of = pdf.groupby(keys[1:]).ngroup().to_numpy()
+        v, g = np.zeros((of.max() + 1, 3, 3)), np.zeros((of.max() + 1, 3))
+        np.add.at(v, of, np.einsum("nki,nkj->nij", b, b))
+        np.add.at(g, of, np.einsum("nki,nk->ni", b, res))
+        at = np.arange(3)
+        v[:, at, at] += lam * np.maximum(v[:, at, at], 1e-9)
+        return a, res, np.einsum("nki,nkj->nij", a, b), of, np.linalg.inv(v), g
 
     for k in range(rounds + 1):  # the last one only judges the step before
         lam = damp  # each round is run before it changes
-        joined = weighted.join(pts, keys).join(F.broadcast(rig), ["capture_id", "camera_label"])  # tens of rows a capture
+        joined = weighted.join(pts, keys).join(rig, ["capture_id", "camera_label"])
 
         def eliminate(pdf: pd.DataFrame) -> pd.DataFrame:
-            a, b, res, vi, g = blocks(pdf, lam)
-            w = np.einsum("nki,nkj->nij", a, b)
-            out, names = [], pdf["camera_label"].tolist()
-            cost = float((res**2).sum())
-            for i, ca in enumerate(names):
-                for j, cb in enumerate(names):
-                    m = -w[i] @ vi @ w[j].T
-                    side = np.zeros(6)
-                    if i == j:
-                        m = m + a[i].T @ a[i]
-                        side = a[i].T @ res[i] - w[i] @ vi @ g
-                    out.append((pdf["capture_id"].iloc[0], ca, cb, m.ravel().tolist(), side.tolist(), cost if i == j == 0 else 0.0))
-            return pd.DataFrame(out, columns=["capture_id", "cam_a", "cam_b", "block", "side", "cost"])
-
-        sums = joined.groupBy(*keys).applyInPandas(eliminate, reduced_schema)
+            a, res, w, of, vi, g = blocks(pdf, lam)
+            names, cam = np.unique(pdf["camera_label"].to_numpy(str), return_inverse=True)
+            order = np.argsort(of, kind="stable")
+            number = np.bincount(of)
+            first = np.cumsum(number) - number
+            solved = w @ vi[of]
+            whole, side = np.zeros((len(names) ** 2, 6, 6)), np.zeros((len(names), 6))
+            np.add.at(whole, cam * len(names) + cam, np.einsum("nki,nkj->nij", a, a))
+            np.add.at(side, cam, np.einsum("nki,nk->ni", a, res) - np.einsum("nij,nj->ni", solved, g[of]))
+            row = np.repeat(np.arange(len(of)), number[of])
+            col = order[np.repeat(first[of] - np.cumsum(number[of]) + number[of], number[of]) + np.arange(len(row))]
+            for start in range(0, len(row), PAIRS):
+                i, j = row[start : start + PAIRS], col[start : start + PAIRS]
+                np.subtract.at(whole, cam[i] * len(names) + cam[j], solved[i] @ w[j].transpose(0, 2, 1))
+            met = np.unique(cam[row] * len(names) + cam[col])
+            i, j = met // len(names), met % len(names)
+            return pd.DataFrame(
+                {"capture_id": pdf["capture_id"].iloc[0], "cam_a": names[i], "cam_b": names[j], "block": whole[met].reshape(-1, 36).tolist(),
+                 "side": np.where((i == j)[:, None], side[i], 0.0).tolist(), "cost": np.where(np.arange(len(met)) == 0, (res**2).sum(), 0.0)}
+            )
+
+        sums = joined.groupBy("capture_id", "part").applyInPandas(eliminate, reduced_schema)
         summed = cut(
             sums.groupBy("capture_id", "cam_a", "cam_b").agg(
                 F.array(*(F.sum(F.col("block")[i]) for i in range(36))).alias("block"), F.array(*(F.sum(F.col("side")[i]) for i in range(6))).alias("side"), F.sum("cost").alias("cost")
@@ -253,13 +270,14 @@ def refine_poses(observations: DataFrame, cameras: DataFrame, points: DataFrame,
         steps = cut(summed.groupBy("capture_id").applyInPandas(solve, "capture_id long, camera_label string, step array<double>"))
 
         def move_points(pdf: pd.DataFrame) -> pd.DataFrame:
-            a, b, res, vi, g = blocks(pdf, lam)
-            w = np.einsum("nki,nkj->nij", a, b)
-            back = np.einsum("nij,ni->j", w, np.stack(pdf["step"].to_numpy()))
-            p = pdf[["x", "y", "z"]].iloc[0].to_numpy() - vi @ (g + back)
-            return pd.DataFrame([(*(pdf[k].iloc[0] for k in keys), *p)], columns=[*keys, "x", "y", "z"])
-
-        moved = joined.join(F.broadcast(steps), ["capture_id", "camera_label"]).groupBy(*keys).applyInPandas(move_points, "capture_id long, tem string, kp_idx int, x double, y double, z double")
+            _, _, w, of, vi, g = blocks(pdf, lam)
+            back = g.copy()
+            np.add.at(back, of, np.einsum("nij,ni->nj", w, np.stack(pdf["step"].to_numpy())))
+            one = pdf.assign(__of=of).drop_duplicates("__of").sort_values("__of")
+            placed = one[["x", "y", "z"]].to_numpy() - np.einsum("nij,nj->ni", vi, back)
+            return one[keys].assign(x=placed[:, 0], y=placed[:, 1], z=placed[:, 2])
+
+        moved = joined.join(steps, ["capture_id", "camera_label"]).groupBy("capture_id", "part").applyInPandas(move_points, "capture_id long, tem string, kp_idx int, x double, y double, z double")
 
         def move_cameras(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:

@@ -61,6 +61,12 @@ SELECT p.capture_id, tem, kp_idx, camera_label, {_U} + ((kp_idx * 7 + n_nationke
 FROM ({POINTS}) AS p JOIN (SELECT capture_id AS rig_capture, n_nationkey, camera_label, c, s, tx, tz FROM ({RIG}) AS r) AS rig
   ON capture_id = rig_capture AND {_D} > 1e-6 AND {_U} >= 0 AND {_U} < 96 AND {_V} >= 0 AND {_V} < 64"""
 
+#: The same without noise or outliers.
+EXACT = f"""
+SELECT p.capture_id, tem, kp_idx, camera_label, {_U} AS u, {_V} AS v, (kp_idx % 10) / 1e1 + 5e-2 AS score
+FROM ({POINTS}) AS p JOIN (SELECT capture_id AS rig_capture, n_nationkey, camera_label, c, s, tx, tz FROM ({RIG}) AS r) AS rig
+  ON capture_id = rig_capture AND {_D} > 1e-6 AND {_U} >= 0 AND {_U} < 96 AND {_V} >= 0 AND {_V} < 64"""
+
 ENVELOPES = """
 SELECT CAST(user_id % 3 AS BIGINT) AS capture_id, event_type AS camera, CAST(@HOUR@ AS INT) AS i, CAST(count(*) AS DOUBLE) AS value
 FROM events GROUP BY user_id % 3, event_type, @HOUR@"""

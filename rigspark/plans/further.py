@@ -277,13 +277,14 @@ def _(spark, d):
 
 @query(
     "ambiguous_keys",
-    "SELECT clip_id, grp, count(*) AS n FROM (SELECT clip_id, grp, row_number() OVER (PARTITION BY clip_id, grp, k_x, k_y, k_z ORDER BY splat_id) AS k FROM keyed) WHERE k > 1 GROUP BY clip_id, grp",
+    "SELECT clip_id, grp, count(*) AS n FROM (SELECT clip_id, grp, row_number() OVER (PARTITION BY clip_id, grp, k_x >> 12, k_y >> 12, k_z >> 12 ORDER BY splat_id) AS k FROM keyed) WHERE k > 1 GROUP BY clip_id, grp",
     splats=X.SPLATS, keyed=Q._KEY_TABLE,
 )
 def _(spark, d):
     s = X.splats(spark, d)
     keyed = compare.integer_keys(temporal.with_group(s, T0, T1, STEP), quantize.axis_ranges(s))
-    still = keyed.withColumns({f"k_v{a}": F.lit(0) for a in "xyz"})
+    # coarse keys without motion, so that there are ties
+    still = keyed.withColumns({f"k_{a}": F.shiftright(f"k_{a}", 12) for a in "xyz"} | {f"k_v{a}": F.lit(0) for a in "xyz"})
     return compare.ambiguous(still).groupBy("clip_id", "grp").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -784,20 +785,30 @@ def _(spark, d):
     return back.select(F.col("clip_id").cast("long").alias("clip_id"), "splat_id", *((F.round(c, 6) + 0.0).alias(c) for c in ("x", "opacity")))
 
 
-@query(
+_COMPARED = {"opacity": Q._ERROR_OF["opacity"], "scale_1": "CASE WHEN splat_id % 47 = 0 THEN 3e-1 ELSE 0e0 END"}
+_SCORED = ("x", "y", "z", "vx", "vy", "vz", "scale_0", "scale_1", "scale_2", "f_dc_0", "f_dc_1", "f_dc_2", "t_center", "t_sigma", "opacity")
+
+
+@query(  # every table of the job but weights and rotations, in one
     "compare_job",
-    f"""SELECT clip_id, field, round(avg(e), 6) AS mean_error, round(max(e), 6) AS max_error FROM (SELECT clip_id, unnest(['opacity', 't_sigma', 'y']) AS field, unnest([{Q._ERROR_OF['opacity']}, {Q._ERROR_OF['t_sigma']}, 0e0]) AS e FROM splats) GROUP BY clip_id, field""",
+    " UNION ALL ".join(f"SELECT 'errors' AS part, clip_id, '{c}' AS name, round(avg({_COMPARED.get(c, '0e0')}), 6) AS value, round(max({_COMPARED.get(c, '0e0')}), 6) AS most FROM splats GROUP BY clip_id" for c in _SCORED)
+    + """ UNION ALL SELECT 'displaced', clip_id, '', 0e0, 0e0 FROM splats GROUP BY clip_id
+    UNION ALL SELECT 'fields', clip_id, 'opacity', NULL, NULL FROM splats GROUP BY clip_id UNION ALL SELECT 'fields', clip_id, 'x', 0e0, NULL FROM splats GROUP BY clip_id
+    UNION ALL SELECT 'presence', NULL, 'f_rest', 0e0, NULL WHERE (SELECT count(*) FROM splats) > 0
+    UNION ALL SELECT 'counts', 9, '', (SELECT count(*) FROM splats WHERE clip_id = 3), 0e0""",
     splats=X.SPLATS,
 )
 def _(spark, d):
     a = X.splats(spark, d)
-    b = Q._two_sides(spark, d)[1].select(*(c for c in a.columns if c not in ("x", "rot_0", "rot_1", "rot_2", "rot_3")))
-    b = b.join(a.select("clip_id", "splat_id", "x", *(f"rot_{i}" for i in range(4))), ["clip_id", "splat_id"])
-    ranges = quantize.axis_ranges(a)
-    # persistence must not change with the durations of side b, or its rows would change group
-    group = temporal.with_group(a, T0, T1, STEP).select("clip_id", "splat_id", "grp")
-    fields = ["opacity", "t_sigma", "y"]
-    side = lambda df: compare.integer_keys(df.join(group, ["clip_id", "splat_id"]), ranges)
-    pairs = compare.repair_pairs(compare.pair_splats(side(a), side(b), ["splat_id", "x", "y", "z", "opacity", "t_sigma", *(f"k_{c}" for c in compare.KEYS)]))
-    out = compare.error_table(pairs.filter("a_splat_id = b_splat_id"), fields)
-    return out.select("clip_id", "field", *(F.round(c, 6).alias(c) for c in ("mean_error", "max_error")))
+    b = a.withColumns({"opacity": F.col("opacity") + F.when(F.col("splat_id") % 5 == 0, 0.5).otherwise(0.0), "scale_1": F.col("scale_1") + F.when(F.col("splat_id") % 47 == 0, 0.3).otherwise(0.0)})
+    b = b.withColumn("f_rest", F.array("y"))
+    only_a = a.filter("clip_id = 3").withColumn("clip_id", F.lit(9).cast("long"))  # a clip that side b lacks
+    ranges = quantize.axis_ranges(a.unionByName(only_a))
+    out = jobs.compare_job(a.unionByName(only_a), b, ranges, T0, T1, STEP, [(ranges, None)])
+    none = F.lit(None).cast("double")
+    row = lambda df, part, name, value, most: df.select(F.lit(part).alias("part"), F.col("clip_id").cast("long").alias("clip_id"), name.alias("name"), value.cast("double").alias("value"), most.cast("double").alias("most"))
+    said = row(out["errors"], "errors", F.col("field"), F.round("mean_error", 6), F.round("max_error", 6))
+    said = said.union(row(out["displaced"], "displaced", F.lit(""), F.col("displaced"), F.lit(0.0)))
+    said = said.union(row(out["fields"].filter("field in ('opacity', 'x')"), "fields", F.col("field"), F.round("over_share", 6), none))
+    said = said.union(row(out["presence"].filter("field = 'f_rest'").withColumn("clip_id", F.lit(None)), "presence", F.col("field"), F.lit(0.0), none))
+    return said.union(row(out["counts"], "counts", F.lit(""), F.col("n_a"), F.coalesce("n_b", F.lit(0))))

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import normalised_quaternion
 from ..operators import cameras, compare, components, dataset, evaluate, poses, quantize, splats, sync, temporal, validate
+from ..operators.scratch import cut
 
 
 def sync_job(clips: DataFrame, media: DataFrame, reference: DataFrame, rate: int = 16_000) -> tuple[DataFrame, DataFrame]:
     """Offsets of every camera, and the violations among them. ``media``: capture_id, camera, fps; ``clips`` share one ``rate``."""
-    pairs = sync.full_rate_pairs(clips, rate)
+    pairs = cut(sync.full_rate_pairs(clips, rate))  # correlated once, read by every step below
     offsets = sync.offset_table(pairs, sync.offset_lsq(pairs, reference), reference, media)
     return offsets, validate.validate_sync(offsets, media.select("capture_id", "camera"))
 
@@ -104,7 +105,7 @@ def compare_job(a: DataFrame, b: DataFrame, ranges: DataFrame, time_min: float,
     fields = ["splat_id", *scored, *(f"rot_{i}" for i in range(4)), *rest, *(f"k_{c}" for c in compare.KEYS)]
     pairs = compare.pair_splats(side(a), side(b), fields)
     table = lambda df: temporal.segment_table(df, time_min, time_max, duration)
-    fixed = compare.repair_pairs(pairs)
+    fixed = cut(compare.repair_pairs(pairs))  # every table below reads the pairs
     out = {
         "counts": compare.count_differences(a, b),
         "presence": compare.field_presence(a, b, ["ax", "ay", "az"], ["f_rest"]),

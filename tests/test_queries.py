@@ -36,3 +36,16 @@ def test_equal_to_sql(spark, duck, sf_dir, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
+
+
+@pytest.mark.parametrize("name, column", [("membership", None), ("ambiguous_keys", None), ("judge_fields", "verdict"), ("displaced", None), ("compare_job", "part")])
+def test_defects_really_occur(spark, sf_dir, name, column):
+    """Queries on planted defects have rows, and where they judge, rows of every verdict."""
+    rows = QUERIES[name](spark, sf_dir).collect()
+    assert rows
+    if column == "verdict":
+        assert {r.verdict for r in rows if r.field == "scale_1"} == {"pass", "fail"} and {r.verdict for r in rows} == {"pass", "fail", "advisory"}
+    elif column:
+        assert {r[column] for r in rows} == {"errors", "displaced", "fields", "presence", "counts"}
+    elif name == "displaced":
+        assert sum(r.displaced for r in rows) > 0
