@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import encoding as E
-from .scratch import cut
+from .blocks import SortedBlocks, leading
+from .scratch import MOST_NUMBERS, cut
 
 GROUPS = {"means": ("x", "y", "z"), "motion": ("vx", "vy", "vz"), "accel": ("ax", "ay", "az")}
 CODEBOOKS = {"scale": ("scale_0", "scale_1", "scale_2"), "dc": ("f_dc_0", "f_dc_1", "f_dc_2"), "t_center": ("t_center",), "t_sigma": ("t_sigma",)}
@@ -45,56 +46,46 @@ def distinct_values(df: DataFrame, columns: tuple[str, ...], log_domain: bool =
 
 
 def assign_codebook(df: DataFrame, value: str, codebook: DataFrame, into: str, keys: tuple[str, ...] = ("clip_id",)) -> DataFrame:
-    """``into``: the index of the nearest entry, the lower one at a mid-point. ``codebook`` (keys, idx, value) is sorted and short."""
+    """``into``: the index of the nearest entry, the lower one at a mid-point, found by halving. ``codebook`` (keys, idx, value) is sorted, with at most 65,536 entries."""
     nearest = Window.partitionBy(*keys).orderBy("idx")
     edges = (
         codebook.withColumn("__edge", (F.col("value") + F.lag("value").over(nearest)) / 2.0)
         .groupBy(*keys)
         .agg(F.array_sort(F.collect_list("__edge")).alias("__edges"))  # a codebook of 256
     )
-    index = F.size(F.filter("__edges", lambda e: e < F.col(value))).cast("short")
-    return df.join(F.broadcast(edges), list(keys), "left").withColumn(into, index).drop("__edges")
+    index = F.when(F.col("__edges").isNotNull(), leading(F.col("__edges"), lambda e: e < F.col(value), 65_535))
+    return df.join(F.broadcast(edges), list(keys), "left").withColumn(into, index.cast("short")).drop("__edges")
 
 
 def kmeans_1d(values: DataFrame, k: int = 256, rounds: int = 16, keys: tuple[str, ...] = ("clip_id",)) -> DataFrame:
     """(keys, idx, value): Lloyd's rounds from quantiles over (keys, value, n), for all keys at once.
 
-    Quantiles are interpolated between weighted ranks of the distinct values, which are counted in two levels. A
-    round assigns values to the entries by edges and sums them; empty entries stay; entries are sorted again. The
-    codebook is a table of k rows a clip throughout, cut from its lineage in each round; only the number of
-    entries that still move comes to the driver.
+    Values are sorted once, in blocks with running counts and sums. The first entries are interpolated between the
+    values of two ranks. A round looks up count and sum below each of its k edges, so it works on k rows a group and
+    the blocks they fall into, not on the values; empty entries stay; entries are sorted again. Sums are differences of running
+    sums, so a mean is off by at most about 2^-52 of the largest value times the values a group has for each of the
+    entry's own. Only the number of entries that still move comes to the driver. Rows without key or value do not
+    count; a group without values has no codebook.
     """
-    values = cut(values.select(*keys, F.col("value").cast("double").alias("value"), "n"))
-    box = values.groupBy(*keys).agg(F.min("value").alias("__lo"), F.max("value").alias("__hi"), F.sum("n").alias("__total"))
-    part = F.floor((F.col("value") - F.col("__lo")) / F.greatest(F.col("__hi") - F.col("__lo"), F.lit(1e-300)) * 1023)
-    dealt = values.join(F.broadcast(box), list(keys)).withColumn("__part", part)  # one row a clip
-    parts = dealt.groupBy(*keys, "__part").agg(F.sum("n").alias("__in"))
-    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(*keys, "__part", F.coalesce(F.sum("__in").over(before), F.lit(0)).alias("__start"))
-    inside = Window.partitionBy(*keys, "__part").orderBy("value")
-    ranked = dealt.join(parts, [*keys, "__part"]).select(
-        *keys, "value", (F.col("__start") + F.sum("n").over(inside) - F.col("n")).alias("__from"), (F.col("__start") + F.sum("n").over(inside)).alias("__upto")
-    )
-    place = F.col("idx") * (F.col("__total") - 1) / F.lit(max(k - 1, 1))
-    probe = box.select(*keys, "__total", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("idx")).withColumn("__at", place)
-    ends = probe.select(*keys, "idx", "__at", F.explode(F.array(F.floor("__at"), F.ceil("__at"))).alias("__rank"))
-    found = ranked.join(F.broadcast(ends), list(keys)).filter((F.col("__from") <= F.col("__rank")) & (F.col("__rank") < F.col("__upto")))
-    share = F.col("__at") - F.floor("__at")
-    book = found.groupBy(*keys, "idx").agg(
-        (F.min("value") + F.max(share) * (F.max("value") - F.min("value")) + F.max("idx") * F.lit(1e-12)).alias("value")
-    )
-    book = cut(book)
-    order = Window.partitionBy(*keys).orderBy("value", "idx")  # a codebook
+    own = list(keys)
+    store = SortedBlocks(values, own)
+    at_once = store.totals.count() * k * 2 <= MOST_NUMBERS
+    place = F.col("idx") * (F.col("total") - 1) / F.lit(max(k - 1, 1))
+    wanted = store.totals.select(*own, "total", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("idx")).select(*own, "idx", place.alias("place"))
+    ranks = wanted.select(*own, "idx", F.explode(F.array_distinct(F.array(F.floor("place"), F.ceil("place")))).alias("at"))
+    ends = store.at_rank(ranks, at_once).groupBy(*own, "idx").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    start = F.col("low") + (F.col("place") - F.floor("place")) * (F.col("high") - F.col("low")) + F.col("idx") * F.lit(1e-12)
+    book = cut(wanted.join(ends, [*own, "idx"]).select(*own, "idx", start.alias("value")))
+    upwards, order = Window.partitionBy(*own).orderBy("idx"), Window.partitionBy(*own).orderBy("value", "idx")  # a codebook
     for _ in range(rounds):
-        sums = (
-            assign_codebook(values.withColumnRenamed("value", "v"), "v", book, "idx", keys)
-            .groupBy(*keys, F.col("idx").cast("int").alias("idx"))
-            .agg((F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"))
-        )
-        moved = book.join(sums, [*keys, "idx"], "left").withColumn("went", F.coalesce("mean", "value") != F.col("value"))
-        after = cut(moved.select(*keys, "idx", F.coalesce("mean", "value").alias("value"), "went"))
+        edge = F.coalesce((F.col("value") + F.lead("value").over(upwards)) / 2.0, F.lit(float("inf")))
+        below = store.upto(book.select(*own, "idx", edge.alias("at")), at_once)
+        within = {c: F.coalesce(c, F.lit(0)) - F.coalesce(F.lag(c).over(upwards), F.lit(0)) for c in ("n", "s")}
+        sums = book.join(below, [*own, "idx"], "left").select(*own, "idx", "value", *(e.alias(c) for c, e in within.items()))
+        mean = F.when(F.col("n") > 0, F.col("s") / F.col("n")).otherwise(F.col("value"))
+        after = cut(sums.select(*own, "idx", mean.alias("value"), (mean != F.col("value")).alias("went")))
         still = after.filter("went").limit(1).count()
-        book = after.withColumn("idx", (F.row_number().over(order) - 1).cast("int")).select(*keys, "idx", "value")
+        book = after.withColumn("idx", (F.row_number().over(order) - 1).cast("int")).select(*own, "idx", "value")
         if not still:
             break
     return cut(book)

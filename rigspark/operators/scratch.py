@@ -5,6 +5,10 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Numbers that a broadcast table may hold.
+MOST_NUMBERS = 1 << 22
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,3 +27,9 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` checkpointed in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def small(df: DataFrame, width: int) -> DataFrame:
+    """``df`` checkpointed, and broadcast only where its counted rows of ``width`` numbers stay below the bound."""
+    kept = cut(df)
+    return F.broadcast(kept) if kept.count() * width <= MOST_NUMBERS else kept
