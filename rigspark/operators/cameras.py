@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from ..functions.geometry import alpha_at, determinant3, project, rounded_pixel, sigmoid, truncated_pixel, with_world_to_camera
 from ..functions.text import camera_label, file_stem, trailing_id
 from .quantiles import at_share, select_ranks
+from .scratch import cut
 
 RIG = ("fl_x", "fl_y", "cx", "cy", "w", "h", *(f"r{i}{j}" for i in range(3) for j in range(3)), "tx", "ty", "tz")
 
@@ -224,12 +225,22 @@ def drop_by_lifetime(splats: DataFrame, views: DataFrame, runs: DataFrame, times
 
 def hull_votes(points: DataFrame, cameras: DataFrame, runs: DataFrame, min_views: int, min_depth: float = 0.05, by: tuple[str, ...] = ()) -> DataFrame:
     """Candidate points (capture_id, point_id and ``by``, such as frame_idx) that at least ``min_views`` masks of their capture see inside, with their votes."""
+    return votes_in_rig(points, _masked_rig(cameras, runs, *by), min_views, min_depth, by)
+
+
+def votes_in_rig(points: DataFrame, rig: DataFrame, min_views: int, min_depth: float = 0.05, by: tuple[str, ...] = ()) -> DataFrame:
+    """``hull_votes`` on a rig whose masks are packed already (``packed_rig``)."""
     keys = ["capture_id", *by, "point_id"]
-    seen = _seen(points.select(*keys, "x", "y", "z"), _masked_rig(cameras, runs, *by), keys, ["capture_id", *by], min_depth)
+    seen = _seen(points.select(*keys, "x", "y", "z"), rig, keys, ["capture_id", *by], min_depth)
     votes = seen.groupBy(*keys).agg(F.sum(F.col("fg").cast("long")).alias("votes"))
     return points.join(votes.filter(F.col("votes") >= min_views), keys)
 
 
+def packed_rig(cameras: DataFrame, runs: DataFrame, *by: str) -> DataFrame:
+    """One row a capture (and ``by``) with its cameras and their packed masks, written once for loops that vote again and again."""
+    return cut(_masked_rig(cameras, runs, *by))
+
+
 def mask_coverage(runs: DataFrame, images: DataFrame) -> DataFrame:
     """Share of foreground pixels by capture and camera; ``images`` has their w and h, also where a mask is empty."""
     keys = ["capture_id", "camera_label"]

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.geometry import truncated_pixel
-from .cameras import hull_votes, project_points
+from .cameras import hull_votes, packed_rig, project_points, votes_in_rig
+from .scratch import cut
 
 
 def drop_held_frames(frames: DataFrame) -> DataFrame:
@@ -34,36 +35,61 @@ def hull_bbox(points: DataFrame, least: int = 100) -> DataFrame:
     return box.select("capture_id", "n", *sides, F.when(F.col("n") < least, "too few points").alias("error"))
 
 
-def unit_hash(seed: int, *columns: str) -> Column:
-    """A uniform number of [0, 1) that depends on nothing but its arguments, so that a lost task repeats it."""
-    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 31)) / float(1 << 31)
+#: Numbers below one are whole multiples of 1 / UNIT, so that their products with table values stay exact.
+UNIT = 1 << 31
+#: Steps of an evenly spread sequence in three dimensions: powers of the inverse of the root of g^4 = g + 1.
+STEPS = tuple(round(UNIT / 1.2207440846057596**k) for k in (1, 2, 3))
 
 
-def candidates(boxes: DataFrame, frames: DataFrame, n: int, batches: int = 8) -> DataFrame:
-    """capture_id, frame_idx, point_id, x, y, z: ``batches`` times 4n uniform points in the box of each capture, for each of its frames."""
-    rows = frames.select("capture_id", "frame_idx").distinct().join(boxes, "capture_id")
-    rows = rows.withColumn("point_id", F.explode(F.sequence(F.lit(0), F.lit(batches * 4 * n - 1))))
-    at = {a: F.col(f"min_{a}") + unit_hash(i, "capture_id", "frame_idx", "point_id") * (F.col(f"max_{a}") - F.col(f"min_{a}")) for i, a in enumerate("xyz")}
-    return rows.select("capture_id", "frame_idx", "point_id", *(e.alias(a) for a, e in at.items()))
+def spread(axis: int, *columns: str) -> Column:
+    """The coordinate (in [0, 1)) of a point of an evenly spread sequence; its first column is the point's number, each other one moves the whole sequence.
+
+    It depends on nothing but its arguments, so that a lost task repeats it, and fills a box with smaller gaps than independent draws.
+    """
+    moved = [F.pmod(F.pmod(F.col(c).cast("long"), F.lit(UNIT)) * F.lit(STEPS[(axis + i) % 3]), F.lit(UNIT)) for i, c in enumerate(columns)]
+    return F.pmod(sum(moved[1:], moved[0]), F.lit(UNIT)) / float(UNIT)
+
+
+def candidates(boxes: DataFrame, frames: DataFrame, first: int, upto: int) -> DataFrame:
+    """The columns of ``frames`` and point_id, x, y, z: points ``first`` to ``upto`` - 1 of a sequence in the box of each capture, for each of its frames."""
+    rows = frames.join(boxes.select("capture_id", *(f"{n}_{a}" for a in "xyz" for n in ("min", "max"))), "capture_id")
+    rows = rows.withColumn("point_id", F.explode(F.sequence(F.lit(first), F.lit(upto - 1))))
+    at = {a: F.col(f"min_{a}") + spread(i, "point_id", "frame_idx", "capture_id") * (F.col(f"max_{a}") - F.col(f"min_{a}")) for i, a in enumerate("xyz")}
+    return rows.select(*frames.columns, "point_id", *(e.alias(a) for a, e in at.items()))
 
 
 def carve_hull(boxes: DataFrame, cameras: DataFrame, runs: DataFrame, n: int, min_views: int, batches: int = 8) -> DataFrame:
-    """The first ``n`` candidates of each frame that ``min_views`` masks hold, of ``batches`` times 4n uniform ones.
+    """The first ``n`` candidates of each frame that ``min_views`` masks hold, of at most ``batches`` times 4n.
 
     ``boxes`` has one row a capture (min_x .. max_z), ``runs`` also frame_idx; a frame's candidates meet its own
-    masks only. All frames of all captures are one plan; the window of a frame sees at most its candidates.
+    masks only, which are packed once. A batch of 4n candidates is tried for all frames of all captures at once, the
+    next one only for frames that are still short; how many they are is all that comes to the driver. Frames whose
+    masks hold nothing end without points.
     """
-    kept = hull_votes(candidates(boxes, runs, n, batches), cameras, runs, min_views, by=("frame_idx",))
-    first = Window.partitionBy("capture_id", "frame_idx").orderBy("point_id")
-    return kept.withColumn("__k", F.row_number().over(first)).filter(F.col("__k") <= n).drop("__k")
+    keys = ["capture_id", "frame_idx"]
+    rig = packed_rig(cameras, runs, "frame_idx")
+    boxes = cut(boxes)
+    short = rig.select(*keys).join(boxes, "capture_id", "left_semi").withColumn("have", F.lit(0).cast("long"))
+    in_order = Window.partitionBy(*keys).orderBy("point_id")  # a batch of one frame
+    points = None
+    for batch in range(batches):
+        kept = votes_in_rig(candidates(boxes, short, batch * 4 * n, (batch + 1) * 4 * n), rig, min_views, by=("frame_idx",))
+        taken = cut(kept.withColumn("k", F.col("have") + F.row_number().over(in_order)).filter(F.col("k") <= n).drop("k", "have"))
+        points = taken if points is None else points.unionByName(taken)
+        more = taken.groupBy(*keys).agg(F.count(F.lit(1)).alias("more"))
+        short = short.join(more, keys, "left").select(*keys, (F.col("have") + F.coalesce("more", F.lit(0))).alias("have"))
+        short = cut(short.filter(F.col("have") < n))
+        if not short.count():
+            break
+    return points
 
 
 def find_bbox(cameras: DataFrame, runs: DataFrame, min_views: int, n: int = 500_000) -> DataFrame:
     """The padded box of the hull of each capture's middle frame, found among ``n`` candidates in the search box around its cameras."""
     frames = runs.select("capture_id", "frame_idx").distinct().groupBy("capture_id").agg(F.sort_array(F.collect_set("frame_idx")).alias("all"))
     middle = frames.select("capture_id", F.get("all", F.floor(F.size("all") / 2).cast("int")).alias("frame_idx"))
-    own = runs.join(F.broadcast(middle), ["capture_id", "frame_idx"], "left_semi")  # one row a capture
-    tried = candidates(search_box(cameras), middle, -(-n // 4), 1)
+    own = runs.join(middle, ["capture_id", "frame_idx"], "left_semi")
+    tried = candidates(search_box(cameras), middle, 0, n)
     return hull_bbox(hull_votes(tried, cameras, own, min_views, by=("frame_idx",)))
 
 

@@ -1,3 +1,3 @@
 """Jobs, domain tables and registered queries."""
 
-from . import further, planted, queries  # noqa: F401  (each registers its queries)
+from . import further, hulls, planted, queries  # noqa: F401  (each registers its queries)
