@@ -14,7 +14,7 @@ from ..operators import cameras as C
 from ..operators import compare, dataset, evaluate, poses, quantize, sync, temporal, validate
 from ..operators import splats as S
 from ..operators.scratch import shared_dir
-from ..sources import tables
+from ..sources import ply, tables
 from . import fixtures as X
 from . import jobs
 from . import queries as Q
@@ -839,3 +839,31 @@ def _(spark, d):
     said = said.union(row(out["fields"].filter("field in ('opacity', 'x')"), "fields", F.col("field"), F.round("over_share", 6), none))
     said = said.union(row(out["presence"].filter("field = 'f_rest'").withColumn("clip_id", F.lit(None)), "presence", F.col("field"), F.lit(0.0), none))
     return said.union(row(out["counts"], "counts", F.lit(""), F.col("n_a"), F.coalesce("n_b", F.lit(0))))
+
+
+_STORED = ("clip_id", "x", "opacity", "t_center")
+
+
+@query("ply_written", "SELECT CAST(clip_id AS BIGINT) AS clip_id, CAST(CAST(x AS FLOAT) AS DOUBLE) AS x, CAST(CAST(opacity AS FLOAT) AS DOUBLE) AS opacity, count(*) AS n FROM splats GROUP BY ALL", splats=X.SPLATS)
+def _(spark, d):
+    path = _folder(spark)
+    ply.write_splat_ply(X.splats(spark, d).select(*_STORED), path, rows=1000)
+    back = ply.read_splat_ply(spark, [path], ["opacity", "clip_id", "x"], rows=300)
+    return back.groupBy(F.col("clip_id").cast("long").alias("clip_id"), F.col("x").cast("double").alias("x"), F.col("opacity").cast("double").alias("opacity")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("ply_clips", "SELECT CAST(count(*) AS BIGINT) AS splat_count, 0e0 AS time_min, 11e0 AS time_max, 2.5e1 AS fps, 1 AS motion_degree FROM splats", splats=X.SPLATS)
+def _(spark, d):
+    path = _folder(spark)
+    ply.write_splat_ply(X.splats(spark, d).select(*_STORED), path, {"time_min": 0.0, "time_max": 11.0, "fps": 25.0, "motion_degree": 1}, rows=500)
+    scalars = ["time_min", "time_max", "fps", "motion_degree"]
+    return ply.read_clips(spark, path).groupBy(*scalars).agg(F.sum("splat_count").alias("splat_count"))
+
+
+@query("static_splats", "SELECT CAST(l_linenumber AS INT) AS frame, count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS total FROM lineitem GROUP BY l_linenumber")
+def _(spark, d):
+    path, rows = _folder(spark), _table(spark, d, "lineitem")
+    for k in range(1, 8):  # a line's number is its frame
+        ply.write_splat_ply(rows.filter(F.col("l_linenumber") == k).select("l_quantity"), f"{path}/{k}")
+    each = ply.read_static_splats(spark, [f"{path}/{k}" for k in range(1, 8)], r"/([0-9]+)/part-[^/]*$")
+    return each.groupBy("frame").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("double")).alias("total"))
