@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import encoding as E
 from .blocks import SortedBlocks, leading
+from .palettes import assign_palette, train_palettes
 from .scratch import MOST_NUMBERS, cut
 
 GROUPS = {"means": ("x", "y", "z"), "motion": ("vx", "vy", "vz"), "accel": ("ax", "ay", "az")}
@@ -111,60 +111,30 @@ def assign_centroids(df: DataFrame, column: str, centroids: np.ndarray, into: st
     return df.withColumn(into, F.pandas_udf(nearest, "int")(F.col(column)))
 
 
-def vq_train(df: DataFrame, column: str, key: str, k: int, rounds: int = 8, sample: int = 262_144) -> np.ndarray:
-    """Centroids of at most ``sample`` vectors, drawn by a hash of ``key``; rounds run in Spark, k rows come to the driver.
-
-    Each round moves centroids without vectors onto others of the sample.
-    """
-    total = df.count()
-    share = min(1.0, sample / max(total, 1))
-    drawn = df.filter(F.pmod(F.xxhash64(key), F.lit(1_000_003)) < F.lit(share * 1_000_003)).select(key, column)
-    first = drawn.orderBy(F.xxhash64(F.lit(5), F.col(key)), key).limit(k).collect()
-    centroids = np.array([r[column] for r in first], np.float64)
-    for n in range(rounds):
-        dims = assign_centroids(drawn, column, centroids, "label").select("label", F.posexplode(column).alias("d", "v"))
-        sums = dims.groupBy("label", "d").agg(F.avg("v").alias("m")).toArrow()
-        moved = centroids.copy()
-        moved[sums["label"].to_numpy(), sums["d"].to_numpy()] = sums["m"].to_numpy()
-        empty = np.setdiff1d(np.arange(len(centroids)), sums["label"].to_numpy())
-        if len(empty):
-            other = drawn.orderBy(F.xxhash64(F.lit(6 + n), F.col(key)), key).limit(len(empty)).collect()
-            moved[empty[: len(other)]] = [r[column] for r in other]
-        if np.array_equal(moved, centroids):
-            break
-        centroids = moved
-    return centroids
-
-
-def build_palette(spark, clip_id: int, centroids: np.ndarray, k: int = 256) -> tuple[DataFrame, DataFrame]:
-    """A palette of vectors as bytes: its own codebook over all values, and each entry's texels (entry n in row n / 64, column n % 64 times its length)."""
-    n, width = centroids.shape
-    entry, coefficient = np.divmod(np.arange(n * width, dtype=np.int32), np.int32(width))  # a palette, never a corpus
-    columns = {"clip_id": np.full(n * width, clip_id, np.int64), "entry": entry, "coefficient": coefficient, "v": np.asarray(centroids, np.float64).ravel()}
-    values = spark.createDataFrame(pa.table(columns))
-    book = kmeans_1d(values.groupBy("clip_id", F.col("v").alias("value")).agg(F.count(F.lit(1)).alias("n")), k)
-    placed = assign_codebook(values, "v", book, "idx").select(
-        "clip_id", "entry", (F.col("entry") / 64).cast("int").alias("row"), ((F.col("entry") % 64) * width + F.col("coefficient")).alias("column"), "idx"
+def build_palette(centroids: DataFrame, k: int = 256) -> tuple[DataFrame, DataFrame]:
+    """Palettes of vectors (clip_id, entry, v) as bytes: each one's codebook over all its values, and each entry's texels (entry n in row n / 64, column n % 64 times its length)."""
+    values = centroids.select("clip_id", "entry", F.size("v").alias("width"), F.posexplode("v").alias("coefficient", "c"))
+    book = kmeans_1d(values.groupBy("clip_id", F.col("c").alias("value")).agg(F.count(F.lit(1)).alias("n")), k)
+    placed = assign_codebook(values, "c", book, "idx").select(
+        "clip_id", "entry", (F.col("entry") / 64).cast("int").alias("row"), ((F.col("entry") % 64) * F.col("width") + F.col("coefficient")).alias("column"), "idx"
     )
     return book, placed
 
 
-def with_palette(splats: DataFrame, entries: int = 65_536, k: int = 256) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Splats with ``sh_label``, their entry in a palette of ``f_rest`` trained for each clip; the codebooks; and the palettes.
+def with_palette(splats: DataFrame, entries: int = 65_536, k: int = 256, **training) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Splats with ``sh_label``, their entry in a palette of ``f_rest`` trained for each clip, all clips at once; the codebooks; and the palettes.
 
-    Splats without ``f_rest`` have the null label.
+    Splats without ``f_rest`` have the null label. ``training``: other arguments of ``train_palettes``.
     """
-    own = splats.filter("f_rest is not null")
-    labelled = splats.filter("f_rest is null").withColumn("sh_label", F.lit(None).cast("int"))
-    books = splats.sparkSession.createDataFrame([], "clip_id long, idx int, value double")
-    palettes = splats.sparkSession.createDataFrame([], "clip_id long, entry int, row int, column int, idx short")
-    for (clip,) in own.select("clip_id").distinct().orderBy("clip_id").collect():  # clips, never splats
-        part = own.filter(F.col("clip_id") == clip)
-        centroids = vq_train(part, "f_rest", "splat_id", entries)
-        book, palette = build_palette(splats.sparkSession, clip, centroids, k)
-        labelled = labelled.unionByName(assign_centroids(part, "f_rest", centroids, "sh_label"))
-        books, palettes = books.unionByName(book), palettes.unionByName(palette)
-    return labelled, books, palettes
+    centroids = train_palettes(splats, "f_rest", "splat_id", entries, **training)
+    return (assign_palette(splats, "f_rest", "splat_id", centroids, "sh_label"), *build_palette(centroids, k))
+
+
+def decode_palette(labelled: DataFrame, book: DataFrame, palette: DataFrame) -> DataFrame:
+    """``f_rest`` of rows by their ``sh_label``: texels through the codebook (clip_id, idx, value), in the order of their columns."""
+    vector = F.array_sort(F.collect_list(F.struct("column", "value")))["value"].alias("f_rest")  # the values of one entry
+    entries = palette.join(book, ["clip_id", "idx"]).groupBy("clip_id", F.col("entry").alias("sh_label")).agg(vector)
+    return labelled.join(entries, ["clip_id", "sh_label"], "left")
 
 
 def quantise(ordered: DataFrame, ranges: DataFrame, codebooks: DataFrame | None = None) -> DataFrame:
@@ -214,10 +184,7 @@ def dequantise(q: DataFrame, ranges: DataFrame, codebooks: DataFrame | None = No
         out = out.withColumns({c: F.element_at("__book", F.col(f"{c}_i").cast("int")) for c in cols}).drop("__book")
         names += cols
     if codebooks is not None and palette is not None:
-        book = F.broadcast(codebooks.filter(F.col("attr") == "sh").select("clip_id", "idx", "value"))  # 256 entries a clip
-        vector = F.array_sort(F.collect_list(F.struct("column", "value")))["value"].alias("f_rest")  # the values of one entry
-        entries = palette.join(book, ["clip_id", "idx"]).groupBy("clip_id", F.col("entry").alias("sh_label")).agg(vector)
-        out = out.join(entries, ["clip_id", "sh_label"], "left")
+        out = decode_palette(out, codebooks.filter(F.col("attr") == "sh").select("clip_id", "idx", "value"), palette)
         names.append("f_rest")
     keys = [c for c in ("clip_id", "grp", "file_idx", "splat_id") if c in q.columns]
     return out.select(*keys, *names)

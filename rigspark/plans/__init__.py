@@ -1,3 +1,3 @@
 """Jobs, domain tables and registered queries."""
 
-from . import further, hulls, models, planted, queries  # noqa: F401  (each registers its queries)
+from . import further, hulls, models, palettes, planted, queries  # noqa: F401  (each registers its queries)

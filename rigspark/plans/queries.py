@@ -1048,13 +1048,6 @@ def _(spark, d):
     return quantize.kmeans_1d(quantize.distinct_values(X.splats(spark, d), ("scale_0", "scale_1", "scale_2")))
 
 
-@query("vq_assign")
-def _(spark, d):
-    vectors = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", F.col("embedding").alias("f_rest"))
-    centroids = quantize.vq_train(vectors, "f_rest", "vec_id", 1024)
-    return quantize.assign_centroids(vectors, "f_rest", centroids, "sh_label").groupBy("sh_label").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("slice_4d_covariance")
 def _(spark, d):
     s = X.splats(spark, d)
