@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.geometry import colour, position_at, sigmoid
 from .quantiles import at_share, select_ranks
 from .rank import levelled_rank
+from .scratch import cut
 
 SIZES = ("scale_0", "scale_1", "scale_2")
 
@@ -195,9 +195,14 @@ def kept_share(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def sample_every(df: DataFrame, n: int, keys: list[str], order: list[str]) -> DataFrame:
-    """Every n-th row of each group, from the first."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__k", F.row_number().over(w)).filter((F.col("__k") - 1) % n == 0).drop("__k")
+    """Every n-th row of each group, from the first. ``order`` decides, so it should have no ties.
+
+    Rows are dealt into ranges of (keys, order) and written once; they are ranked inside their range and moved by the
+    rows of the ranges before, so a large group is never in one task. A null key is a group of its own.
+    """
+    dealt = cut(df.repartitionByRange(*keys, *order).withColumns({"__range": F.spark_partition_id(), "__group": F.to_json(F.struct(*keys))}))
+    ranked = levelled_rank(dealt, ["__group"], F.col("__range"), order, "__k")
+    return ranked.filter((F.col("__k") - 1) % n == 0).drop("__k", "__range", "__group")
 
 
 def temporal_profile(splats: DataFrame, times: list[float]) -> DataFrame:

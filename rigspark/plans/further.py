@@ -253,10 +253,10 @@ def _(spark, d):
 _PRICES = "SELECT l_orderkey % 4 AS clip_id, CAST(round(l_extendedprice * 100) AS BIGINT) / 6.4e1 AS value, count(*) AS n FROM lineitem GROUP BY ALL"  # their sums are exact
 
 
-def _lloyd(k: int, rounds: int) -> str:
-    """Lloyd's rounds in SQL, each over all values."""
+def lloyd(k: int, rounds: int, values: str, result: str) -> str:
+    """Lloyd's rounds in SQL, each over all ``values`` (clip_id, value, n), and a ``result`` from their last codebook."""
     ctes = [
-        f"v AS MATERIALIZED ({_PRICES})",
+        f"v AS MATERIALIZED ({values})",
         "ranked AS MATERIALIZED (SELECT clip_id, value, sum(n) OVER w - n AS above, sum(n) OVER w AS upto, sum(n) OVER (PARTITION BY clip_id) AS total FROM v WINDOW w AS (PARTITION BY clip_id ORDER BY value))",
         f"place AS (SELECT DISTINCT clip_id, i AS idx, i * (total - 1) / {k - 1}e0 AS pos FROM ranked, range({k}) AS r(i))",
         "b0 AS MATERIALIZED (SELECT clip_id, idx, min(value) + (max(pos) - floor(max(pos))) * (max(value) - min(value)) + idx * 1e-12 AS value FROM place JOIN ranked USING (clip_id) WHERE (above <= floor(pos) AND floor(pos) < upto) OR (above <= ceil(pos) AND ceil(pos) < upto) GROUP BY clip_id, idx)",
@@ -267,10 +267,10 @@ def _lloyd(k: int, rounds: int) -> str:
             f"m{r} AS MATERIALIZED (SELECT v.clip_id, e.idx, sum(v.value * n) / sum(n) AS mean FROM v ASOF JOIN e{r} e ON v.clip_id = e.clip_id AND v.value > e.low GROUP BY ALL)",
             f"b{r + 1} AS MATERIALIZED (SELECT clip_id, row_number() OVER (PARTITION BY clip_id ORDER BY coalesce(mean, value), idx) - 1 AS idx, coalesce(mean, value) AS value FROM e{r} LEFT JOIN m{r} USING (clip_id, idx))",
         ]
-    return f"WITH {', '.join(ctes)} SELECT clip_id, CAST(idx AS INT) AS idx, round(value, 6) + 0e0 AS value FROM b{rounds}"
+    return f"WITH {', '.join(ctes)}, book AS (SELECT * FROM b{rounds}) {result}"
 
 
-@query("kmeans_rounds", _lloyd(256, 16))
+@query("kmeans_rounds", lloyd(256, 16, _PRICES, "SELECT clip_id, CAST(idx AS INT) AS idx, round(value, 6) + 0e0 AS value FROM book"))
 def _(spark, d):
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     values = _table(spark, d, "lineitem").groupBy((F.col("l_orderkey") % 4).alias("clip_id"), (cents / 64.0).alias("value")).agg(F.count(F.lit(1)).alias("n"))
