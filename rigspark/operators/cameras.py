@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from ..functions.geometry import alpha_at, determinant3, project, rounded_pixel, sigmoid, truncated_pixel, with_world_to_camera
 from ..functions.text import camera_label, file_stem, trailing_id
 from .quantiles import at_share, select_ranks
-from .scratch import cut
+from .scratch import cut, small
 
 RIG = ("fl_x", "fl_y", "cx", "cy", "w", "h", *(f"r{i}{j}" for i in range(3) for j in range(3)), "tx", "ty", "tz")
 
@@ -27,11 +27,20 @@ def _rig(cameras: DataFrame, *keys: str) -> DataFrame:
     return with_world_to_camera(cameras).select(*keys, *RIG)
 
 
+def _parts(whole: DataFrame, name: str, parts: DataFrame, part: str) -> DataFrame:
+    """(image, camera_label) where ``name`` holds ``part``: an equi-join on the pieces of ``name`` that are as long as any ``part``."""
+    lengths = parts.agg(F.collect_set(F.length(part)).alias("lengths"))  # one row, with no more lengths than the longest name
+    sized = whole.crossJoin(F.broadcast(lengths)).withColumn("size", F.explode("lengths")).filter(F.col("size") <= F.length(name))
+    at = F.explode(F.sequence(F.lit(1), F.length(name) - F.col("size") + 1))
+    pieces = sized.select(*whole.columns, "size", at.alias("at")).select(*whole.columns, F.substring(F.col(name), F.col("at"), F.col("size")).alias("piece")).distinct()
+    return pieces.join(parts, pieces["piece"] == parts[part]).select("image", "camera_label")
+
+
 def match_camera(images: DataFrame, cameras: DataFrame) -> DataFrame:
     """image, camera_label and the rule that matched: the exact stem, else a unique trailing number,
     else the longest label that holds or is held by the stem, the first in name order at ties.
 
-    Exact and numbered matches are equi-joins; only what is left meets all labels of a rig.
+    All three are equi-joins; what the first two leave is cut into pieces of the lengths that labels have, and labels into pieces of its lengths.
     """
     images = images.select("image").distinct().withColumn("stem", file_stem(F.col("image")))
     cams = cameras.select("camera_label").distinct()
@@ -43,12 +52,13 @@ def match_camera(images: DataFrame, cameras: DataFrame) -> DataFrame:
         rest.withColumn("number", trailing_id(F.col("stem"))).join(single, "number").select("image", "camera_label", F.lit("number").alias("rule"))
     )
     rest = rest.join(by_number.select("image"), "image", "left_anti")
-    longest = Window.partitionBy("image").orderBy(F.desc(F.length("camera_label")), "camera_label")
-    inside = F.contains(F.col("stem"), F.col("camera_label")) | F.contains(F.col("camera_label"), F.col("stem"))
+    held = _parts(rest, "stem", cams, "camera_label").unionByName(_parts(cams, "camera_label", rest, "stem"))
+    most = held.groupBy("image").agg(F.max(F.length("camera_label")).alias("most"))
     partial = (
-        rest.join(F.broadcast(cams), inside)  # a rig's labels
-        .withColumn("k", F.row_number().over(longest))
-        .filter("k = 1")
+        held.join(most, "image")
+        .filter(F.length("camera_label") == F.col("most"))
+        .groupBy("image")
+        .agg(F.min("camera_label").alias("camera_label"))
         .select("image", "camera_label", F.lit("part").alias("rule"))
     )
     return exact.unionByName(by_number).unionByName(partial)
@@ -57,7 +67,7 @@ def match_camera(images: DataFrame, cameras: DataFrame) -> DataFrame:
 def project_points(points: DataFrame, cameras: DataFrame, min_depth: float = 1e-6) -> DataFrame:
     """Each point seen from each camera of its capture: u, v, depth; behind the camera u and v are null."""
     u, v, depth = project(F.col("x"), F.col("y"), F.col("z"), min_depth)
-    rig = F.broadcast(_rig(cameras, "capture_id", "camera_label"))  # tens of rows a capture
+    rig = small(_rig(cameras, "capture_id", "camera_label"), len(RIG) + 2)
     return points.join(rig, "capture_id").select(*points.columns, "camera_label", u.alias("u"), v.alias("v"), depth.alias("depth"))
 
 
@@ -260,7 +270,7 @@ def keypoint_coverage(keypoints: DataFrame, runs: DataFrame, images: DataFrame)
 def residuals(observations: DataFrame, points: DataFrame, cameras: DataFrame) -> DataFrame:
     """Observations with ``error`` in pixels; points behind their camera have null."""
     u, v, _ = project(F.col("x"), F.col("y"), F.col("z"), 1e-6)
-    rig = F.broadcast(_rig(cameras, "capture_id", "camera_label"))  # tens of rows a capture
+    rig = small(_rig(cameras, "capture_id", "camera_label"), len(RIG) + 2)
     du, dv = F.col("u") - u, F.col("v") - v
     joined = observations.join(points.select("capture_id", "tem", "kp_idx", "x", "y", "z"), ["capture_id", "tem", "kp_idx"]).join(rig, ["capture_id", "camera_label"])
     return joined.select(*observations.columns, F.sqrt(du * du + dv * dv).alias("error"))
@@ -314,7 +324,7 @@ def dense_labels(cameras: DataFrame) -> DataFrame:
 def relabel(images: DataFrame, labels: DataFrame, expected: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Images with the label of their camera number; those of unknown number; and expected labels without image."""
     numbered = images.withColumn("camera_id", trailing_id(camera_label(F.col("image"))))
-    named = numbered.join(F.broadcast(labels), "camera_id")  # a rig's labels
+    named = numbered.join(labels, "camera_id")
     unknown = numbered.join(labels, "camera_id", "left_anti")
     return named, unknown, expected.join(named.select("camera_label"), "camera_label", "left_anti")
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import with_world_to_camera
+from .scratch import cut, small
 
 
 def triangulate(observations: DataFrame, cameras: DataFrame, threshold: float = 0.5, min_views: int = 3) -> DataFrame:
@@ -24,7 +25,7 @@ def triangulate(observations: DataFrame, cameras: DataFrame, threshold: float =
         *(F.col("fl_y") * rows[1][j] + F.col("cy") * rows[2][j] for j in range(4)),
         *(rows[2][j] for j in range(4)),
     ]
-    lines = F.broadcast(rig.select("capture_id", "camera_label", F.array(*p).alias("p")))  # tens of rows a capture
+    lines = small(rig.select("capture_id", "camera_label", F.array(*p).alias("p")), 14)
     seen = observations.filter(F.col("score") >= threshold).join(lines, ["capture_id", "camera_label"])
     first = [F.col("u") * F.col("p")[8 + j] - F.col("p")[j] for j in range(4)]
     second = [F.col("v") * F.col("p")[8 + j] - F.col("p")[4 + j] for j in range(4)]
@@ -173,8 +174,6 @@ def refine_poses(observations: DataFrame, cameras: DataFrame, points: DataFrame,
     are reduced by Spark and solved in the group of the capture, whose cameras are tens. Poses and points are
     rewritten by joins; nothing is collected but one cost a round.
     """
-    from .scratch import cut
-
     rig = with_world_to_camera(cameras).select(
         "capture_id", "camera_label", "fl_x", "fl_y", "cx", "cy", F.array(*(F.col(f"r{i}{j}") for i in range(3) for j in range(3))).alias("rot"), F.array("tx", "ty", "tz").alias("t")
     )

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions.encoding import cell1024, morton30
 from .rank import levelled_rank
+from .scratch import small
 
 MOST_SEGMENTS = 65_536
 
@@ -86,7 +87,7 @@ def order_splats(splats: DataFrame, time_min: float, time_max: float, duration:
     before = Window.partitionBy("clip_id").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
     box = box.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     cells = [cell1024(F.col(a), F.col(f"__low_{a}"), F.col(f"__high_{a}")) for a in "xyz"]
-    made = rows.join(F.broadcast(box), ["clip_id", "grp"]).withColumn("morton", morton30(*cells))  # one row a segment
+    made = rows.join(small(box, 10), ["clip_id", "grp"]).withColumn("morton", morton30(*cells))
     made = made.withColumnRenamed("__start", "__before").drop("__n", *(f"__{n}_{a}" for a in "xyz" for n in ("low", "high")))
     # the upper 12 bits of a code are its bucket: a persistent group of any size is sorted in parts
     made = levelled_rank(made, ["clip_id", "grp"], F.shiftright("morton", 18), ["morton", "splat_id"], "file_idx")
@@ -99,7 +100,7 @@ def draw_ranges(segments: DataFrame, times: DataFrame, persistent: DataFrame) ->
     Covers overlap and are not sorted by their start, so every segment of the clip is tried against the
     few times asked for.
     """
-    hit = F.broadcast(times).join(segments, "clip_id").filter((F.col("t0") <= F.col("t")) & (F.col("t") <= F.col("t1")) & (F.col("last") > F.col("first")))
+    hit = segments.join(small(times.select("clip_id", "t"), 2), "clip_id").filter((F.col("t0") <= F.col("t")) & (F.col("t") <= F.col("t1")) & (F.col("last") > F.col("first")))
     spans = hit.groupBy("clip_id", "t").agg(F.min("first").alias("first"), F.max("last").alias("last"))
     return (
         times.join(spans, ["clip_id", "t"], "left")
@@ -117,7 +118,7 @@ def splats_at(ordered: DataFrame, ranges: DataFrame, segments: DataFrame) -> Dat
     own = segments.select("clip_id", F.col("seg_idx").alias("grp"), F.col("first").alias("s0"), F.col("last").alias("s1")).filter("s1 > s0")
     covered = ranges.join(own, "clip_id").filter("s0 >= first and s1 <= last").select("clip_id", "grp", "t")
     persistent = ranges.filter("persistent_end > 0").select("clip_id", F.lit(-1).alias("grp"), "t")
-    return ordered.join(F.broadcast(covered.unionByName(persistent)), ["clip_id", "grp"])  # segments, for each time asked for
+    return ordered.join(small(covered.unionByName(persistent), 3), ["clip_id", "grp"])
 
 
 def drawn_fraction(ranges: DataFrame, persistent: DataFrame) -> DataFrame:

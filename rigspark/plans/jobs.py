@@ -60,7 +60,7 @@ def dataset_job(first: DataFrame, last: DataFrame, frames: DataFrame, runs: Data
     points = dataset.carve_hull(usable, first, runs, max(n // each, 200), min_views).withColumn("time", F.col("frame_idx") / fps)
     if pixels is not None:
         points = dataset.hull_colour(points, first, pixels)
-    views = cameras.holdout_split(dataset.drop_held_frames(frames).join(F.broadcast(first), ["capture_id", "camera_label"]), test, holdout)
+    views = cameras.holdout_split(dataset.drop_held_frames(frames).join(first, ["capture_id", "camera_label"]), test, holdout)
     views = views.withColumn("time", F.col("frame_idx") / fps)
     return {"views": views, "points": points, "boxes": boxes, "rig_violations": validate.validate_static_rig(first, last), "violations": validate.validate_dataset(views, points)}
 
