@@ -36,7 +36,7 @@ def _(spark, d):
     both = F.array(F.struct("keypoints", scores.alias("keypoint_scores")), second)
     text = F.to_json(F.struct(F.when(label == "cam_7", F.slice(both, 1, 0)).otherwise(both).alias("instance_info")))
     files = rows.select("capture_id", label.alias("camera"), "tem", F.when(label == "cam_8", "{no json").otherwise(text).alias("value"))
-    files.repartition("capture_id").write.partitionBy("capture_id", "camera", "tem").text(path)
+    tables.by_capture(files).write.partitionBy("capture_id", "camera", "tem").text(path)
     back = tables.read_keypoints(spark, f"{path}/*/*/*/*.txt", r"capture_id=([^/]+/camera=[^/]+)/tem=([^/]+)/")
     of = F.split("camera_label", "/camera=")
     return back.select(of[0].cast("long").alias("capture_id"), "tem", of[1].alias("camera_label"), "kp_idx", (F.round("u", 6) + 0.0).alias("u"), (F.round("v", 6) + 0.0).alias("v"), "score")
@@ -57,7 +57,7 @@ def _(spark, d):
     frame = lambda i: F.struct(name.alias("image_name"), F.col("tem").alias("frame_id"), i.alias("instances"))
     last = F.when(label == "cam_8", F.slice(F.array(given), 1, 0)).otherwise(F.array(given, stale))
     frames = rows.select("capture_id", label, "tem", F.array(frame(F.slice(F.array(stale), 1, F.when(label == "cam_8", 0).otherwise(1))), frame(last)).alias("f"))
-    files = frames.groupBy("capture_id", "tem").agg(F.flatten(F.array_sort(F.collect_list(F.struct("camera_label", "f")))["f"]).alias("frames"))
+    files = tables.by_capture(frames).groupBy("capture_id", "tem").agg(F.flatten(F.array_sort(F.collect_list(F.struct("camera_label", "f")))["f"]).alias("frames"))
     files.select("capture_id", "tem", F.to_json(F.struct("frames")).alias("value")).write.partitionBy("capture_id", "tem").text(path)
     rig = X.cameras(spark, d).select(F.lit(0).alias("capture_id"), "camera_label").distinct()
     back = tables.read_predictions(spark, f"{path}/*/*/*.txt", rig)
