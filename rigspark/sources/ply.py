@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote, urlparse
 
@@ -24,6 +25,8 @@ from pyspark.sql.types import StructType
 
 MOST_HEADER = 1 << 16
 ROWS = 65_536
+#: Tasks that a table is read by at most, however many files and ranges it has.
+TASKS = 256
 
 
 def parse_header(data: bytes) -> tuple[int, list[str], dict[str, str], int]:
@@ -72,16 +75,36 @@ def _tables_of(path: str) -> list[str]:
     return sorted(f"{path.rstrip('/')}/{f.base_name}" for f in inside if f.base_name.endswith(".ply"))
 
 
-class _Range(InputPartition):
-    def __init__(self, path: str, start: int, first: int, count: int, names: list[str]):
-        self.path, self.start, self.first, self.count, self.names = path, start, first, count, names
+@dataclass
+class _Range:
+    path: str
+    start: int
+    first: int
+    count: int
+    names: list[str]
+
+
+class _Ranges(InputPartition):
+    def __init__(self, ranges: list[_Range]):
+        self.ranges = ranges
+
+
+def _joined(ranges: list[_Range]) -> list[_Range]:
+    """Ranges in order, neighbours in one file as one, so that each file is opened once."""
+    out: list[_Range] = []
+    for r in ranges:
+        if out and out[-1].path == r.path and out[-1].first + out[-1].count == r.first:
+            out[-1] = _Range(r.path, r.start, out[-1].first, out[-1].count + r.count, r.names)
+        else:
+            out.append(r)
+    return out
 
 
 class SplatPly(DataSource):
     """``format("splat_ply")``, to read and to write.
 
-    Reading: path (comma-separated files or folders), columns (optional), rows (records a task). Writing: path (a folder),
-    rows (records a file), comments (a JSON object for the headers).
+    Reading: path (comma-separated files or folders), columns (optional), rows (records a range), tasks (ranges beyond
+    so many are dealt over so many tasks). Writing: path (a folder), rows (records a file), comments (a JSON object for the headers).
     """
 
     @classmethod
@@ -98,7 +121,7 @@ class SplatPly(DataSource):
         return "path string, splat_id long, " + ", ".join(f"`{n}` float" for n in names)
 
     def reader(self, schema: StructType) -> _Reader:
-        return _Reader(self._files(), [f.name for f in schema.fields[2:]], int(self.options.get("rows", 1_000_000)))
+        return _Reader(self._files(), [f.name for f in schema.fields[2:]], int(self.options.get("rows", 1_000_000)), int(self.options.get("tasks", TASKS)))
 
     def writer(self, schema: StructType, overwrite: bool) -> _Writer:
         comments = json.loads(self.options.get("comments", "{}"))
@@ -106,32 +129,34 @@ class SplatPly(DataSource):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, files: list[str], columns: list[str], rows: int):
-        self.files, self.columns, self.rows = files, columns, rows
+    def __init__(self, files: list[str], columns: list[str], rows: int, tasks: int):
+        self.files, self.columns, self.rows, self.tasks = files, columns, rows, tasks
+
+    def _ranges(self, path: str) -> list[_Range]:
+        n, names, _, start = parse_header(_head(path))
+        if missing := set(self.columns) - set(names):
+            raise ValueError(f"{path} lacks {', '.join(sorted(missing))}")
+        system, name = _place(path)
+        if system.get_file_info(name).size < start + 4 * n * len(names):
+            raise ValueError(f"{path} is truncated")
+        return [_Range(path, start, a, min(self.rows, n - a), names) for a in range(0, n, self.rows)]
 
     def partitions(self) -> list[InputPartition]:
-        out: list[InputPartition] = []
-        for path in self.files:
-            n, names, _, start = parse_header(_head(path))
-            if missing := set(self.columns) - set(names):
-                raise ValueError(f"{path} lacks {', '.join(sorted(missing))}")
-            system, name = _place(path)
-            if system.get_file_info(name).size < start + 4 * n * len(names):
-                raise ValueError(f"{path} is truncated")
-            out += [_Range(path, start, a, min(self.rows, n - a), names) for a in range(0, n, self.rows)]
-        return out or [_Range("", 0, 0, 0, self.columns)]
+        """One task a range, or neighbouring ranges together where there are more than ``tasks``."""
+        with ThreadPoolExecutor(16) as pool:  # many short reads
+            ranges = [r for own in pool.map(self._ranges, self.files) for r in own]
+        each = max(1, -(-len(ranges) // self.tasks))
+        return [_Ranges(_joined(ranges[a : a + each])) for a in range(0, len(ranges), each)] or [_Ranges([])]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        p, width = partition, len(partition.names)
-        if not p.count:
-            return
-        system, name = _place(p.path)
-        with system.open_input_file(name) as f:
-            for a in range(p.first, p.first + p.count, ROWS):
-                n = min(ROWS, p.first + p.count - a)
-                data = np.frombuffer(f.read_at(4 * n * width, p.start + 4 * a * width), "<f4").reshape(n, width)
-                columns = [pa.array([p.path] * n), pa.array(np.arange(a, a + n))] + [pa.array(np.ascontiguousarray(data[:, p.names.index(c)])) for c in self.columns]
-                yield pa.RecordBatch.from_arrays(columns, names=["path", "splat_id", *self.columns])
+        for p in partition.ranges:
+            width, (system, name) = len(p.names), _place(p.path)
+            with system.open_input_file(name) as f:
+                for a in range(p.first, p.first + p.count, ROWS):
+                    n = min(ROWS, p.first + p.count - a)
+                    data = np.frombuffer(f.read_at(4 * n * width, p.start + 4 * a * width), "<f4").reshape(n, width)
+                    columns = [pa.array([p.path] * n), pa.array(np.arange(a, a + n))] + [pa.array(np.ascontiguousarray(data[:, p.names.index(c)])) for c in self.columns]
+                    yield pa.RecordBatch.from_arrays(columns, names=["path", "splat_id", *self.columns])
 
 
 @dataclass
@@ -197,9 +222,9 @@ class _Writer(DataSourceArrowWriter):
 
 
 def read_splat_ply(spark: SparkSession, paths: list[str], columns: list[str] | None = None, rows: int = 1_000_000) -> DataFrame:
-    """path, splat_id (the record's place in its file) and float columns of files and folders, one task for each ``rows`` records."""
+    """path, splat_id (the record's place in its file) and float columns of files and folders, one task for each ``rows`` records, and at most ``TASKS`` of them or four a core."""
     spark.dataSource.register(SplatPly)
-    reader = spark.read.format("splat_ply").option("rows", rows)
+    reader = spark.read.format("splat_ply").option("rows", rows).option("tasks", max(TASKS, 4 * spark.sparkContext.defaultParallelism))
     if columns:
         reader = reader.option("columns", ",".join(columns))
     return reader.load(",".join(paths))

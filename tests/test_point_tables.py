@@ -57,3 +57,14 @@ def test_an_empty_table_keeps_its_columns(spark, splats, tmp_path):
     ply.write_splat_ply(splats.limit(0), folder)
     back = ply.read_splat_ply(spark, [folder])
     assert back.columns == ["path", "splat_id", "x", "y", "opacity"] and back.count() == 0
+
+
+def test_many_ranges_are_read_by_few_tasks(spark, tmp_path):
+    """Files and ranges grow with the table, tasks do not; every record comes back once, in its own place."""
+    folder = str(tmp_path / "t")
+    ply.write_splat_ply(spark.range(3000).select(F.col("id").alias("x")).repartition(4), folder, rows=20)
+    back = ply.read_splat_ply(spark, [folder], rows=3)
+    assert back.rdd.getNumPartitions() <= ply.TASKS < 1000
+    assert rows_of(back, "x") == [(float(i),) for i in range(3000)]
+    files = back.groupBy("path").agg(F.min("splat_id").alias("low"), F.max("splat_id").alias("high"), F.count("*").alias("n")).collect()
+    assert len(files) >= 150 and all((r.low, r.high) == (0, r.n - 1) for r in files)
