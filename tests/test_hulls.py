@@ -56,3 +56,18 @@ def test_each_part_of_the_job_has_rows(spark, sf_dir):
     rows = QUERIES["dataset_job"](spark, sf_dir).collect()
     assert {r.part for r in rows} >= {"box", "points", "views", "rig", "set"}
     assert {r.n for r in rows if r.part == "points"} and {r.label.split()[1] for r in rows if r.part == "views"} == {"train", "test"}
+
+
+def test_boxes_are_found_beside_the_masks(spark, monkeypatch):
+    """The box of all candidates that the plain votes hold, from tasks that make and judge them; nothing of them is joined or grouped."""
+    monkeypatch.setattr(dataset, "TRIED", 300)
+    rows = [(c, f"c{i}", f, y, 700 + 20 * i, 1300 + 90 * f) for c in (0, 7) for i in range(6) for f in (1, 2, 5) for y in range(200, 900)]
+    runs = spark.createDataFrame(rows, "capture_id long, camera_label string, frame_idx int, y int, x0 int, x1 int").cache()
+    rig = rig_frame(spark, ring())
+    rig = rig.unionByName(rig.withColumn("capture_id", F.lit(7).cast("long")))
+    middle = runs.select("capture_id", "frame_idx").distinct().filter("frame_idx = 2")
+    tried = dataset.candidates(dataset.search_box(rig), middle, 0, 2000)
+    plain = dataset.hull_bbox(cameras.hull_votes(tried, rig, runs.filter("frame_idx = 2"), 4, by=("frame_idx",)))
+    got = dataset.find_bbox(rig, runs, 4, 2000)
+    assert sorted(map(tuple, got.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect())) and plain.count() == 2
+    assert "Generate explode(sequence" not in got._jdf.queryExecution().optimizedPlan().toString()
