@@ -13,14 +13,17 @@ def psnr(mse: Column, peak: float = 1.0) -> Column:
 
 
 def image_mse(a: DataFrame, b: DataFrame, keys: list[str], mask: DataFrame | None = None) -> DataFrame:
-    """Mean squared difference of two pixel tables (keys, x, y, r, g, b), on a mask's foreground if there is one."""
+    """Mean squared difference of two pixel tables (keys, x, y, r, g, b), on a mask's foreground if there is one.
+
+    Squares are summed whole and divided once: those of integers sum without any error, in whatever order.
+    """
     at = [*keys, "x", "y"]
     other = b.select(*at, *(F.col(c).alias(f"o_{c}") for c in "rgb"))
     joined = a.join(other, at)
     if mask is not None:
         joined = joined.join(mask.filter("fg").select(*at), at, "left_semi")
-    square = sum(((F.col(c) - F.col(f"o_{c}")) * (F.col(c) - F.col(f"o_{c}")) for c in "rgb"), F.lit(0.0)) / 3.0
-    return joined.groupBy(*keys).agg(F.avg(square).alias("mse"))
+    square = sum(((F.col(c) - F.col(f"o_{c}")) * (F.col(c) - F.col(f"o_{c}")) for c in "rgb"), F.lit(0.0))
+    return joined.groupBy(*keys).agg((F.sum(square) / (3.0 * F.count(square))).alias("mse"))
 
 
 def score_views(rendered: DataFrame, truth: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
