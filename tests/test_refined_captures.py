@@ -1,10 +1,12 @@
 """Bundle adjustment of many captures at once: those of few points in groups of their own, those of many by shared rounds."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from rigspark.operators import cameras, poses
+from rigspark.plans.queries import QUERIES
 
 from .test_analytic import cloud, observed, rig_frame, ring
 
@@ -47,3 +49,18 @@ def test_one_capture_does_not_hold_back_another(spark, monkeypatch):
         own = [df.filter(F.col("capture_id") == c) for df in (obs, rig, start)]
         alone = rows(poses.refine_poses(*own, rounds=4)[0])
         assert all(np.allclose(w, whole[k], atol=1e-6) for k, w in alone.items())
+
+
+def test_captures_that_settle_slowly(spark, sf_dir, tmp_path):
+    """Two captures whose steps must be damped anew in most rounds, and one with a camera that pixels hardly show to be off."""
+    captures = (209, 418, 573)
+    made = {
+        "supplier": f"SELECT CAST(unnest({list(captures)}) AS BIGINT) AS s_suppkey",
+        "nation": f"SELECT * FROM '{sf_dir}/nation.parquet'",
+        "part": f"SELECT CAST(20 * capture + k AS BIGINT) AS p_partkey FROM (SELECT unnest({list(captures)}) AS capture), range(20) AS numbers(k)",
+    }
+    for name, sql in made.items():
+        duckdb.sql(f"COPY ({sql}) TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
+    rows = QUERIES["refine_poses"](spark, str(tmp_path)).collect()
+    assert {(r.capture_id, r.camera_label) for r in rows} == {(c, f"cam_{k}") for c in captures for k in range(25)}
+    assert all((r.n, r.was_off, r.fits) == (10, True, True) for r in rows)
