@@ -36,9 +36,9 @@ def _(spark, d):
     both = F.array(F.struct("keypoints", scores.alias("keypoint_scores")), second)
     text = F.to_json(F.struct(F.when(label == "cam_7", F.slice(both, 1, 0)).otherwise(both).alias("instance_info")))
     files = rows.select("capture_id", label.alias("camera"), "tem", F.when(label == "cam_8", "{no json").otherwise(text).alias("value"))
-    tables.by_capture(files).write.partitionBy("capture_id", "camera", "tem").text(path)
-    back = tables.read_keypoints(spark, f"{path}/*/*/*/*.txt", r"capture_id=([^/]+/camera=[^/]+)/tem=([^/]+)/")
-    of = F.split("camera_label", "/camera=")
+    tables.write_keypoints(files, path)
+    back = tables.read_keypoints(spark, path, r"([^/]+/[^/]+)/([^/]+)\.json$")
+    of = F.split("camera_label", "/")
     return back.select(of[0].cast("long").alias("capture_id"), "tem", of[1].alias("camera_label"), "kp_idx", (F.round("u", 6) + 0.0).alias("u"), (F.round("v", 6) + 0.0).alias("v"), "score")
 
 
