@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyarrow import fs
@@ -22,42 +24,58 @@ FILES = 256
 
 
 class NamedTexts(DataSource):
-    """``format("named_texts")``, to write ``name`` (relative to the folder in path) and ``value``."""
+    """``format("named_texts")``, to write ``name`` (relative to the folder in path) and ``value``; neighbouring rows of one name are one file."""
 
     @classmethod
     def name(cls) -> str:
         return "named_texts"
 
     def writer(self, schema: StructType, overwrite: bool) -> _Writer:
-        return _Writer(_local(self.options["path"]).rstrip("/"))
+        return _Writer(_local(self.options["path"]).rstrip("/"), self.options.get("end", ""))
 
 
 class _Writer(DataSourceArrowWriter):
     """A file takes its name once it is whole, so attempts of one task may replace each other's."""
 
-    def __init__(self, folder: str):
-        self.folder = folder
+    def __init__(self, folder: str, end: str):
+        self.folder, self.end = folder, end
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         (system, root), attempt, made = _place(self.folder), TaskContext.get().taskAttemptId(), set()
-        for batch in iterator:
-            for name, value in zip(batch.column("name").to_pylist(), batch.column("value").to_pylist(), strict=True):
-                if name is None or value is None:
-                    raise ValueError(f"no {'name' if name is None else 'text of ' + name}")
+
+        def files(values: Iterator[tuple[str, str]]) -> None:
+            for name, own in groupby(values, itemgetter(0)):
                 folder, _, leaf = f"{root}/{name}".rpartition("/")
                 if folder not in made:
                     system.create_dir(folder, recursive=True)
                     made.add(folder)
                 with system.open_output_stream(f"{folder}/.{leaf}.{attempt}") as f:
-                    f.write(value.encode())
+                    for _, value in own:
+                        f.write(value.encode())
                 system.move(f"{folder}/.{leaf}.{attempt}", f"{folder}/{leaf}")
+
+        def rows() -> Iterator[tuple[str, str]]:
+            for batch in iterator:
+                for name, value in zip(batch.column("name").to_pylist(), batch.column("value").to_pylist(), strict=True):
+                    if name is None or value is None:
+                        raise ValueError(f"no {'name' if name is None else 'text of ' + name}")
+                    yield name, value + self.end
+
+        files(rows())
         return WriterCommitMessage()
 
 
-def write_texts(df: DataFrame, folder: str) -> None:
-    """Each row's ``value`` as the file ``name`` under ``folder``; names are the rows' own and must not repeat."""
+def write_texts(df: DataFrame, folder: str, end: str = "", replace: bool = False) -> None:
+    """The ``value`` of each row, and ``end`` behind it, as the file ``name`` under ``folder``. All rows of a name lie next to each other in one partition.
+
+    With ``replace`` all that the folder held goes first.
+    """
+    if replace:
+        system, name = _place(_local(folder))
+        if system.get_file_info(name).type == fs.FileType.Directory:
+            system.delete_dir(name)
     df.sparkSession.dataSource.register(NamedTexts)
-    df.select("name", "value").write.format("named_texts").mode("append").save(folder)
+    df.select("name", "value").write.format("named_texts").option("end", end).mode("append").save(folder)
 
 
 def opens(path: str) -> bool:

@@ -1,5 +1,6 @@
 """Small files under names of their own: written and found by tasks, read as Spark's own reader reads them."""
 
+import glob
 import json
 import os
 
@@ -52,3 +53,19 @@ def test_read_as_by_sparks_reader(spark, tmp_path):
     assert got == rows(f"{tmp_path}/*/t.json") and {r[1] for r in got} == {"good", "list", "no_scores", "wide", "mark", "lines"}
     assert rows([f"{tmp_path}/good", f"file://{tmp_path}/list/t.json"]) == [r for r in got if r[1] in ("good", "list")]
     assert not texts.opens(f"{tmp_path}/*/t.json") and not texts.opens("viewfs://store/in")
+
+
+def test_lines_of_captures_are_found_by_tasks(spark, tmp_path):
+    """A capture's lines lie in one file in their order, a second set takes the place of the first, and none is listed by the driver."""
+    for captures in (30, 20):
+        rig = spark.range(captures * 3).select((F.col("id") % captures).alias("capture_id"), F.concat(F.lit("cam_"), (F.col("id") / captures).cast("int").cast("string")).alias("camera_label"), F.lit(9).alias("w"), F.lit(8).alias("h"))
+        rig = rig.withColumns({c: F.lit(0.5) for c in ("fl_x", "fl_y", "cx", "cy", "qw", "qx", "qy", "qz", "tx", "ty", "tz")})
+        points = spark.range(captures * 50).select((F.col("id") % captures).alias("capture_id"), F.col("id").alias("point_id"), *(F.lit(1.5).alias(c) for c in "xyz"))
+        tables.write_sfm_text(rig, points, str(tmp_path))
+    for part, n in (("cameras", 3), ("images", 3), ("points3D", 50)):
+        assert len(glob.glob(f"{tmp_path}/{part}/*/*")) == 20
+        back = tables.read_sfm_lines(spark, f"{tmp_path}/{part}")
+        assert "FileScan" not in back._jdf.queryExecution().executedPlan().toString()
+        assert {r["count"] for r in back.groupBy("capture_id").count().collect()} == {n} and back.select("capture_id").distinct().count() == 20
+        assert sorted(map(tuple, back.collect())) == sorted((str(r.capture_id), r.value) for r in spark.read.text(f"{tmp_path}/{part}").collect())
+    assert open(f"{tmp_path}/cameras/capture_id=7/cameras.txt").read() == "".join(f"{k} PINHOLE 9 8 0.5 0.5 0.5 0.5\n" for k in (1, 2, 3))
